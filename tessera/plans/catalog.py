@@ -135,3 +135,136 @@ FROM ({HITS_SQL}) h
 )
 def q_inverted_index(spark: SparkSession, sf: str) -> DataFrame:
     return T.inverted_index(S.articles(spark, sf), S.STANDIN_TERMS, by_size=True)
+
+
+# --------------------------------------------------------------- survey ----
+
+from tessera.functions.survey import (  # noqa: E402
+    age_band,
+    balanced_sum_sql,
+    group_hours,
+    sex_label,
+    working_status,
+)
+from tessera.operators import columns as C  # noqa: E402
+from tessera.operators import survey as U  # noqa: E402
+
+SURVEY_SQL = """
+SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS tucaseid,
+       CAST(1 + l_orderkey % 5 AS DOUBLE) AS telfs,
+       CAST(1 + l_partkey % 2 AS DOUBLE) AS tesex,
+       CAST(10 + l_suppkey % 70 AS DOUBLE) AS teage,
+       CAST(l_quantity * 10 AS DOUBLE) AS t010101,
+       CAST(l_linenumber * 30 AS DOUBLE) AS t110101,
+       CAST(l_orderkey % 7 * 5 AS DOUBLE) AS t180101,
+       CAST(l_orderkey % 240 AS DOUBLE) AS t050101,
+       CAST(l_partkey % 11 * 3 AS DOUBLE) AS t180501,
+       CAST(l_partkey % 300 AS DOUBLE) AS t020101,
+       CAST(l_suppkey % 90 AS DOUBLE) AS t120101,
+       CAST(l_suppkey % 13 AS DOUBLE) AS t181201,
+       CAST(l_linenumber + 1 AS DOUBLE) AS t170101,
+       CAST(l_orderkey % 3 AS DOUBLE) AS t500101
+FROM lineitem
+"""
+SURVEY_NAMES = [
+    "tucaseid", "telfs", "tesex", "teage", "t010101", "t110101", "t180101", "t050101",
+    "t180501", "t020101", "t120101", "t181201", "t170101", "t500101",
+]
+_P, _W, _O = U.classify_columns(SURVEY_NAMES)
+WORKING_SQL = "CASE WHEN telfs >= 1 AND telfs < 3 THEN 'working' ELSE 'not working' END"
+SEX_SQL = "CASE WHEN tesex = 1 THEN 'male' ELSE 'female' END"
+AGE_SQL = (
+    "CASE WHEN teage >= 15 AND teage <= 22 THEN 'young' "
+    "WHEN teage >= 23 AND teage <= 55 THEN 'active' ELSE 'elder' END"
+)
+HOURS_SQL = (
+    f"{balanced_sum_sql(_P)} / 60 AS primaryNeeds, {balanced_sum_sql(_W)} / 60 AS work, "
+    f"{balanced_sum_sql(_O)} / 60 AS other"
+)
+SUMMARY_SQL = (
+    f"SELECT {WORKING_SQL} AS working, {SEX_SQL} AS sex, {AGE_SQL} AS age, {HOURS_SQL} "
+    f"FROM ({SURVEY_SQL}) s WHERE telfs <= 4"
+)
+
+
+def _survey(spark: SparkSession, sf: str) -> DataFrame:
+    return S.survey_table(spark, sf)
+
+
+def _summary(spark: SparkSession, sf: str) -> DataFrame:
+    df = _survey(spark, sf)
+    p, w, o = U.classify_columns(df.columns)
+    return U.time_usage_summary(p, w, o, df)
+
+
+@register("working_status", f"SELECT tucaseid, {WORKING_SQL} AS working FROM ({SURVEY_SQL}) s")
+def q_working_status(spark: SparkSession, sf: str) -> DataFrame:
+    return _survey(spark, sf).select("tucaseid", working_status().alias("working"))
+
+
+@register("sex_label", f"SELECT tucaseid, {SEX_SQL} AS sex FROM ({SURVEY_SQL}) s")
+def q_sex_label(spark: SparkSession, sf: str) -> DataFrame:
+    return _survey(spark, sf).select("tucaseid", sex_label().alias("sex"))
+
+
+@register("age_band", f"SELECT tucaseid, {AGE_SQL} AS age FROM ({SURVEY_SQL}) s")
+def q_age_band(spark: SparkSession, sf: str) -> DataFrame:
+    return _survey(spark, sf).select("tucaseid", age_band().alias("age"))
+
+
+@register("group_hours", f"SELECT tucaseid, {HOURS_SQL} FROM ({SURVEY_SQL}) s")
+def q_group_hours(spark: SparkSession, sf: str) -> DataFrame:
+    df = _survey(spark, sf)
+    p, w, o = U.classify_columns(df.columns)
+    return df.select(
+        "tucaseid",
+        group_hours(p).alias("primaryNeeds"),
+        group_hours(w).alias("work"),
+        group_hours(o).alias("other"),
+    )
+
+
+@register("labour_force_filter", f"SELECT tucaseid, telfs FROM ({SURVEY_SQL}) s WHERE telfs <= 4")
+def q_labour_force_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return U.labour_force(_survey(spark, sf)).select("tucaseid", "telfs")
+
+
+@register("time_usage_summary", SUMMARY_SQL)
+def q_time_usage_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _summary(spark, sf)
+
+
+@register("time_usage_summary_typed", SUMMARY_SQL)
+def q_time_usage_summary_typed(spark: SparkSession, sf: str) -> DataFrame:
+    return U.time_usage_summary_typed(_summary(spark, sf))
+
+
+GROUPED_SQL = U.grouped_sql(f"({SUMMARY_SQL}) summed", via_decimal=True)
+
+
+@register("time_usage_grouped", GROUPED_SQL)
+def q_time_usage_grouped(spark: SparkSession, sf: str) -> DataFrame:
+    return U.time_usage_grouped(_summary(spark, sf), via_decimal=True)
+
+
+@register("time_usage_grouped_sql", GROUPED_SQL)
+def q_time_usage_grouped_sql(spark: SparkSession, sf: str) -> DataFrame:
+    return U.time_usage_grouped_sql(_summary(spark, sf), via_decimal=True)
+
+
+@register("time_usage_grouped_typed", GROUPED_SQL)
+def q_time_usage_grouped_typed(spark: SparkSession, sf: str) -> DataFrame:
+    return U.time_usage_grouped_typed(_summary(spark, sf), via_decimal=True)
+
+
+# -------------------------------------------------------------- columns ----
+
+
+@register("column_sum", "SELECT CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS total FROM lineitem")
+def q_column_sum(spark: SparkSession, sf: str) -> DataFrame:
+    return C.column_sum(S.table(spark, sf, "lineitem"), "l_linenumber")
+
+
+@register("column_max", "SELECT max(o_orderkey) AS maximum FROM orders")
+def q_column_max(spark: SparkSession, sf: str) -> DataFrame:
+    return C.column_max(S.table(spark, sf, "orders"), "o_orderkey")
