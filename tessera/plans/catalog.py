@@ -268,3 +268,350 @@ def q_column_sum(spark: SparkSession, sf: str) -> DataFrame:
 @register("column_max", "SELECT max(o_orderkey) AS maximum FROM orders")
 def q_column_max(spark: SparkSession, sf: str) -> DataFrame:
     return C.column_max(S.table(spark, sf, "orders"), "o_orderkey")
+
+
+# ---------------------------------------------------------------- forum ----
+
+from tessera.functions.vectors import nearest_center, nearest_distance  # noqa: E402
+from tessera.operators import clusters as K  # noqa: E402
+from tessera.operators import forum as Q  # noqa: E402
+from tessera.operators import kmeans as M  # noqa: E402
+from tessera.operators import sampling as P  # noqa: E402
+from tessera.sources.postings import parse_postings  # noqa: E402
+
+# Fixed parameters of the forum stand-in: five tags, three kernels each.
+LANG_SPREAD = 50000
+KERNELS = 15
+ETA = M.DEFAULT_ETA
+MAX_ITERATIONS = M.DEFAULT_MAX_ITERATIONS
+SEED = P.DEFAULT_SEED
+
+LANG_INDEX_SQL = "CASE tag " + " ".join(
+    f"WHEN {_sql_str(t)} THEN {i}" for i, t in enumerate(S.STANDIN_TAGS)
+) + " END"
+POSTINGS_SQL = """
+SELECT 1 AS posting_type, o_orderkey AS id, CAST(NULL AS BIGINT) AS accepted_answer,
+       CAST(NULL AS BIGINT) AS parent_id, 0 AS score, o_orderpriority AS tag
+FROM orders
+UNION ALL
+SELECT 2, l_orderkey * 8 + l_linenumber, CAST(NULL AS BIGINT), l_orderkey,
+       CAST(trunc(l_quantity) AS INTEGER), CAST(NULL AS VARCHAR)
+FROM lineitem
+"""
+QUESTIONS_SQL = f"SELECT * FROM ({POSTINGS_SQL}) p WHERE posting_type = 1"
+ANSWERS_SQL = f"SELECT * FROM ({POSTINGS_SQL}) p WHERE posting_type = 2 AND parent_id IS NOT NULL"
+PAIRS_SQL = f"""
+SELECT q.id, q.accepted_answer, q.score, q.tag, a.id AS answer_id,
+       a.accepted_answer AS answer_accepted_answer, a.score AS answer_score, a.tag AS answer_tag
+FROM ({QUESTIONS_SQL}) q JOIN ({ANSWERS_SQL}) a ON q.id = a.parent_id
+"""
+# join first, then the best score per question (brute force)
+SCORED_SQL = f"""
+SELECT q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tag,
+       greatest(0, max(a.score)) AS high_score
+FROM ({QUESTIONS_SQL}) q JOIN ({ANSWERS_SQL}) a ON q.id = a.parent_id
+GROUP BY q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tag
+"""
+VECTORS_SQL = f"""
+SELECT id, CAST(coalesce({LANG_INDEX_SQL}, 0) AS BIGINT) * {LANG_SPREAD} AS x,
+       CAST(high_score AS BIGINT) AS y
+FROM ({SCORED_SQL}) s
+"""
+SAMPLE_KEY_SQL = f"md5('{SEED}:' || CAST(id AS VARCHAR))"
+PER_GROUP_SQL = f"""
+SELECT id, x, y, sample_rank FROM (
+  SELECT id, x, y,
+         CAST(row_number() OVER (PARTITION BY x ORDER BY {SAMPLE_KEY_SQL}, id) AS INTEGER) AS sample_rank
+  FROM ({VECTORS_SQL}) v) r
+WHERE sample_rank <= {KERNELS // len(S.STANDIN_TAGS)}
+"""
+INIT_SQL = f"""
+SELECT CAST(row_number() OVER (ORDER BY x, sample_rank) - 1 AS INTEGER) AS cluster, x, y
+FROM ({PER_GROUP_SQL}) g
+"""
+# every vector against every centroid, keep the closest (lowest index on ties)
+ASSIGN_SQL = f"""
+SELECT id, x, y, cluster, d FROM (
+  SELECT id, x, y, cluster, d, row_number() OVER (PARTITION BY id ORDER BY d, cluster) AS r
+  FROM (
+    SELECT v.id, v.x, v.y, c.cluster,
+           CAST(v.x - c.x AS DOUBLE) * (v.x - c.x) + CAST(v.y - c.y AS DOUBLE) * (v.y - c.y) AS d
+    FROM ({VECTORS_SQL}) v, centers c) p) q
+WHERE r = 1
+"""
+MEANS_SQL = """
+SELECT cluster, CAST(sum(x) // count(*) AS BIGINT) AS x, CAST(sum(y) // count(*) AS BIGINT) AS y,
+       count(*) AS n
+FROM assigned GROUP BY cluster
+"""
+STEP_SQL = """
+SELECT c.cluster, coalesce(m.x, c.x) AS x, coalesce(m.y, c.y) AS y
+FROM centers c LEFT JOIN means m ON c.cluster = m.cluster
+"""
+
+
+def _with(*ctes: tuple[str, str]) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n"
+
+
+INIT_CTES = (("centers", INIT_SQL), ("assigned", ASSIGN_SQL))
+# exact k-means to convergence: each recursion level is one step over all
+# (vector, centroid) pairs; `done` stops the recursion
+KMEANS_SQL = f"""
+WITH RECURSIVE
+vectors AS ({VECTORS_SQL}),
+init AS ({INIT_SQL}),
+km(iter, cluster, old_x, old_y, x, y, moved, done) AS (
+  SELECT 0, cluster, x, y, x, y, CAST(0 AS DOUBLE), false FROM init
+  UNION ALL
+  SELECT iter, cluster, old_x, old_y, x, y, moved,
+         (sum(moved) OVER () < {ETA} OR iter >= {MAX_ITERATIONS}) AS done
+  FROM (
+    SELECT iter, cluster, old_x, old_y, x, y,
+           CAST(x - old_x AS DOUBLE) * (x - old_x) + CAST(y - old_y AS DOUBLE) * (y - old_y) AS moved
+    FROM (
+      SELECT k_iter + 1 AS iter, k_cluster AS cluster, k_x AS old_x, k_y AS old_y,
+             coalesce(CAST(sum(vx) FILTER (WHERE r = 1) // count(*) FILTER (WHERE r = 1) AS BIGINT), k_x) AS x,
+             coalesce(CAST(sum(vy) FILTER (WHERE r = 1) // count(*) FILTER (WHERE r = 1) AS BIGINT), k_y) AS y
+      FROM (
+        SELECT k.iter AS k_iter, k.cluster AS k_cluster, k.x AS k_x, k.y AS k_y, v.x AS vx, v.y AS vy,
+               row_number() OVER (
+                 PARTITION BY v.id
+                 ORDER BY CAST(v.x - k.x AS DOUBLE) * (v.x - k.x) + CAST(v.y - k.y AS DOUBLE) * (v.y - k.y),
+                          k.cluster) AS r
+        FROM km k, vectors v
+        WHERE NOT k.done) pairs
+      GROUP BY k_iter, k_cluster, k_x, k_y) stepped) moved_rows
+)
+"""
+FINAL_CENTERS_SQL = "SELECT cluster, x, y FROM km WHERE iter = (SELECT max(iter) FROM km)"
+
+
+def _postings(spark: SparkSession, sf: str) -> DataFrame:
+    return S.postings(spark, sf)
+
+
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.posting_vectors(Q.scored_postings(_postings(spark, sf)), S.STANDIN_TAGS, LANG_SPREAD)
+
+
+def _init_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return P.sample_vectors(_vectors(spark, sf), len(S.STANDIN_TAGS), KERNELS, LANG_SPREAD, SEED)
+
+
+def _init_centers(spark: SparkSession, sf: str) -> list:
+    return P.collect_centroids(_init_frame(spark, sf), KERNELS)
+
+
+def _final(spark: SparkSession, sf: str) -> M.KMeansResult:
+    return M.kmeans(_vectors(spark, sf), _init_centers(spark, sf), ETA, MAX_ITERATIONS)
+
+
+@register(
+    "parse_postings",
+    """
+WITH l AS (
+  SELECT '1,' || CAST(o_orderkey AS VARCHAR) || ',,,0,' || o_orderpriority AS value FROM orders
+  UNION ALL
+  SELECT '2,' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) || ',,' || CAST(l_orderkey AS VARCHAR)
+         || ',' || CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) FROM lineitem),
+f AS (SELECT string_split(value, ',') AS f FROM l)
+SELECT CAST(f[1] AS INTEGER) AS posting_type, CAST(f[2] AS BIGINT) AS id,
+       CAST(nullif(f[3], '') AS BIGINT) AS accepted_answer, CAST(nullif(f[4], '') AS BIGINT) AS parent_id,
+       CAST(f[5] AS INTEGER) AS score, nullif(f[6], '') AS tag
+FROM f
+""",
+)
+def q_parse_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_postings(S.posting_lines(spark, sf))
+
+
+@register("questions", QUESTIONS_SQL)
+def q_questions(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.questions(_postings(spark, sf))
+
+
+@register("answers", ANSWERS_SQL)
+def q_answers(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.answers(_postings(spark, sf))
+
+
+@register("question_answer_pairs", PAIRS_SQL)
+def q_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.question_answer_pairs(_postings(spark, sf))
+
+
+@register("grouped_postings", f"SELECT id, count(*) AS n_pairs FROM ({PAIRS_SQL}) p GROUP BY id")
+def q_grouped_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.grouped_postings(_postings(spark, sf))
+
+
+@register(
+    "answer_high_score",
+    f"SELECT parent_id AS id, greatest(0, max(score)) AS high_score FROM ({ANSWERS_SQL}) a GROUP BY parent_id",
+)
+def q_answer_high_score(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.answer_high_score(_postings(spark, sf))
+
+
+@register("scored_postings", SCORED_SQL)
+def q_scored_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.scored_postings(_postings(spark, sf))
+
+
+@register(
+    "first_tag_index",
+    f"SELECT id, tag, {LANG_INDEX_SQL} AS tag_index FROM ({QUESTIONS_SQL}) q",
+)
+def q_first_tag_index(spark: SparkSession, sf: str) -> DataFrame:
+    q = Q.questions(_postings(spark, sf))
+    return q.select("id", "tag", Q.first_tag_index("tag", S.STANDIN_TAGS).alias("tag_index"))
+
+
+@register("posting_vectors", VECTORS_SQL)
+def q_posting_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return _vectors(spark, sf)
+
+
+@register(
+    "sample_fixed",
+    f"SELECT id, x, y FROM ({VECTORS_SQL}) v ORDER BY {SAMPLE_KEY_SQL}, id LIMIT {KERNELS}",
+)
+def q_sample_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    return P.sample_fixed(_vectors(spark, sf), KERNELS, SEED)
+
+
+@register("sample_per_group", PER_GROUP_SQL)
+def q_sample_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    return P.sample_per_group(_vectors(spark, sf), "x", KERNELS // len(S.STANDIN_TAGS), SEED)
+
+
+@register("sample_vectors", INIT_SQL)
+def q_sample_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    init = _init_frame(spark, sf)
+    P.collect_centroids(init, KERNELS)  # validates the count, as the reference asserts
+    return init
+
+
+@register("nearest_center", _with(*INIT_CTES) + "SELECT id, cluster FROM assigned")
+def q_nearest_center(spark: SparkSession, sf: str) -> DataFrame:
+    centers = _init_centers(spark, sf)
+    return _vectors(spark, sf).select("id", nearest_center(centers).cast("int").alias("cluster"))
+
+
+@register("point_distance", _with(*INIT_CTES) + "SELECT id, cluster, d AS distance FROM assigned")
+def q_point_distance(spark: SparkSession, sf: str) -> DataFrame:
+    centers = _init_centers(spark, sf)
+    return _vectors(spark, sf).select(
+        "id",
+        nearest_center(centers).cast("int").alias("cluster"),
+        nearest_distance(centers).alias("distance"),
+    )
+
+
+@register("average_vectors", _with(*INIT_CTES) + MEANS_SQL)
+def q_average_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return M.average_vectors(_vectors(spark, sf), _init_centers(spark, sf))
+
+
+@register("kmeans_step", _with(*INIT_CTES, ("means", MEANS_SQL)) + STEP_SQL)
+def q_kmeans_step(spark: SparkSession, sf: str) -> DataFrame:
+    return M.kmeans_step(_vectors(spark, sf), _init_centers(spark, sf))
+
+
+@register(
+    "centroid_shift",
+    _with(*INIT_CTES, ("means", MEANS_SQL), ("step", STEP_SQL))
+    + """
+SELECT sum(CAST(c.x - s.x AS DOUBLE) * (c.x - s.x) + CAST(c.y - s.y AS DOUBLE) * (c.y - s.y)) AS shift
+FROM centers c JOIN step s ON c.cluster = s.cluster
+""",
+)
+def q_centroid_shift(spark: SparkSession, sf: str) -> DataFrame:
+    v = _vectors(spark, sf)
+    centers = _init_centers(spark, sf)
+    return M.centroid_shift_frame(M.centroid_frame(spark, centers), M.kmeans_step(v, centers))
+
+
+@register("kmeans", KMEANS_SQL + FINAL_CENTERS_SQL)
+def q_kmeans(spark: SparkSession, sf: str) -> DataFrame:
+    return _final(spark, sf).centers_frame(spark)
+
+
+@register(
+    "kmeans_trace",
+    KMEANS_SQL
+    + "SELECT CAST(iter AS INTEGER) AS iteration, cluster, old_x, old_y, x, y, moved FROM km WHERE iter >= 1",
+)
+def q_kmeans_trace(spark: SparkSession, sf: str) -> DataFrame:
+    return _final(spark, sf).trace_frame(spark)
+
+
+# cluster descriptions over the converged centroids
+CLUSTER_SQL = (
+    KMEANS_SQL.rstrip()
+    + f""",
+centers AS ({FINAL_CENTERS_SQL}),
+assigned AS ({ASSIGN_SQL}),
+per_x AS (SELECT cluster, x, count(*) AS cnt FROM assigned GROUP BY cluster, x),
+labels AS (
+  SELECT cluster, min(x) AS label_x, sum(cnt) AS size,
+         arg_min(cnt, x) AS label_cnt
+  FROM per_x GROUP BY cluster),
+medians AS (SELECT cluster, median(y) AS med FROM assigned GROUP BY cluster),
+results AS (
+  SELECT l.cluster,
+         [{", ".join(_sql_str(t) for t in S.STANDIN_TAGS)}][CAST(label_x // {LANG_SPREAD} AS INTEGER) + 1] AS label,
+         CAST(label_cnt * 100 AS DOUBLE) / size AS percent,
+         CAST(size AS BIGINT) AS size,
+         CAST(trunc(med) AS INTEGER) AS median_score
+  FROM labels l JOIN medians m ON l.cluster = m.cluster)
+"""
+)
+
+
+def _results(spark: SparkSession, sf: str) -> DataFrame:
+    v = _vectors(spark, sf)
+    res = _final(spark, sf)
+    return K.cluster_results(res.centers, M.weighted_vectors(v), S.STANDIN_TAGS, LANG_SPREAD)
+
+
+@register("cluster_results", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")
+def q_cluster_results(spark: SparkSession, sf: str) -> DataFrame:
+    return _results(spark, sf)
+
+
+@register("cluster_label", CLUSTER_SQL + "SELECT cluster, label FROM results")
+def q_cluster_label(spark: SparkSession, sf: str) -> DataFrame:
+    return _results(spark, sf).select("cluster", "label")
+
+
+@register("cluster_percent", CLUSTER_SQL + "SELECT cluster, percent FROM results")
+def q_cluster_percent(spark: SparkSession, sf: str) -> DataFrame:
+    return _results(spark, sf).select("cluster", "percent")
+
+
+@register("cluster_size", CLUSTER_SQL + "SELECT cluster, size FROM results")
+def q_cluster_size(spark: SparkSession, sf: str) -> DataFrame:
+    return _results(spark, sf).select("cluster", "size")
+
+
+@register("cluster_median", CLUSTER_SQL + "SELECT cluster, median_score FROM results")
+def q_cluster_median(spark: SparkSession, sf: str) -> DataFrame:
+    return _results(spark, sf).select("cluster", "median_score")
+
+
+@register(
+    "cluster_report",
+    CLUSTER_SQL
+    + f"""
+SELECT CAST(i AS INTEGER) AS line_no, line FROM (VALUES
+  {", ".join(f"({i}, {_sql_str(s)})" for i, s in enumerate(K.REPORT_HEADER))}) h(i, line)
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY median_score, cluster) + {len(K.REPORT_HEADER) - 1} AS INTEGER),
+       printf('{K.REPORT_LINE}', median_score, label, percent, size)
+FROM results
+""",
+)
+def q_cluster_report(spark: SparkSession, sf: str) -> DataFrame:
+    return K.cluster_report(_results(spark, sf))
