@@ -615,3 +615,42 @@ FROM results
 )
 def q_cluster_report(spark: SparkSession, sf: str) -> DataFrame:
     return K.cluster_report(_results(spark, sf))
+
+
+# ------------------------------------------------------------ pipelines ----
+
+from tessera.plans import pipelines as PL  # noqa: E402
+
+
+@register(
+    "pipeline_terms",
+    f"""
+WITH articles AS (
+  SELECT substring(value, 15, i - 15) AS title,
+         substring(value, i + 14, length(value) - 16 - (i + 13)) AS text
+  FROM (SELECT value, instr(value, '</title><text>') AS i FROM (
+    SELECT {_sql_str(S.ARTICLE_LEAD)} || CAST(doc_id AS VARCHAR) || '</title><text>' || text
+           || {_sql_str(S.ARTICLE_TRAIL)} AS value FROM documents) l) p),
+terms AS ({TERMS_SQL}),
+hits AS (SELECT a.title, t.term, t.position FROM articles a JOIN terms t ON {MENTIONS_SQL})
+SELECT 'scan' AS strategy, t.term, count(h.title) AS n
+FROM terms t LEFT JOIN hits h ON t.position = h.position GROUP BY t.term, t.position
+UNION ALL SELECT 'index', term, count(*) FROM hits GROUP BY term
+UNION ALL SELECT 'count', term, count(*) FROM hits GROUP BY term
+""",
+)
+def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
+    articles = parse_articles(S.article_lines(spark, sf))
+    return PL.pipeline_terms(articles, S.STANDIN_TERMS)
+
+
+@register("pipeline_clusters", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")
+def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    postings = parse_postings(S.posting_lines(spark, sf))
+    described, _ = PL.pipeline_clusters(postings, S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED)
+    return described
+
+
+@register("pipeline_survey", GROUPED_SQL)
+def q_pipeline_survey(spark: SparkSession, sf: str) -> DataFrame:
+    return PL.pipeline_survey(_survey(spark, sf), via_decimal=True)
