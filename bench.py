@@ -25,13 +25,14 @@ from tessera.plans import catalog as C  # noqa: E402
 from tessera.plans import pipelines as PL  # noqa: E402
 from tessera.session import local_session  # noqa: E402
 from tessera.sources import tables as S  # noqa: E402
-from tessera.sources.postings import parse_postings  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "4"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 HEADLINE = [
+    "parse_articles",
+    "parse_postings",
     "rank_terms_scan",
     "rank_terms_index",
     "rank_terms_count",
@@ -62,7 +63,7 @@ def main() -> None:
         timings[name] = round(statistics.median(samples), 3)
 
     # k-means detail: iterations and seconds per iteration
-    postings = parse_postings(S.posting_lines(spark, SF_DIR))
+    postings = S.postings(spark, SF_DIR)
     t0 = time.perf_counter()
     described, result = PL.pipeline_clusters(
         postings, S.STANDIN_TAGS, C.LANG_SPREAD, C.KERNELS, C.ETA, C.MAX_ITERATIONS, C.SEED

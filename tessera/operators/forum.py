@@ -80,21 +80,29 @@ def answer_high_score(postings: DataFrame) -> DataFrame:
 def scored_postings(postings: DataFrame, dedupe: bool = True) -> DataFrame:
     """One row per answered question: posting fields + ``high_score``.
 
-    Answers are reduced to their maximum per question *before* the join,
-    so the join sees one row per question on both sides.  Questions that
-    share an id are reduced to the lowest one (deterministic stand-in for
-    "an arbitrary one").
+    Answers are reduced to their maximum per question *before* the join
+    (hash aggregation with map-side combine, so a question with a huge
+    share of all answers costs one row per task), and the join sees one
+    answer row per question.  Questions sharing an id are reduced to the
+    lowest one (a deterministic stand-in for "an arbitrary one"); that
+    reduction runs after the sort-merge join, whose output is already
+    partitioned and sorted by id, so it adds no shuffle.
     """
-    best = answers(postings).groupBy("parent_id").agg(F.max("score").alias("_max"))
-    q = questions(postings)
-    if dedupe:
-        q = q.groupBy("id").agg(
-            F.min(F.struct(*[c for c in POSTING_FIELDS if c != "id"])).alias("_q")
-        ).select("id", "_q.*")
-    joined = q.join(best, q["id"] == best["parent_id"])
-    return joined.select(
-        *[q[c] for c in POSTING_FIELDS], high_score(F.col("_max")).alias("high_score")
+    best = (
+        answers(postings)
+        .groupBy(F.col("parent_id").alias("_parent"))
+        .agg(F.max("score").alias("_max"))
     )
+    q = questions(postings).select(*[F.col(c).alias(c) for c in POSTING_FIELDS])
+    joined = q.join(best, F.col("id") == F.col("_parent"))
+    if dedupe:
+        others = [c for c in POSTING_FIELDS if c != "id"]
+        joined = (
+            joined.groupBy("id")
+            .agg(F.min(F.struct(*others)).alias("_q"), F.max("_max").alias("_max"))
+            .select("id", *[F.col(f"_q.{c}").alias(c) for c in others], "_max")
+        )
+    return joined.select(*POSTING_FIELDS, high_score(F.col("_max")).alias("high_score"))
 
 
 def first_tag_index(tag: str | Column, languages: Sequence[str]) -> Column:

@@ -116,6 +116,7 @@ class KMeansResult:
     iterations: int
     shift: float
     trace: list[tuple] = field(default_factory=list)
+    inputs: object = None
 
     TRACE_SCHEMA = (
         "iteration int, cluster int, old_x long, old_y long, x long, y long, moved double"
@@ -147,13 +148,19 @@ def kmeans(
 
     The (weighted) input is materialised once - checkpointed to the
     cluster's shared checkpoint folder when one is configured, persisted
-    otherwise - and released when done.  Centroids travel inside each
+    otherwise - and released when done.  Input that already carries a
+    weight column ``n`` is taken as weighted and materialised by the
+    caller.  Centroids travel inside each
     plan as literals, so lineage does not grow across iterations.
     """
     if max_iterations < 1:
         raise ValueError("max_iterations must be at least 1")
-    data = weighted_vectors(vectors) if weighted else vectors.select("x", "y")
-    data = materialize(data)
+    owned = not (weighted and "n" in vectors.columns)
+    if owned:
+        data = weighted_vectors(vectors) if weighted else vectors.select("x", "y")
+        data = materialize(data, "kmeans-input")
+    else:  # already weighted (x, y, n) and materialised by the caller
+        data = vectors
     try:
         means = [(int(x), int(y)) for x, y in centers]
         trace: list[tuple] = []
@@ -170,4 +177,5 @@ def kmeans(
             means = new
             iteration += 1
     finally:
-        release(data)
+        if owned:
+            release(data)

@@ -646,8 +646,9 @@ def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("pipeline_clusters", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")
 def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    postings = parse_postings(S.posting_lines(spark, sf))
-    described, _ = PL.pipeline_clusters(postings, S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED)
+    described, _ = PL.pipeline_clusters(
+        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED
+    )
     return described
 
 

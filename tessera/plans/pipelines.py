@@ -21,6 +21,7 @@ from tessera.operators import kmeans as M
 from tessera.operators import sampling as P
 from tessera.operators import survey as U
 from tessera.operators import terms as T
+from tessera.session import materialize, release
 
 STRATEGIES = ("scan", "index", "count")
 
@@ -78,21 +79,36 @@ def pipeline_clusters(
     max_iterations: int = M.DEFAULT_MAX_ITERATIONS,
     seed: int = P.DEFAULT_SEED,
     label_rule: str = "lowest",
+    materialize_postings: bool = False,
 ) -> tuple[DataFrame, M.KMeansResult]:
     """Cluster answered questions by (language, best answer score).
 
     Returns the cluster descriptions (lazy) and the k-means result.  The
-    vectors are collapsed to distinct weighted points once; sampling reads
-    the raw vectors, every k-means step and the description read the
-    collapsed table.
+    vectors (one row per answered question) are materialised once and
+    feed both the sampler and the collapse to distinct weighted points;
+    the weighted table (bounded by the number of distinct points, not by
+    the number of postings) is materialised too and feeds every k-means
+    step and the description.  ``result.inputs`` holds it for
+    :func:`tessera.session.release`.
     """
-    vectors = Q.posting_vectors(Q.scored_postings(postings), languages, lang_spread)
-    init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed)
-    centers = P.collect_centroids(init, kernels)
-    result = M.kmeans(vectors, centers, eta, max_iterations, weighted=True)
-    described = K.cluster_results(
-        result.centers, M.weighted_vectors(vectors), languages, lang_spread, label_rule
+    if materialize_postings:
+        # parsed text: parse every line once (the question and answer
+        # filters would otherwise each re-run the parse expression)
+        postings = materialize(postings, "postings")
+    vectors = materialize(
+        Q.posting_vectors(Q.scored_postings(postings), languages, lang_spread), "vectors"
     )
+    try:
+        weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
+        init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed)
+        centers = P.collect_centroids(init, kernels)
+    finally:
+        release(vectors)
+        if materialize_postings:
+            release(postings)
+    result = M.kmeans(weighted, centers, eta, max_iterations, weighted=True)
+    result.inputs = weighted  # release it once `described` has run
+    described = K.cluster_results(result.centers, weighted, languages, lang_spread, label_rule)
     return described, result
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
@@ -67,19 +68,37 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def materialize(df: DataFrame) -> DataFrame:
+_WRITTEN: dict[int, str] = {}
+
+
+def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     """Cut lineage of a reused intermediate result.
 
-    With a shared checkpoint folder configured, the result is written
-    there (survives executor loss without recomputation).  Without one the
-    result is persisted to memory and disk; a lost block is recomputed from
-    lineage.  The caller releases it with :func:`release`.
+    With a shared checkpoint folder configured (``spark.checkpoint.dir``),
+    the result is written there once as a parquet table and read back:
+    one job, columnar, and it survives executor loss without recomputing
+    its lineage.  Without one the result is persisted to memory and disk;
+    a lost block is then recomputed from lineage.  Release it with
+    :func:`release`.
     """
-    if checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if base is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    out = spark.read.parquet(path)
+    _WRITTEN[id(out)] = path
+    return out
 
 
 def release(df: DataFrame) -> None:
-    """Drop a persisted or checkpointed intermediate from the cache."""
-    df.unpersist()
+    """Drop a materialised intermediate (cached blocks or written table)."""
+    path = _WRITTEN.pop(id(df), None)
+    if path is None:
+        df.unpersist()
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -23,12 +23,12 @@ _INT = r"[+-]?[0-9]+"
 LINE_PATTERN = rf"^{_INT},{_INT},({_INT})?,({_INT})?,{_INT}(,.*)?$"
 
 
-def posting_columns(value: Column, strict: bool = True) -> list[Column]:
-    f = F.split(value, ",", -1)
+def posting_columns(value: Column, fields: Column, strict: bool = True) -> list[Column]:
+    """Posting columns from a raw line and its comma-split ``fields``."""
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
 
     def field(i: int) -> Column:
-        return F.try_element_at(f, F.lit(i + 1))
+        return F.try_element_at(fields, F.lit(i + 1))
 
     ptype = cast(field(0), "int")
     if strict:
@@ -50,13 +50,15 @@ def parse_postings(lines: DataFrame, column: str = "value", strict: bool = True)
 
     ``strict`` fails the job on a malformed line (bad integer, too few
     fields), like the reference.  Otherwise bad integers become null and a
-    ``malformed`` flag marks the line.
+    ``malformed`` flag marks the line.  The line is split once, in its own
+    projection, and every field is read from that array.
     """
-    v = F.col(column)
-    cols = posting_columns(v, strict)
+    v = F.col("_line")
+    split = lines.select(F.col(column).alias("_line"), F.split(F.col(column), ",", -1).alias("_f"))
+    cols = posting_columns(v, F.col("_f"), strict)
     if strict:
-        return lines.select(*cols)
-    return lines.select(*cols, (~F.coalesce(v.rlike(LINE_PATTERN), F.lit(False))).alias("malformed"))
+        return split.select(*cols)
+    return split.select(*cols, (~F.coalesce(v.rlike(LINE_PATTERN), F.lit(False))).alias("malformed"))
 
 
 def read_postings(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
