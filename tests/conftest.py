@@ -1,0 +1,31 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tessera.session import local_session  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    s = local_session(cores="*", shuffle_partitions=8, scratch=scratch)
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp_dir():
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
