@@ -108,9 +108,25 @@ def grouped_sql(view: str = "{summed}", via_decimal: bool = False) -> str:
     )
 
 
-def time_usage_grouped_sql(summed: DataFrame, via_decimal: bool = False) -> DataFrame:
-    """Same as :func:`time_usage_grouped`, written in SQL over the DataFrame."""
-    return summed.sparkSession.sql(grouped_sql("{summed}", via_decimal), summed=summed)
+def register_view(df: DataFrame, name: str) -> str:
+    """Name a DataFrame for SQL in this session; returns the name."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
+def time_usage_grouped_sql(
+    summed: DataFrame, via_decimal: bool = False, view_name: str | None = None
+) -> DataFrame:
+    """Same as :func:`time_usage_grouped`, written in SQL.
+
+    By default the DataFrame is passed to ``spark.sql`` as an argument (no
+    session-wide name); with ``view_name`` it is registered as a temporary
+    view of that name and the statement reads the view.
+    """
+    spark = summed.sparkSession
+    if view_name is None:
+        return spark.sql(grouped_sql("{summed}", via_decimal), summed=summed)
+    return spark.sql(grouped_sql(register_view(summed, view_name), via_decimal))
 
 
 def time_usage_summary_typed(summary: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ matters: it breaks ties) or, for long lists, a DataFrame ``(term[,
 position])``.  Three ranking strategies give the reference's three answers:
 
 * :func:`rank_terms_scan`  - every list entry, zero counts kept, repeated
-  entries repeated.  One pass with one conditional count per distinct term.
+  entries repeated.  One pass for all terms (not one scan per term).
 * :func:`rank_terms_index` - sizes of the entries of an inverted index; no
   zero-count terms; repeated list entries count once per entry.
 * :func:`rank_terms_count` - (term, 1) pairs summed by key with map-side
@@ -133,45 +133,43 @@ def term_doc_count(articles: DataFrame, term: str, text: str = "text") -> DataFr
     )
 
 
+def _distinct_term_counts(articles: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
+    """Articles per distinct listed term (mentioned terms only): ``term, n``.
+
+    One split per article, an explode of at most one row per distinct
+    term, and a partial aggregate: each task shuffles at most one row per
+    distinct term.
+    """
+    return (
+        articles.select(F.explode(matched_terms(text, terms)).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def rank_terms_scan(
     articles: DataFrame, terms: TermsArg, key: str = "title", text: str = "text"
 ) -> DataFrame:
     """Every list entry with its article count, zero counts kept.
 
-    Output ``term, position, n`` ordered by ``n`` desc, ``position``.
-    Short lists: one scan, one conditional count per distinct term, then the
-    single result row is unfolded into one row per list entry.
+    Output ``term, position, n`` ordered by ``n`` desc, ``position``.  One
+    pass counts the distinct terms; the list is then left-joined to those
+    counts (at most one row per listed term, broadcast).
     """
+    tf = term_frame(articles.sparkSession, terms)
     if _is_inline(terms):
-        terms = list(terms)
-        uniq = list(dict.fromkeys(terms))
-        slot = {t: i for i, t in enumerate(uniq)}
-        counts = articles.agg(
-            *[F.count_if(mentions_term(text, t)).alias(f"c{i}") for i, t in enumerate(uniq)]
-        )
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(t).alias("term"),
-                    F.lit(p).alias("position"),
-                    F.col(f"c{slot[t]}").alias("n"),
-                )
-                for p, t in enumerate(terms)
-            ]
+        counts = F.broadcast(_distinct_term_counts(articles, list(terms), text))
+        joined = tf.join(counts, "term", "left")
+    else:
+        counts = (
+            term_hits(articles, tf, key, text)
+            .groupBy("term", "position")
+            .agg(F.count(F.lit(1)).alias("n"))
         )
-        return counts.select(F.inline(rows)).orderBy(F.desc("n"), "position")
-
-    tf = term_frame(articles.sparkSession, terms)
-    counts = (
-        term_hits(articles, tf, key, text)
-        .groupBy("term", "position")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return (
-        tf.join(counts, ["term", "position"], "left")
-        .select("term", "position", F.coalesce("n", F.lit(0)).alias("n"))
-        .orderBy(F.desc("n"), "position")
-    )
+        joined = tf.join(counts, ["term", "position"], "left")
+    return joined.select(
+        "term", "position", F.coalesce("n", F.lit(0)).alias("n")
+    ).orderBy(F.desc("n"), "position")
 
 
 def inverted_index(
@@ -223,11 +221,7 @@ def rank_terms_count(
         terms = list(terms)
         first = _first_positions(terms)
         mult = _multiplicity(terms)
-        counts = (
-            articles.select(F.explode(matched_terms(text, terms)).alias("term"))
-            .groupBy("term")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
+        counts = _distinct_term_counts(articles, terms, text)
         n = F.col("n")
         if any(m > 1 for m in mult.values()):
             n = n * F.element_at(literal_map(list(mult.items())), F.col("term"))

@@ -1,0 +1,5 @@
+"""Incremental forms of the batch operators over file streams.
+
+The reference has no streaming operators; this package only runs the
+existing term count over a directory that receives new article files.
+"""

@@ -1,0 +1,31 @@
+"""Running term counts over arriving article files match the batch count."""
+
+from __future__ import annotations
+
+import os
+
+from tessera.operators.terms import rank_terms_count
+from tessera.sources.articles import read_articles
+from tessera.streaming.terms import start_running_term_counts
+from tests.test_sources import record
+
+
+def test_running_counts_follow_new_files(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "incoming")
+    os.makedirs(src)
+    terms = ["Java", "Scala", "Cobol"]
+    with open(os.path.join(src, "a.dat"), "w") as f:
+        f.write("\n".join([record("1", "Scala is great"), record("2", "Java and Scala"), "junk line"]) + "\n")
+    q = start_running_term_counts(spark, src, terms, query_name="tc_test")
+    try:
+        q.processAllAvailable()
+        assert sorted(tuple(r) for r in spark.table("tc_test").collect()) == [("Java", 1), ("Scala", 2)]
+        with open(os.path.join(src, "b.dat"), "w") as f:
+            f.write(record("3", "Java is for enterprise developers") + "\n")
+        q.processAllAvailable()
+        got = sorted(tuple(r) for r in spark.table("tc_test").collect())
+    finally:
+        q.stop()
+    assert got == [("Java", 2), ("Scala", 2)]
+    batch = rank_terms_count(read_articles(spark, src, strict=False).where("not malformed"), terms)
+    assert sorted(tuple(r) for r in batch.collect()) == got

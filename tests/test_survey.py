@@ -71,7 +71,9 @@ def test_grouped_variants_agree(spark):
     a = [tuple(r) for r in U.time_usage_grouped(s).collect()]
     b = [tuple(r) for r in U.time_usage_grouped_sql(s).collect()]
     c = [tuple(r) for r in U.time_usage_grouped_typed(s).collect()]
-    assert a == b == c
+    d = [tuple(r) for r in U.time_usage_grouped_sql(s, view_name="summed").collect()]
+    assert a == b == c == d
+    assert spark.catalog.tableExists("summed")
     keys = [r[:3] for r in a]
     assert keys == sorted(keys)
     got = [(f.name, f.dataType) for f in U.time_usage_grouped_typed(s).schema]
