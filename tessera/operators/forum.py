@@ -80,13 +80,14 @@ def answer_high_score(postings: DataFrame) -> DataFrame:
 def scored_postings(postings: DataFrame, dedupe: bool = True) -> DataFrame:
     """One row per answered question: posting fields + ``high_score``.
 
-    Answers are reduced to their maximum per question *before* the join
-    (hash aggregation with map-side combine, so a question with a huge
-    share of all answers costs one row per task), and the join sees one
-    answer row per question.  Questions sharing an id are reduced to the
-    lowest one (a deterministic stand-in for "an arbitrary one"); that
-    reduction runs after the sort-merge join, whose output is already
-    partitioned and sorted by id, so it adds no shuffle.
+    Both sides are reduced to one row per question id *before* the
+    shuffle: answers to their maximum score (hash aggregation with
+    map-side combine), questions sharing an id to the lowest one (a
+    deterministic stand-in for "an arbitrary one"; partial aggregation
+    collapses copies inside each task).  A question holding a third of
+    all answers, or a third of all rows being copies of one question,
+    then costs one row per task, and the join sees unique keys on both
+    sides - no skewed join task.
     """
     best = (
         answers(postings)
@@ -94,14 +95,14 @@ def scored_postings(postings: DataFrame, dedupe: bool = True) -> DataFrame:
         .agg(F.max("score").alias("_max"))
     )
     q = questions(postings).select(*[F.col(c).alias(c) for c in POSTING_FIELDS])
-    joined = q.join(best, F.col("id") == F.col("_parent"))
     if dedupe:
         others = [c for c in POSTING_FIELDS if c != "id"]
-        joined = (
-            joined.groupBy("id")
-            .agg(F.min(F.struct(*others)).alias("_q"), F.max("_max").alias("_max"))
-            .select("id", *[F.col(f"_q.{c}").alias(c) for c in others], "_max")
+        q = (
+            q.groupBy("id")
+            .agg(F.min(F.struct(*others)).alias("_q"))
+            .select("id", *[F.col(f"_q.{c}").alias(c) for c in others])
         )
+    joined = q.join(best, F.col("id") == F.col("_parent"))
     return joined.select(*POSTING_FIELDS, high_score(F.col("_max")).alias("high_score"))
 
 

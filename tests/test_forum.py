@@ -76,3 +76,28 @@ def test_scored_plan_aggregates_answers_before_join(spark, postings):
     p = plan_text(Q.scored_postings(postings))
     assert "Python" not in p and "NestedLoopJoin" not in p
     assert Row  # keep import used
+
+
+def test_hot_question_and_copies_are_pre_aggregated(spark):
+    """A third of the rows are copies of one question, a third answer it."""
+    from pyspark.sql import functions as F
+
+    from tests.conftest import plan_text
+
+    n = 3000
+    base = spark.range(n)
+    copies = base.select(F.lit(1).alias("posting_type"), F.lit(7).cast("long").alias("id"),
+                         F.lit(None).cast("long").alias("accepted_answer"), F.lit(None).cast("long").alias("parent_id"),
+                         F.lit(1).alias("score"), F.lit("Java").alias("tag"))
+    others = base.select(F.lit(1), (F.col("id") + 100).alias("id"), F.lit(None).cast("long"), F.lit(None).cast("long"),
+                         F.lit(0), F.lit("Scala"))
+    hot = base.select(F.lit(2), (F.col("id") + 10**6).alias("id"), F.lit(None).cast("long"), F.lit(7).cast("long"),
+                      (F.col("id") % 50).cast("int"), F.lit(None).cast("string"))
+    cold = base.select(F.lit(2), (F.col("id") + 10**7).alias("id"), F.lit(None).cast("long"), (F.col("id") + 100).alias("p"),
+                       F.lit(3), F.lit(None).cast("string"))
+    postings = copies.union(others).union(hot).union(cold).toDF(*[c.split()[0] for c in POSTING_SCHEMA.split(", ")])
+    scored = Q.scored_postings(postings)
+    rows = {r.id: r.high_score for r in scored.collect()}
+    assert len(rows) == n + 1 and rows[7] == 49 and rows[100] == 3
+    p = plan_text(scored)
+    assert "partial_min" in p and "partial_max" in p
