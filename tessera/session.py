@@ -23,10 +23,10 @@ def local_session(
 ) -> SparkSession:
     """Local-mode session with the UI off and AQE on.
 
-    ``scratch`` is a fresh per-run folder; the checkpoint directory (and
-    the event log, if asked for) go below it.  Only local runs use a
-    machine-local folder; on a cluster ``spark.checkpoint.dir`` comes from
-    the cluster configuration.
+    ``scratch`` is a fresh per-run folder for local spill files (and the
+    event log, if asked for).  The checkpoint folder is whatever the
+    configuration names in ``spark.checkpoint.dir``; only when it names
+    none does this local helper fall back to a folder below ``scratch``.
     """
     if scratch is None:
         scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -44,7 +44,6 @@ def local_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
         .config("spark.local.dir", os.path.join(scratch, "local"))
-        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
     )
     if event_log:
         builder = builder.config("spark.eventLog.enabled", "true").config(
@@ -53,6 +52,8 @@ def local_session(
         os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if checkpoint_dir(spark) is None:  # only where the environment names none
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     return spark
 
 
@@ -77,14 +78,16 @@ def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     With a shared checkpoint folder configured (``spark.checkpoint.dir``),
     the result is written there once as a parquet table and read back:
     one job, columnar, and it survives executor loss without recomputing
-    its lineage.  Without one the result is persisted to memory and disk;
-    a lost block is then recomputed from lineage.  Release it with
+    its lineage.  Without one the result is computed now and persisted to
+    memory and disk; a lost block is then recomputed from lineage.  Release it with
     :func:`release`.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     if base is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()  # compute now, while whatever it reads is still available
+        return out
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     out = spark.read.parquet(path)
