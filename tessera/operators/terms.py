@@ -32,9 +32,10 @@ from tessera.functions.text import (
 # Longest term list inlined into the plan as literals; longer lists, and
 # term DataFrames, use a token equi-join instead.
 INLINE_TERMS_LIMIT = 512
-# A term table with at most this many rows is broadcast to the token join;
-# a larger one is shuffled on the term (AQE splits skewed tokens).
+# A term table within both limits is broadcast to the token join; a larger
+# one is shuffled on the term (AQE splits skewed tokens).
 BROADCAST_TERMS_LIMIT = 1_000_000
+BROADCAST_TERMS_BYTES = 64 * 1024 * 1024
 
 TermsArg = Sequence[str] | DataFrame
 
@@ -71,9 +72,17 @@ def _multiplicity(terms: Sequence[str]) -> dict[str, int]:
     return mult
 
 
-def _broadcast_checked(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast ``df`` only if its row count is within ``limit``."""
-    return F.broadcast(df) if df.count() <= limit else df
+def _broadcast_checked(tf: DataFrame) -> DataFrame:
+    """Broadcast a term table only after measuring it (rows and text bytes)."""
+    stats = tf.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes"),
+    ).first()
+    rows, nbytes = stats["rows"], stats["bytes"]
+    # ~ 32 bytes of row and hash-table overhead per entry on top of the text
+    if rows <= BROADCAST_TERMS_LIMIT and nbytes + 32 * rows <= BROADCAST_TERMS_BYTES:
+        return F.broadcast(tf)
+    return tf
 
 
 def term_hits(
@@ -122,7 +131,7 @@ def term_hits(
     distinct_grams = articles.select(
         *carried, F.explode(F.array_distinct(all_grams)).alias("term")
     )
-    right = _broadcast_checked(tf, BROADCAST_TERMS_LIMIT)
+    right = _broadcast_checked(tf)
     return distinct_grams.join(right, "term").select(key, "term", "position", *keep)
 
 

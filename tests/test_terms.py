@@ -145,3 +145,19 @@ def test_no_nested_loop_join_and_no_python(spark):
     for df in rankings(a, ["Java", "Scala"]).values():
         p = plan_text(df)
         assert "NestedLoopJoin" not in p and "Python" not in p and "CartesianProduct" not in p
+
+
+def test_term_table_broadcast_is_gated(spark, monkeypatch):
+    from tests.conftest import plan_text
+
+    a = arts(spark, RANK5)
+    tdf = spark.createDataFrame([(0, "Java"), (1, "Scala")], "position int, term string")
+    assert "BroadcastExchange" in plan_text(T.term_hits(a, tdf)) or "Broadcast" in plan_text(T.term_hits(a, tdf))
+    monkeypatch.setattr(T, "BROADCAST_TERMS_LIMIT", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = T.term_hits(a, tdf)
+        assert "SortMergeJoin" in plan_text(hits)
+        assert sorted((r.term, r.title) for r in hits.collect())[:2] == [("Java", "2"), ("Java", "4")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
