@@ -571,9 +571,12 @@ results AS (
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
-    v = _vectors(spark, sf)
-    res = _final(spark, sf)
-    return K.cluster_results(res.centers, M.weighted_vectors(v), S.STANDIN_TAGS, LANG_SPREAD)
+    from tessera.plans.pipelines import pipeline_clusters
+
+    described, _ = pipeline_clusters(
+        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED
+    )
+    return described
 
 
 @register("cluster_results", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")

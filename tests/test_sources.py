@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import Row
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
