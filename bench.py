@@ -40,6 +40,7 @@ HEADLINE = [
     "scored_postings",
     "pipeline_clusters",
     "pipeline_survey",
+    "pipeline_survey_wide",
     "time_usage_grouped_sql",
 ]
 

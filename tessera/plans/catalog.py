@@ -658,3 +658,92 @@ def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
 @register("pipeline_survey", GROUPED_SQL)
 def q_pipeline_survey(spark: SparkSession, sf: str) -> DataFrame:
     return PL.pipeline_survey(_survey(spark, sf), via_decimal=True)
+
+
+# ------------------------------------------------- operator option variants ----
+
+LANGUAGE_TERMS_SQL = f"SELECT * FROM (VALUES {_values(list(enumerate(S.LANGUAGES)))}) AS t(position, term)"
+
+
+@register(
+    "rank_languages_scan",
+    f"""
+SELECT t.term, t.position, count(a.title) AS n
+FROM ({LANGUAGE_TERMS_SQL}) t LEFT JOIN ({ARTICLES_SQL}) a ON {MENTIONS_SQL}
+GROUP BY t.term, t.position
+""",
+)
+def q_rank_languages_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return T.rank_terms_scan(S.articles(spark, sf), S.LANGUAGES)
+
+
+SMALL_SPREAD = 100
+SMALL_SPREAD_VECTORS_SQL = VECTORS_SQL.replace(f"* {LANG_SPREAD} AS x", f"* {SMALL_SPREAD} AS x")
+
+
+@register(
+    "sample_vectors_small_spread",
+    f"""
+SELECT CAST(row_number() OVER (ORDER BY x, sample_rank) - 1 AS INTEGER) AS cluster, x, y FROM (
+  SELECT x, y, row_number() OVER (ORDER BY {SAMPLE_KEY_SQL}, id) AS sample_rank
+  FROM (SELECT * FROM ({SMALL_SPREAD_VECTORS_SQL}) v ORDER BY {SAMPLE_KEY_SQL}, id LIMIT {KERNELS}) s) r
+""",
+)
+def q_sample_vectors_small_spread(spark: SparkSession, sf: str) -> DataFrame:
+    v = Q.posting_vectors(Q.scored_postings(_postings(spark, sf)), S.STANDIN_TAGS, SMALL_SPREAD)
+    init = P.sample_vectors(v, len(S.STANDIN_TAGS), KERNELS, SMALL_SPREAD, SEED)
+    P.collect_centroids(init, KERNELS)
+    return init
+
+
+@register(
+    "cluster_results_mode",
+    CLUSTER_SQL.replace(
+        "labels AS (",
+        """mode_x AS (
+  SELECT cluster, x AS mode_x, cnt AS mode_cnt FROM (
+    SELECT cluster, x, cnt, row_number() OVER (PARTITION BY cluster ORDER BY cnt DESC, x) AS r
+    FROM per_x) m WHERE r = 1),
+labels_lowest AS (""",
+    ).replace(
+        "medians AS (",
+        """labels AS (
+  SELECT l.cluster, m.mode_x AS label_x, l.size, m.mode_cnt AS label_cnt
+  FROM labels_lowest l JOIN mode_x m ON l.cluster = m.cluster),
+medians AS (""",
+    )
+    + "SELECT cluster, label, percent, size, median_score FROM results",
+)
+def q_cluster_results_mode(spark: SparkSession, sf: str) -> DataFrame:
+    described, _ = PL.pipeline_clusters(
+        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
+        label_rule="mode",
+    )
+    return described
+
+
+def _wide_sql() -> str:
+    cols = S.wide_survey_columns()
+    acts = ", ".join(
+        f"CAST(({S.WIDE_KEYS[k]} + {i}) % {m} AS DOUBLE) AS {name}" for i, (name, k, m) in enumerate(cols)
+    )
+    table = (
+        "SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS tucaseid, "
+        "CAST(1 + l_orderkey % 5 AS DOUBLE) AS telfs, CAST(1 + l_partkey % 2 AS DOUBLE) AS tesex, "
+        f"CAST(10 + l_suppkey % 70 AS DOUBLE) AS teage, {acts} FROM lineitem"
+    )
+    p, w, o = U.classify_columns([c[0] for c in cols])
+    hours = (
+        f"{balanced_sum_sql(p)} / 60 AS primaryNeeds, {balanced_sum_sql(w)} / 60 AS work, "
+        f"{balanced_sum_sql(o)} / 60 AS other"
+    )
+    summary = (
+        f"SELECT {WORKING_SQL} AS working, {SEX_SQL} AS sex, {AGE_SQL} AS age, {hours} "
+        f"FROM ({table}) s WHERE telfs <= 4"
+    )
+    return U.grouped_sql(f"({summary}) summed", via_decimal=True)
+
+
+@register("pipeline_survey_wide", _wide_sql())
+def q_pipeline_survey_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return PL.pipeline_survey(S.wide_survey_table(spark, sf), via_decimal=True)

@@ -132,3 +132,41 @@ def survey_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         d(F.col("l_linenumber") + 1).alias("t170101"),
         d(F.col("l_orderkey") % 3).alias("t500101"),
     )
+
+
+# Wide survey: 450 activity columns named by rule, cycling through the
+# activity-code prefixes (including two that match no group).
+WIDE_PREFIXES = [
+    "t01", "t03", "t11", "t1801", "t1803", "t05", "t1805", "t02", "t04", "t06",
+    "t07", "t08", "t09", "t10", "t12", "t13", "t14", "t15", "t16", "t18", "t17", "t50",
+]
+WIDE_ACTIVITY_COLUMNS = 450
+
+
+def wide_survey_columns(n: int = WIDE_ACTIVITY_COLUMNS) -> list[tuple[str, int, int]]:
+    """(name, key column index, modulus) for each generated activity column."""
+    out = []
+    for i in range(n):
+        prefix = WIDE_PREFIXES[i % len(WIDE_PREFIXES)]
+        out.append((f"{prefix}{i:04d}", i % 3, 7 + i % 53))
+    return out
+
+
+WIDE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey"]
+
+
+def wide_survey_table(spark: SparkSession, sf_dir: str, n: int = WIDE_ACTIVITY_COLUMNS) -> DataFrame:
+    """``survey_table``'s respondent columns plus ``n`` activity columns,
+    each ``(key + i) % modulus`` minutes of one of the lineitem keys."""
+    li = table(spark, sf_dir, "lineitem")
+    acts = [
+        ((F.col(WIDE_KEYS[k]) + i) % m).cast("double").alias(name)
+        for i, (name, k, m) in enumerate(wide_survey_columns(n))
+    ]
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string").alias("tucaseid"),
+        (1 + F.col("l_orderkey") % 5).cast("double").alias("telfs"),
+        (1 + F.col("l_partkey") % 2).cast("double").alias("tesex"),
+        (10 + F.col("l_suppkey") % 70).cast("double").alias("teage"),
+        *acts,
+    )
