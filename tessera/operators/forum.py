@@ -48,14 +48,21 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
 def grouped_postings(postings: DataFrame) -> DataFrame:
     """Question id -> number of (question, answer) pairs: ``id, n_pairs``.
 
-    The pairs of a question stay flat (see :func:`question_answer_pairs`);
-    they are never gathered into one row, since a popular question could
-    hold an unbounded share of all answers.
+    Computed without forming the pairs: the pair count of an id is
+    (questions with that id) x (answers pointing at it), so each side is
+    counted with map-side combine and the join sees unique keys - a
+    question holding a third of all answers costs one row per task.  The
+    pairs themselves stay flat (:func:`question_answer_pairs`); they are
+    never gathered into one row per question.
     """
-    return (
-        question_answer_pairs(postings)
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("n_pairs"))
+    nq = questions(postings).groupBy("id").agg(F.count(F.lit(1)).alias("_nq"))
+    na = (
+        answers(postings)
+        .groupBy(F.col("parent_id").alias("_parent"))
+        .agg(F.count(F.lit(1)).alias("_na"))
+    )
+    return nq.join(na, F.col("id") == F.col("_parent")).select(
+        "id", (F.col("_nq") * F.col("_na")).alias("n_pairs")
     )
 
 

@@ -101,3 +101,13 @@ def test_hot_question_and_copies_are_pre_aggregated(spark):
     assert len(rows) == n + 1 and rows[7] == 49 and rows[100] == 3
     p = plan_text(scored)
     assert "partial_min" in p and "partial_max" in p
+
+
+def test_grouped_counts_multiply_duplicates(spark):
+    df = spark.createDataFrame(
+        [(1, 7, None, None, 3, "Scala"), (1, 7, None, None, 2, "Java"), (2, 8, None, 7, 4, None),
+         (2, 9, None, 7, 6, None), (2, 10, None, 7, 1, None), (1, 11, None, None, 0, None)],
+        POSTING_SCHEMA,
+    )
+    assert [tuple(r) for r in Q.grouped_postings(df).collect()] == [(7, 6)]
+    assert Q.question_answer_pairs(df).count() == 6
