@@ -20,7 +20,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.operators import kmeans as M  # noqa: E402
 from tessera.plans import catalog as C  # noqa: E402
 from tessera.plans import pipelines as PL  # noqa: E402
 from tessera.session import local_session  # noqa: E402

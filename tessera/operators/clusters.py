@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import Point
@@ -76,8 +76,6 @@ def cluster_report(results: DataFrame) -> DataFrame:
     header = spark.createDataFrame(
         [(i, s) for i, s in enumerate(REPORT_HEADER)], "line_no int, line string"
     )
-    from pyspark.sql import Window
-
     # results has one row per cluster (at most K)
     body = results.select(
         (F.row_number().over(Window.orderBy("median_score", "cluster")) + len(REPORT_HEADER) - 1)
