@@ -109,3 +109,17 @@ def test_assignment_plan_is_codegen_without_join(spark):
 
     p = plan_text(M.average_vectors(pts(spark, [(1, 1)]), [(0, 0), (5, 5)]))
     assert "Join" not in p and "Python" not in p
+
+
+def test_expression_forms_agree(spark):
+    from tessera.functions.vectors import nearest_distance
+
+    v = pts(spark, [(3, 4), (-7, 2), (50000, 9), (2, 0)])
+    centers = [(0, 0), (4, 0), (50000, 10), (4, 0)]
+    a = v.select(nearest_center(centers).alias("c"), nearest_distance(centers).alias("d")).collect()
+    b = v.select(nearest_center(centers, F.col("x"), F.col("y")).alias("c"),
+                 nearest_distance(centers, F.col("x"), F.col("y")).alias("d")).collect()
+    assert a == b
+    assert [r.c for r in a] == [1, 0, 2, 0] and [r.d for r in a] == [17.0, 53.0, 1.0, 4.0]
+    one = v.select(nearest_distance([(0, 0)]).alias("d")).first().d
+    assert one == 25.0
