@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.forum import DEFAULT_LANG_SPREAD
+
 from tessera.functions.vectors import Point
 from tessera.operators.kmeans import assign
 
+# Fixed report layout values: three header lines, then one line per cluster
+# (median score, label, percent, size).
 REPORT_HEADER = [
     "Resulting clusters:",
     "  Score  Dominant language (%percent)  Questions",
@@ -22,7 +26,7 @@ def cluster_results(
     centers: list[Point],
     vectors: DataFrame,
     languages: Sequence[str],
-    lang_spread: int = 50000,
+    lang_spread: int = DEFAULT_LANG_SPREAD,
     label_rule: str = "lowest",
 ) -> DataFrame:
     """One row per non-empty cluster, ordered by median score:

@@ -15,6 +15,11 @@ from tessera.functions.text import as_col
 
 POSTING_FIELDS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tag")
 
+# Fixed default parameters: distance between two languages on the x axis,
+# and the number of k-means centroids.
+DEFAULT_LANG_SPREAD = 50000
+DEFAULT_KERNELS = 45
+
 
 def questions(postings: DataFrame) -> DataFrame:
     """Postings of type 1 (keyed by ``id``)."""
@@ -122,7 +127,7 @@ def first_tag_index(tag: str | Column, languages: Sequence[str]) -> Column:
 def posting_vectors(
     scored: DataFrame,
     languages: Sequence[str],
-    lang_spread: int = 50000,
+    lang_spread: int = DEFAULT_LANG_SPREAD,
     unmatched: str = "first",
 ) -> DataFrame:
     """k-means input ``id, x, y``: x = language index * spread, y = high score.

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tessera.functions.vectors import Point, nearest_center, point_distance
 from tessera.session import materialize, release
 
+# Fixed default parameters: convergence threshold and iteration cap.
 DEFAULT_ETA = 20.0
 DEFAULT_MAX_ITERATIONS = 120
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.forum import DEFAULT_LANG_SPREAD
+
 DEFAULT_SEED = 42
 
 
@@ -42,7 +44,7 @@ def sample_vectors(
     vectors: DataFrame,
     n_languages: int,
     kernels: int,
-    lang_spread: int = 50000,
+    lang_spread: int = DEFAULT_LANG_SPREAD,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """Initial k-means centroids ``cluster, x, y`` (``kernels`` rows).

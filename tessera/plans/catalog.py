@@ -279,7 +279,7 @@ from tessera.operators import sampling as P  # noqa: E402
 from tessera.sources.postings import parse_postings  # noqa: E402
 
 # Fixed parameters of the forum stand-in: five tags, three kernels each.
-LANG_SPREAD = 50000
+LANG_SPREAD = Q.DEFAULT_LANG_SPREAD
 KERNELS = 15
 ETA = M.DEFAULT_ETA
 MAX_ITERATIONS = M.DEFAULT_MAX_ITERATIONS

@@ -73,8 +73,8 @@ def compare_strategies(articles: DataFrame, terms: Sequence[str]) -> dict[str, f
 def pipeline_clusters(
     postings: DataFrame,
     languages: Sequence[str],
-    lang_spread: int = 50000,
-    kernels: int = 45,
+    lang_spread: int = Q.DEFAULT_LANG_SPREAD,
+    kernels: int = Q.DEFAULT_KERNELS,
     eta: float = M.DEFAULT_ETA,
     max_iterations: int = M.DEFAULT_MAX_ITERATIONS,
     seed: int = P.DEFAULT_SEED,

@@ -29,3 +29,11 @@ def tmp_dir():
 
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "MapInArrow",
+                "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas")
+
+
+def has_python_node(plan: str) -> bool:
+    return any(n in plan for n in PYTHON_NODES)
