@@ -120,11 +120,13 @@ class KMeansResult:
     inputs: object = None
 
     TRACE_SCHEMA = (
-        "iteration int, cluster int, old_x long, old_y long, x long, y long, moved double"
+        "iteration int, cluster int, old_x long, old_y long, x long, y long, moved double, "
+        "shift double"
     )
 
     def trace_frame(self, spark: SparkSession) -> DataFrame:
-        """Per iteration and centroid: old -> new position and squared move."""
+        """Per iteration and centroid: old -> new position, its squared move,
+        and the iteration's total shift (compared against ``eta``)."""
         return spark.createDataFrame(self.trace, self.TRACE_SCHEMA)
 
     def centers_frame(self, spark: SparkSession) -> DataFrame:
@@ -170,7 +172,7 @@ def kmeans(
             new = _step_means(data, means)
             shift = centroid_shift(means, new)
             trace.extend(
-                (iteration, i, o[0], o[1], n[0], n[1], _sq(o, n))
+                (iteration, i, o[0], o[1], n[0], n[1], _sq(o, n), shift)
                 for i, (o, n) in enumerate(zip(means, new))
             )
             if converged(shift, eta) or iteration >= max_iterations:

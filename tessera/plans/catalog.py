@@ -540,7 +540,8 @@ def q_kmeans(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "kmeans_trace",
     KMEANS_SQL
-    + "SELECT CAST(iter AS INTEGER) AS iteration, cluster, old_x, old_y, x, y, moved FROM km WHERE iter >= 1",
+    + "SELECT CAST(iter AS INTEGER) AS iteration, cluster, old_x, old_y, x, y, moved, "
+    "sum(moved) OVER (PARTITION BY iter) AS shift FROM km WHERE iter >= 1",
 )
 def q_kmeans_trace(spark: SparkSession, sf: str) -> DataFrame:
     return _final(spark, sf).trace_frame(spark)
