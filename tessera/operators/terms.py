@@ -219,18 +219,28 @@ def rank_terms_index(index: DataFrame) -> DataFrame:
 
 
 def rank_terms_count(
-    articles: DataFrame, terms: TermsArg, key: str = "title", text: str = "text"
+    articles: DataFrame,
+    terms: TermsArg,
+    key: str = "title",
+    text: str = "text",
+    include_zero: bool = False,
 ) -> DataFrame:
     """(term, 1) pairs summed per term: ``term, n`` ordered by n desc.
 
-    Terms mentioned nowhere are absent; a term listed twice counts twice.
-    The shuffle carries at most one partial count per distinct term per task.
+    Terms mentioned nowhere are absent unless ``include_zero`` (then they
+    follow with ``n = 0``); a term listed twice counts twice.  The shuffle
+    carries at most one partial count per distinct term per task.
     """
     if _is_inline(terms):
         terms = list(terms)
         first = _first_positions(terms)
         mult = _multiplicity(terms)
         counts = _distinct_term_counts(articles, terms, text)
+        if include_zero:
+            listed = articles.sparkSession.createDataFrame([(t,) for t in first], "term string")
+            counts = listed.join(F.broadcast(counts), "term", "left").select(
+                "term", F.coalesce("n", F.lit(0)).alias("n")
+            )
         n = F.col("n")
         if any(m > 1 for m in mult.values()):
             n = n * F.element_at(literal_map(list(mult.items())), F.col("term"))
@@ -244,4 +254,14 @@ def rank_terms_count(
             .select("term", "n")
         )
     hits = term_hits(articles, terms, key, text)
-    return rank_terms_index(hits)
+    ranked = rank_terms_index(hits)
+    if not include_zero:
+        return ranked
+    tf = term_frame(articles.sparkSession, terms)
+    listed = tf.groupBy("term").agg(F.min("position").alias("_first"))
+    return (
+        listed.join(ranked, "term", "left")
+        .select("term", F.coalesce("n", F.lit(0)).alias("n"), "_first")
+        .orderBy(F.desc("n"), "_first")
+        .select("term", "n")
+    )

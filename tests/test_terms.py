@@ -68,6 +68,9 @@ def test_zero_counts_differ_by_strategy(spark):
     assert ranked(T.rank_terms_scan(a, terms)) == [("Java", 3), ("Scala", 2), ("Cobol", 0)]
     assert ranked(T.rank_terms_count(a, terms)) == [("Java", 3), ("Scala", 2)]
     assert ranked(T.rank_terms_index(T.inverted_index(a, terms))) == [("Java", 3), ("Scala", 2)]
+    assert ranked(T.rank_terms_count(a, terms, include_zero=True)) == [("Java", 3), ("Scala", 2), ("Cobol", 0)]
+    tdf = a.sparkSession.createDataFrame([(0, "Java"), (1, "Cobol"), (2, "Scala")], "position int, term string")
+    assert ranked(T.rank_terms_count(a, tdf, include_zero=True)) == [("Java", 3), ("Scala", 2), ("Cobol", 0)]
 
 
 @pytest.mark.parametrize(
