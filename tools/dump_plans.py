@@ -19,8 +19,8 @@ from tessera.session import local_session  # noqa: E402
 
 NAMES = [
     "rank_terms_count", "rank_terms_scan", "inverted_index", "parse_postings",
-    "scored_postings", "sample_per_group", "kmeans_step", "cluster_results",
-    "time_usage_grouped", "pipeline_survey",
+    "scored_postings", "grouped_postings", "sample_per_group", "kmeans_step",
+    "cluster_results", "time_usage_grouped", "pipeline_survey",
 ]
 
 
