@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import Point, nearest_center, point_distance
@@ -34,7 +34,7 @@ def weighted_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _weight(vectors: DataFrame) -> F.Column:
+def _weight(vectors: DataFrame) -> Column:
     return F.col("n") if "n" in vectors.columns else F.lit(1).cast("long")
 
 

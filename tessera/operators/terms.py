@@ -7,7 +7,7 @@ position])``.  Three ranking strategies give the reference's three answers:
 * :func:`rank_terms_scan`  - every list entry, zero counts kept, repeated
   entries repeated.  One pass for all terms (not one scan per term).
 * :func:`rank_terms_index` - sizes of the entries of an inverted index; no
-  zero-count terms; repeated list entries count once per entry.
+  zero-count terms; a term listed twice counts every article twice.
 * :func:`rank_terms_count` - (term, 1) pairs summed by key with map-side
   combine; same answer as the index strategy.
 
@@ -45,7 +45,7 @@ def _is_inline(terms: TermsArg) -> bool:
 
 
 def term_frame(spark: SparkSession, terms: TermsArg) -> DataFrame:
-    """Term list as a DataFrame ``(position int, term string)``."""
+    """Term list as a DataFrame ``(position, term)``."""
     if isinstance(terms, DataFrame):
         if "position" in terms.columns:
             return terms.select(F.col("position").cast("long"), F.col("term"))
