@@ -202,10 +202,17 @@ def inverted_index(
     out = hits.select("term", "position", key, *([text] if with_text else []))
     if not by_size:
         return out
-    sizes = out.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    # One shuffle boundary, hashed on (term, key) so a frequent term is
+    # spread over many tasks: the entry sizes, the range sort's sampling
+    # and the sort itself all read its output (one reused exchange)
+    # instead of re-scanning and re-splitting the text.
+    staged = out.repartition("term", key)
+    # count a column of every row (never null) so both branches keep the same
+    # columns below the exchange and Spark reuses it
+    sizes = staged.groupBy("term").agg(F.count("position").alias("n"))
     if _is_inline(terms):
         sizes = F.broadcast(sizes)  # at most one row per listed term
-    return out.join(sizes, "term").orderBy(F.desc("n"), "position", key)
+    return staged.join(sizes, "term").orderBy(F.desc("n"), "position", key)
 
 
 def rank_terms_index(index: DataFrame) -> DataFrame:
