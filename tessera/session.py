@@ -105,3 +105,29 @@ def release(df: DataFrame) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def scale_settings(
+    largest_shuffle_bytes: int,
+    total_cores: int,
+    partition_bytes: int = 128 * 1024 * 1024,
+    split_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Session settings sized so every task's slice fits executor memory.
+
+    The initial shuffle partition count is the largest expected shuffle
+    divided by ``partition_bytes`` (at least two waves of tasks); AQE then
+    coalesces small partitions toward the same advisory size and splits
+    skewed join partitions.  File splits of ``split_bytes`` bound what a scan
+    task reads.  Apply with ``SparkSession.builder.config(map=...)`` or
+    ``spark.conf.set`` before running the jobs.
+    """
+    parts = max(2 * total_cores, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }

@@ -28,3 +28,10 @@ def test_materialize_without_checkpoint_folder_persists(spark, monkeypatch):
     assert m.is_cached and m.count() == 10
     SES.release(m)
     assert not m.is_cached
+
+
+def test_scale_settings():
+    tb = 1024**4
+    s = SES.scale_settings(5 * tb, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 40960
+    assert SES.scale_settings(10, 8)["spark.sql.shuffle.partitions"] == "16"
