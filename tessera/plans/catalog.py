@@ -284,6 +284,7 @@ KERNELS = 15
 ETA = M.DEFAULT_ETA
 MAX_ITERATIONS = M.DEFAULT_MAX_ITERATIONS
 SEED = P.DEFAULT_SEED
+HASH = "md5"  # portable sample order, so the SQL oracle draws the same rows
 
 LANG_INDEX_SQL = "CASE tag " + " ".join(
     f"WHEN {_sql_str(t)} THEN {i}" for i, t in enumerate(S.STANDIN_TAGS)
@@ -395,7 +396,7 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _init_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return P.sample_vectors(_vectors(spark, sf), len(S.STANDIN_TAGS), KERNELS, LANG_SPREAD, SEED)
+    return P.sample_vectors(_vectors(spark, sf), len(S.STANDIN_TAGS), KERNELS, LANG_SPREAD, SEED, HASH)
 
 
 def _init_centers(spark: SparkSession, sf: str) -> list:
@@ -477,12 +478,12 @@ def q_posting_vectors(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT id, x, y FROM ({VECTORS_SQL}) v ORDER BY {SAMPLE_KEY_SQL}, id LIMIT {KERNELS}",
 )
 def q_sample_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    return P.sample_fixed(_vectors(spark, sf), KERNELS, SEED)
+    return P.sample_fixed(_vectors(spark, sf), KERNELS, SEED, hash=HASH)
 
 
 @register("sample_per_group", PER_GROUP_SQL)
 def q_sample_per_group(spark: SparkSession, sf: str) -> DataFrame:
-    return P.sample_per_group(_vectors(spark, sf), "x", KERNELS // len(S.STANDIN_TAGS), SEED)
+    return P.sample_per_group(_vectors(spark, sf), "x", KERNELS // len(S.STANDIN_TAGS), SEED, hash=HASH)
 
 
 @register("sample_vectors", INIT_SQL)
@@ -574,7 +575,8 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
     from tessera.plans.pipelines import pipeline_clusters
 
     described, _ = pipeline_clusters(
-        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED
+        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
+        sample_hash=HASH,
     )
     return described
 
@@ -650,7 +652,8 @@ def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
 @register("pipeline_clusters", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")
 def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
-        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED
+        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
+        sample_hash=HASH,
     )
     return described
 
@@ -691,7 +694,7 @@ SELECT CAST(row_number() OVER (ORDER BY x, sample_rank) - 1 AS INTEGER) AS clust
 )
 def q_sample_vectors_small_spread(spark: SparkSession, sf: str) -> DataFrame:
     v = Q.posting_vectors(Q.scored_postings(_postings(spark, sf)), S.STANDIN_TAGS, SMALL_SPREAD)
-    init = P.sample_vectors(v, len(S.STANDIN_TAGS), KERNELS, SMALL_SPREAD, SEED)
+    init = P.sample_vectors(v, len(S.STANDIN_TAGS), KERNELS, SMALL_SPREAD, SEED, HASH)
     P.collect_centroids(init, KERNELS)
     return init
 
@@ -717,7 +720,7 @@ medians AS (""",
 def q_cluster_results_mode(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        label_rule="mode",
+        label_rule="mode", sample_hash=HASH,
     )
     return described
 

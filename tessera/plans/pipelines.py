@@ -80,6 +80,7 @@ def pipeline_clusters(
     seed: int = P.DEFAULT_SEED,
     label_rule: str = "lowest",
     materialize_postings: bool = False,
+    sample_hash: str = "xxhash64",
 ) -> tuple[DataFrame, M.KMeansResult]:
     """Cluster answered questions by (language, best answer score).
 
@@ -100,7 +101,7 @@ def pipeline_clusters(
     )
     try:
         weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
-        init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed)
+        init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed, sample_hash)
         centers = P.collect_centroids(init, kernels)
     finally:
         release(vectors)

@@ -123,3 +123,13 @@ def test_expression_forms_agree(spark):
     assert [r.c for r in a] == [1, 0, 2, 0] and [r.d for r in a] == [17.0, 53.0, 1.0, 4.0]
     one = v.select(nearest_distance([(0, 0)]).alias("d")).first().d
     assert one == 25.0
+
+
+@pytest.mark.parametrize("hash", ["xxhash64", "md5"])
+def test_both_sample_hashes_ignore_partitioning(spark, hash):
+    v = spark.range(500).select("id", (F.col("id") % 5 * 50000).alias("x"), (F.col("id") % 11).alias("y"))
+    a = [tuple(r) for r in P.sample_per_group(v, "x", 3, hash=hash).orderBy("x", "sample_rank").collect()]
+    b = [tuple(r) for r in P.sample_per_group(v.repartition(9), "x", 3, hash=hash).orderBy("x", "sample_rank").collect()]
+    assert a == b and len(a) == 15
+    with pytest.raises(ValueError):
+        P.sample_key("id", 42, "crc")
