@@ -12,10 +12,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.functions.survey import (
+    age_band,
+    balanced_sum_sql,
+    group_hours,
+    sex_label,
+    working_status,
+)
 from tessera.functions.text import mentions_term
+from tessera.functions.vectors import nearest_center, nearest_distance
+from tessera.operators import clusters as K
+from tessera.operators import columns as C
+from tessera.operators import forum as Q
+from tessera.operators import kmeans as M
+from tessera.operators import sampling as P
+from tessera.operators import survey as U
 from tessera.operators import terms as T
+from tessera.plans import pipelines as PL
 from tessera.sources import tables as S
 from tessera.sources.articles import parse_articles
+from tessera.sources.postings import parse_postings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -138,15 +154,6 @@ def q_inverted_index(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------- survey ----
 
-from tessera.functions.survey import (  # noqa: E402
-    age_band,
-    balanced_sum_sql,
-    group_hours,
-    sex_label,
-    working_status,
-)
-from tessera.operators import columns as C  # noqa: E402
-from tessera.operators import survey as U  # noqa: E402
 
 SURVEY_SQL = """
 SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS tucaseid,
@@ -271,12 +278,6 @@ def q_column_max(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- forum ----
 
-from tessera.functions.vectors import nearest_center, nearest_distance  # noqa: E402
-from tessera.operators import clusters as K  # noqa: E402
-from tessera.operators import forum as Q  # noqa: E402
-from tessera.operators import kmeans as M  # noqa: E402
-from tessera.operators import sampling as P  # noqa: E402
-from tessera.sources.postings import parse_postings  # noqa: E402
 
 # Fixed parameters of the forum stand-in: five tags, three kernels each.
 LANG_SPREAD = Q.DEFAULT_LANG_SPREAD
@@ -572,9 +573,7 @@ results AS (
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
-    from tessera.plans.pipelines import pipeline_clusters
-
-    described, _ = pipeline_clusters(
+    described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
         sample_hash=HASH,
     )
@@ -624,8 +623,6 @@ def q_cluster_report(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------ pipelines ----
 
-from tessera.plans import pipelines as PL  # noqa: E402
-
 
 @register(
     "pipeline_terms",
