@@ -1,0 +1,112 @@
+"""Property checks: parsers and survey summary against brute-force Python."""
+
+from __future__ import annotations
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tessera.operators import survey as U
+from tessera.sources.articles import parse_articles
+from tessera.sources.postings import parse_postings
+from tessera.sources.tables import ARTICLE_LEAD, ARTICLE_TRAIL
+
+INT = st.integers(-999, 9999).map(str)
+OPT = st.one_of(st.just(""), INT)
+TAG = st.sampled_from(["", "Java", "C#", "C++", "Objective-C", "x y"])
+
+
+def java_split(line: str) -> list[str]:
+    """String.split(",") semantics: trailing empty strings removed."""
+    parts = line.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts or [""]
+
+
+def brute_posting(line: str):
+    a = java_split(line)
+    return (
+        int(a[0]), int(a[1]),
+        None if a[2] == "" else int(a[2]),
+        None if a[3] == "" else int(a[3]),
+        int(a[4]),
+        (a[5] or None) if len(a) >= 6 else None,  # null for an empty tag (documented)
+    )
+
+
+@st.composite
+def posting_lines(draw):
+    fields = [draw(INT), draw(INT), draw(OPT), draw(OPT), draw(INT)]
+    tail = draw(st.sampled_from(["none", "tag", "tag_more", "trailing"]))
+    if tail == "tag":
+        fields.append(draw(TAG))
+    elif tail == "tag_more":
+        fields += [draw(TAG), draw(OPT)]
+    elif tail == "trailing":
+        fields += ["", ""]
+    return ",".join(fields)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=st.lists(posting_lines(), min_size=1, max_size=20))
+def test_postings_parse_like_the_reference(spark, lines):
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [tuple(r) for r in parse_postings(df).collect()]
+    assert got == [brute_posting(x) for x in lines]
+
+
+TEXT = st.text(alphabet="ab </>té\t", max_size=30)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(items=st.lists(st.tuples(st.text(alphabet="xyz é", max_size=8), TEXT), min_size=1, max_size=10))
+def test_articles_parse_like_the_reference(spark, items):
+    lines = [f"{ARTICLE_LEAD}{t}</title><text>{x}{ARTICLE_TRAIL}" for t, x in items]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [tuple(r) for r in parse_articles(df).collect()]
+
+    def brute(line):
+        i = line.index("</title><text>")
+        return line[14:i], line[i + len("</title><text>"): len(line) - 16]
+
+    assert got == [brute(x) for x in lines]
+
+
+ROW = st.tuples(
+    st.sampled_from([0.0, 1.0, 2.0, 3.0, 4.0, 5.0]),
+    st.sampled_from([1.0, 2.0]),
+    st.integers(10, 80).map(float),
+    st.integers(0, 600).map(float),
+    st.integers(0, 600).map(float),
+    st.integers(0, 600).map(float),
+    st.integers(0, 600).map(float),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(ROW, min_size=1, max_size=25))
+def test_survey_grouped_like_brute_force(spark, rows):
+    cols = "telfs double, tesex double, teage double, t010101 double, t110101 double, t050101 double, t020101 double"
+    df = spark.createDataFrame(rows, cols)
+    p, w, o = U.classify_columns(df.columns)
+    got = [tuple(r) for r in U.time_usage_grouped(U.time_usage_summary(p, w, o, df), via_decimal=True).collect()]
+    groups = {}
+    for telfs, sex, age, a, b, c, d in rows:
+        if telfs > 4:
+            continue
+        key = (
+            "working" if 1 <= telfs < 3 else "not working",
+            "male" if sex == 1 else "female",
+            "young" if 15 <= age <= 22 else "active" if 23 <= age <= 55 else "elder",
+        )
+        groups.setdefault(key, []).append(((a + b) / 60, c / 60, d / 60))
+
+    from decimal import ROUND_HALF_UP, Decimal
+
+    def r1(v):
+        return float(Decimal(v).quantize(Decimal("0.000001"), ROUND_HALF_UP).quantize(Decimal("0.1"), ROUND_HALF_UP))
+
+    want = [
+        (*k, *[r1(sum(x[i] for x in vs) / len(vs)) for i in range(3)]) for k, vs in sorted(groups.items())
+    ]
+    assert got == want
