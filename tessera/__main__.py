@@ -4,7 +4,10 @@
     python -m tessera clusters POSTINGS [--kernels 45 --spread 50000 --eta 20 --max-iterations 120]
     python -m tessera survey   SURVEY_CSV
 
-Paths may be files, directories or globs, local or on shared storage.
+Inputs are raw article records, posting lines and a survey CSV; with
+``--parquet`` they are parquet tables instead (``title, text``; the posting
+columns; the survey columns).  Paths may be files, directories or globs,
+local or on shared storage.
 Only small results reach this process: rankings (one row per term), the
 cluster report (one line per cluster), the survey table (12 rows).
 """
@@ -33,7 +36,10 @@ def _session() -> SparkSession:
 
 def run_terms(args: argparse.Namespace) -> None:
     spark = _session()
-    articles = read_articles(spark, args.path)
+    if args.parquet:
+        articles = spark.read.parquet(args.path).select("title", "text")
+    else:
+        articles = read_articles(spark, args.path)
     terms = args.terms or LANGUAGES
     for name, df in PL.rankings(articles, terms).items():
         print(f"ranking by {name}: " + ", ".join(f"{r.term}={r.n}" for r in df.collect()))
@@ -42,10 +48,13 @@ def run_terms(args: argparse.Namespace) -> None:
 
 def run_clusters(args: argparse.Namespace) -> None:
     spark = _session()
-    postings = read_postings(spark, args.path)
+    if args.parquet:
+        postings = spark.read.parquet(args.path).select(*Q.POSTING_FIELDS)
+    else:
+        postings = read_postings(spark, args.path)
     described, result = PL.pipeline_clusters(
         postings, LANGUAGES, args.spread, args.kernels, args.eta, args.max_iterations,
-        materialize_postings=True,
+        materialize_postings=not args.parquet,
     )
     try:
         for it in sorted({t[0] for t in result.trace}):
@@ -65,7 +74,10 @@ def _report_lines(described: DataFrame) -> list[str]:
 
 def run_survey(args: argparse.Namespace) -> None:
     spark = _session()
-    _, df = read_survey(spark, args.path)
+    if args.parquet:
+        df = spark.read.parquet(args.path)
+    else:
+        _, df = read_survey(spark, args.path)
     PL.pipeline_survey(df).show(truncate=False)
 
 
@@ -86,6 +98,8 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("survey", help="average daily hours by working status, sex and age band")
     s.add_argument("path")
     s.set_defaults(fn=run_survey)
+    for p in (t, c, s):
+        p.add_argument("--parquet", action="store_true", help="read a parquet table instead")
     args = ap.parse_args(argv)
     args.fn(args)
     return 0

@@ -37,3 +37,17 @@ def test_clusters(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "Iteration: 1" in out and "Resulting clusters:" in out
     assert "  Score  Dominant language (%percent)  Questions" in out
+
+
+def test_parquet_inputs(spark, tmp_dir, capsys):
+    from tests.conftest import SF_SMALL
+    from tessera.sources import tables as S
+
+    a = os.path.join(tmp_dir, "articles.parquet")
+    S.articles(spark, SF_SMALL).write.parquet(a)
+    main(["terms", a, "--parquet", "--terms", "the", "zzz"])
+    assert "ranking by scan: the=" in capsys.readouterr().out
+    s = os.path.join(tmp_dir, "survey.parquet")
+    S.survey_table(spark, SF_SMALL).write.parquet(s)
+    main(["survey", s, "--parquet"])
+    assert "not working" in capsys.readouterr().out
