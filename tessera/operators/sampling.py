@@ -3,7 +3,7 @@
 Rows are ranked by a hash of (seed, id), so a sample is reproducible and
 independent of partitioning and arrival order.  The default hash is
 ``xxhash64(seed, id)`` (cheap: one call on the integer id per row);
-``hash="md5"`` ranks by ``md5("<seed>:<id>")`` instead - slower, but
+``hashing="md5"`` ranks by ``md5("<seed>:<id>")`` instead - slower, but
 portable, so another engine can draw the very same sample (the registered
 queries use it for their SQL checks).
 """
@@ -19,23 +19,23 @@ DEFAULT_SEED = 42
 HASHES = ("xxhash64", "md5")
 
 
-def sample_key(id_col: str = "id", seed: int = DEFAULT_SEED, hash: str = "xxhash64") -> Column:
-    if hash == "xxhash64":
+def sample_key(id_col: str = "id", seed: int = DEFAULT_SEED, hashing: str = "xxhash64") -> Column:
+    if hashing == "xxhash64":
         return F.xxhash64(F.lit(seed), F.col(id_col))
-    if hash == "md5":
+    if hashing == "md5":
         return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-    raise ValueError(f"hash must be one of {HASHES}")
+    raise ValueError(f"hashing must be one of {HASHES}")
 
 
 def sample_fixed(
-    df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "id", hash: str = "xxhash64"
+    df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "id", hashing: str = "xxhash64"
 ) -> DataFrame:
     """Exactly ``min(n, count)`` rows.
 
     Planned as TakeOrderedAndProject: every task keeps its ``n`` best rows,
     so only ``n`` rows per task travel.
     """
-    return df.orderBy(sample_key(id_col, seed, hash), F.col(id_col)).limit(n)
+    return df.orderBy(sample_key(id_col, seed, hashing), F.col(id_col)).limit(n)
 
 
 def sample_per_group(
@@ -44,14 +44,14 @@ def sample_per_group(
     k: int,
     seed: int = DEFAULT_SEED,
     id_col: str = "id",
-    hash: str = "xxhash64",
+    hashing: str = "xxhash64",
 ) -> DataFrame:
     """Up to ``k`` rows of every group, adds ``sample_rank`` (1..k).
 
     The rank filter is planned as a WindowGroupLimit below the shuffle, so
     a group of any size sends at most ``k`` rows per task.
     """
-    w = Window.partitionBy(group_col).orderBy(sample_key(id_col, seed, hash), F.col(id_col))
+    w = Window.partitionBy(group_col).orderBy(sample_key(id_col, seed, hashing), F.col(id_col))
     return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
 
@@ -61,7 +61,7 @@ def sample_vectors(
     kernels: int,
     lang_spread: int = DEFAULT_LANG_SPREAD,
     seed: int = DEFAULT_SEED,
-    hash: str = "xxhash64",
+    hashing: str = "xxhash64",
 ) -> DataFrame:
     """Initial k-means centroids ``cluster, x, y`` (``kernels`` rows).
 
@@ -74,11 +74,11 @@ def sample_vectors(
         raise ValueError("kernels must be a positive multiple of the number of languages")
     per_lang = kernels // n_languages
     if lang_spread < 500:
-        picked = sample_fixed(vectors, kernels, seed, hash=hash).withColumn(
-            "sample_rank", F.row_number().over(Window.orderBy(sample_key("id", seed, hash), "id"))
+        picked = sample_fixed(vectors, kernels, seed, hashing=hashing).withColumn(
+            "sample_rank", F.row_number().over(Window.orderBy(sample_key("id", seed, hashing), "id"))
         )
     else:
-        picked = sample_per_group(vectors, "x", per_lang, seed, hash=hash)
+        picked = sample_per_group(vectors, "x", per_lang, seed, hashing=hashing)
     # at most `kernels` rows reach this single-partition numbering window
     out = picked.select(
         (F.row_number().over(Window.orderBy("x", "sample_rank")) - 1).cast("int").alias("cluster"),

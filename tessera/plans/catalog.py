@@ -479,12 +479,12 @@ def q_posting_vectors(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT id, x, y FROM ({VECTORS_SQL}) v ORDER BY {SAMPLE_KEY_SQL}, id LIMIT {KERNELS}",
 )
 def q_sample_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    return P.sample_fixed(_vectors(spark, sf), KERNELS, SEED, hash=HASH)
+    return P.sample_fixed(_vectors(spark, sf), KERNELS, SEED, hashing=HASH)
 
 
 @register("sample_per_group", PER_GROUP_SQL)
 def q_sample_per_group(spark: SparkSession, sf: str) -> DataFrame:
-    return P.sample_per_group(_vectors(spark, sf), "x", KERNELS // len(S.STANDIN_TAGS), SEED, hash=HASH)
+    return P.sample_per_group(_vectors(spark, sf), "x", KERNELS // len(S.STANDIN_TAGS), SEED, hashing=HASH)
 
 
 @register("sample_vectors", INIT_SQL)
@@ -575,7 +575,7 @@ results AS (
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH,
+        sample_hashing=HASH,
     )
     return described
 
@@ -650,7 +650,7 @@ def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
 def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH,
+        sample_hashing=HASH,
     )
     return described
 
@@ -717,7 +717,7 @@ medians AS (""",
 def q_cluster_results_mode(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        label_rule="mode", sample_hash=HASH,
+        label_rule="mode", sample_hashing=HASH,
     )
     return described
 

@@ -59,7 +59,7 @@ def test_cluster_results_equal_brute_force(spark, points, centers, rule):
 def test_md5_sample_is_k_smallest_keys(spark, groups, k, seed):
     rows = [(i, g) for i, g in enumerate(groups)]
     df = spark.createDataFrame(rows, "id long, x long")
-    got = sorted((r.x, r.id) for r in P.sample_per_group(df, "x", k, seed, hash="md5").collect())
+    got = sorted((r.x, r.id) for r in P.sample_per_group(df, "x", k, seed, hashing="md5").collect())
     key = lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i)
     want = []
     for g in set(groups):

@@ -125,11 +125,11 @@ def test_expression_forms_agree(spark):
     assert one == 25.0
 
 
-@pytest.mark.parametrize("hash", ["xxhash64", "md5"])
-def test_both_sample_hashes_ignore_partitioning(spark, hash):
+@pytest.mark.parametrize("hashing", ["xxhash64", "md5"])
+def test_both_sample_hashes_ignore_partitioning(spark, hashing):
     v = spark.range(500).select("id", (F.col("id") % 5 * 50000).alias("x"), (F.col("id") % 11).alias("y"))
-    a = [tuple(r) for r in P.sample_per_group(v, "x", 3, hash=hash).orderBy("x", "sample_rank").collect()]
-    b = [tuple(r) for r in P.sample_per_group(v.repartition(9), "x", 3, hash=hash).orderBy("x", "sample_rank").collect()]
+    a = [tuple(r) for r in P.sample_per_group(v, "x", 3, hashing=hashing).orderBy("x", "sample_rank").collect()]
+    b = [tuple(r) for r in P.sample_per_group(v.repartition(9), "x", 3, hashing=hashing).orderBy("x", "sample_rank").collect()]
     assert a == b and len(a) == 15
     with pytest.raises(ValueError):
         P.sample_key("id", 42, "crc")
