@@ -3,6 +3,8 @@
     python -m tessera terms    ARTICLES [--terms T ...]
     python -m tessera clusters POSTINGS [--kernels 45 --spread 50000 --eta 20 --max-iterations 120]
     python -m tessera survey   SURVEY_CSV
+    python -m tessera list
+    python -m tessera query    NAME [SF_DIR] [--rows 20]
 
 Inputs are raw article records, posting lines and a survey CSV; with
 ``--parquet`` they are parquet tables instead (``title, text``; the posting
@@ -81,6 +83,21 @@ def run_survey(args: argparse.Namespace) -> None:
     PL.pipeline_survey(df).show(truncate=False)
 
 
+def run_list(args: argparse.Namespace) -> None:
+    from tessera.plans.catalog import ORACLE, QUERIES
+
+    for name in QUERIES:
+        print(name + ("" if name in ORACLE else "  (no SQL oracle)"))
+
+
+def run_query(args: argparse.Namespace) -> None:
+    from tessera.plans.catalog import QUERIES
+
+    if args.name not in QUERIES:
+        raise SystemExit(f"unknown query {args.name!r}; see `python -m tessera list`")
+    QUERIES[args.name](_session(), args.sf_dir).show(args.rows, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m tessera")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -100,6 +117,13 @@ def main(argv: list[str] | None = None) -> int:
     s.set_defaults(fn=run_survey)
     for p in (t, c, s):
         p.add_argument("--parquet", action="store_true", help="read a parquet table instead")
+    ls = sub.add_parser("list", help="list the registered queries")
+    ls.set_defaults(fn=run_list)
+    q = sub.add_parser("query", help="run a registered query over the shared tables")
+    q.add_argument("name")
+    q.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.01")
+    q.add_argument("--rows", type=int, default=20, help="rows to show")
+    q.set_defaults(fn=run_query)
     args = ap.parse_args(argv)
     args.fn(args)
     return 0

@@ -51,3 +51,14 @@ def test_parquet_inputs(spark, tmp_dir, capsys):
     S.survey_table(spark, SF_SMALL).write.parquet(s)
     main(["survey", s, "--parquet"])
     assert "not working" in capsys.readouterr().out
+
+
+def test_list_and_query(spark, capsys):
+    from tests.conftest import SF_SMALL
+
+    main(["list"])
+    names = capsys.readouterr().out.split()
+    assert "rank_terms_count" in names and "kmeans" in names
+    main(["query", "time_usage_grouped", SF_SMALL, "--rows", "3"])
+    out = capsys.readouterr().out
+    assert "primaryNeeds" in out and "only showing top 3 rows" in out
