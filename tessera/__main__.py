@@ -4,7 +4,7 @@
     python -m tessera clusters POSTINGS [--kernels 45 --spread 50000 --eta 20 --max-iterations 120]
     python -m tessera survey   SURVEY_CSV
     python -m tessera list
-    python -m tessera query    NAME [SF_DIR] [--rows 20]
+    python -m tessera query    NAME SF_DIR [--rows 20]
 
 Inputs are raw article records, posting lines and a survey CSV; with
 ``--parquet`` they are parquet tables instead (``title, text``; the posting
@@ -121,7 +121,7 @@ def main(argv: list[str] | None = None) -> int:
     ls.set_defaults(fn=run_list)
     q = sub.add_parser("query", help="run a registered query over the shared tables")
     q.add_argument("name")
-    q.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.01")
+    q.add_argument("sf_dir", help="folder holding <table>.parquet for every table")
     q.add_argument("--rows", type=int, default=20, help="rows to show")
     q.set_defaults(fn=run_query)
     args = ap.parse_args(argv)
