@@ -164,3 +164,11 @@ def test_term_table_broadcast_is_gated(spark, monkeypatch):
         assert sorted((r.term, r.title) for r in hits.collect())[:2] == [("Java", "2"), ("Java", "4")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_empty_term_list(spark):
+    a = arts(spark, RANK5)
+    assert T.term_hits(a, []).count() == 0
+    assert T.rank_terms_scan(a, []).count() == 0
+    assert T.rank_terms_count(a, []).count() == 0
+    assert T.rank_terms_index(T.inverted_index(a, [])).count() == 0
