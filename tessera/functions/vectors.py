@@ -17,6 +17,10 @@ from tessera.functions.text import as_col
 
 Point = tuple[int, int]
 
+# Centroids are inlined into every plan as literals; beyond this many the
+# generated expression grows too large to compile well.
+MAX_INLINE_CENTERS = 1024
+
 
 def point_distance(x: str | Column, y: str | Column, cx, cy) -> Column:
     """Squared Euclidean distance, as a double (no square root)."""
@@ -43,6 +47,8 @@ def nearest_center(centers: Sequence[Point], x: str | Column = "x", y: str | Col
     """
     if not centers:
         raise ValueError("no centroids")
+    if len(centers) > MAX_INLINE_CENTERS:
+        raise ValueError(f"at most {MAX_INLINE_CENTERS} centroids are supported, got {len(centers)}")
     if len(centers) == 1:
         return F.lit(0)
     if isinstance(x, str) and isinstance(y, str):

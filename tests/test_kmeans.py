@@ -133,3 +133,12 @@ def test_both_sample_hashes_ignore_partitioning(spark, hashing):
     assert a == b and len(a) == 15
     with pytest.raises(ValueError):
         P.sample_key("id", 42, "crc")
+
+
+def test_centroid_count_is_bounded():
+    from tessera.functions.vectors import MAX_INLINE_CENTERS
+
+    with pytest.raises(ValueError, match="centroids"):
+        nearest_center([(i, i) for i in range(MAX_INLINE_CENTERS + 1)])
+    with pytest.raises(ValueError):
+        nearest_center([])
