@@ -79,7 +79,8 @@ def main() -> None:
         Q.posting_vectors(Q.scored_postings(postings), S.STANDIN_TAGS, C.LANG_SPREAD), "bench-vectors"
     )
     centers = P.collect_centroids(
-        P.sample_vectors(vectors, len(S.STANDIN_TAGS), C.KERNELS, C.LANG_SPREAD, C.SEED), C.KERNELS
+        P.sample_vectors(M.weighted_vectors(vectors), len(S.STANDIN_TAGS), C.KERNELS, C.LANG_SPREAD, C.SEED),
+        C.KERNELS,
     )
     loops = {}
     for label, weighted in (("raw", False), ("weighted", True)):

@@ -55,6 +55,44 @@ def sample_per_group(
     return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
 
+def _unit_uniform(h: Column) -> Column:
+    """A 64-bit hash mapped to a uniform double strictly inside (0, 1)."""
+    return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / float(2**53)
+
+
+def sample_weighted(
+    weighted: DataFrame, group_col: str | None, k: int, seed: int = DEFAULT_SEED
+) -> DataFrame:
+    """Up to ``k`` copies per group from weighted rows ``x, y, n``, as rows
+    ``x, y, sample_rank`` - uniform without replacement over the multiset.
+
+    Every copy of every point conceptually gets an independent uniform key
+    and the ``k`` smallest keys of a group win.  Only a point's ``min(n, k)``
+    smallest keys can matter, and those are generated directly as order
+    statistics: ``1 - U(j) = prod_{i<=j} V_i ** (1 / (n - i + 1))`` with
+    ``V_i`` hashed from (seed, x, y, i).  So the sample reads only the
+    weighted table (bounded by the number of distinct points), never the
+    per-row vectors.  ``group_col=None`` samples ``k`` from everything.
+    """
+    m = F.least(F.col("n"), F.lit(k)).cast("int")
+    copies = weighted.select("x", "y", "n", F.explode(F.sequence(F.lit(1), m)).alias("j"))
+    v = _unit_uniform(F.xxhash64(F.lit(seed), F.col("x"), F.col("y"), F.col("j")))
+    step = F.log(v) / (F.col("n") - F.col("j") + 1).cast("double")
+    # copies of one point: at most k rows per window partition
+    within = Window.partitionBy("x", "y").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    keyed = copies.select("x", "y", "j", (-F.sum(step).over(within)).alias("key"))
+    order = [F.col("key"), F.col("x"), F.col("y"), F.col("j")]
+    if group_col is None:
+        # TakeOrderedAndProject keeps k rows per task; the numbering window
+        # then sees at most k rows
+        top = keyed.orderBy(*order).limit(k)
+        ranked = top.withColumn("sample_rank", F.row_number().over(Window.orderBy(*order)))
+        return ranked.select("x", "y", "sample_rank")
+    w = Window.partitionBy(group_col).orderBy(*order)
+    ranked = keyed.withColumn("sample_rank", F.row_number().over(w))
+    return ranked.where(F.col("sample_rank") <= k).select("x", "y", "sample_rank")
+
+
 def sample_vectors(
     vectors: DataFrame,
     n_languages: int,
@@ -68,12 +106,19 @@ def sample_vectors(
     With a spread of 500 or more, ``kernels / n_languages`` vectors are
     drawn from every language (column ``x``); otherwise ``kernels`` vectors
     from the whole space.  Clusters are numbered by (x, rank).  Fails
-    unless exactly ``kernels`` centroids come out.
+    unless exactly ``kernels`` centroids come out.  Raw vectors (with
+    ``id``) are ranked by the id hash; weighted rows ``x, y, n`` are
+    sampled by :func:`sample_weighted` (``hashing`` does not apply).
     """
     if n_languages <= 0 or kernels % n_languages != 0:
         raise ValueError("kernels must be a positive multiple of the number of languages")
     per_lang = kernels // n_languages
-    if lang_spread < 500:
+    if "n" in vectors.columns and "id" not in vectors.columns:
+        if lang_spread < 500:
+            picked = sample_weighted(vectors, None, kernels, seed)
+        else:
+            picked = sample_weighted(vectors, "x", per_lang, seed)
+    elif lang_spread < 500:
         picked = sample_fixed(vectors, kernels, seed, hashing=hashing).withColumn(
             "sample_rank", F.row_number().over(Window.orderBy(sample_key("id", seed, hashing), "id"))
         )

@@ -575,7 +575,7 @@ results AS (
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH,
+        sample_hash=HASH, sample_from="vectors",
     )
     return described
 
@@ -650,7 +650,7 @@ def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
 def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH,
+        sample_hash=HASH, sample_from="vectors",
     )
     return described
 
@@ -717,7 +717,7 @@ medians AS (""",
 def q_cluster_results_mode(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        label_rule="mode", sample_hash=HASH,
+        label_rule="mode", sample_hash=HASH, sample_from="vectors",
     )
     return described
 

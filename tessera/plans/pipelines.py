@@ -81,30 +81,44 @@ def pipeline_clusters(
     label_rule: str = "lowest",
     materialize_postings: bool = False,
     sample_hash: str = "xxhash64",
+    sample_from: str = "weighted",
 ) -> tuple[DataFrame, M.KMeansResult]:
     """Cluster answered questions by (language, best answer score).
 
     Returns the cluster descriptions (lazy) and the k-means result.  The
-    vectors (one row per answered question) are materialised once and
-    feed both the sampler and the collapse to distinct weighted points;
-    the weighted table (bounded by the number of distinct points, not by
-    the number of postings) is materialised too and feeds every k-means
-    step and the description.  ``result.inputs`` holds it for
+    vectors are collapsed to distinct weighted points ``(x, y, n)`` and
+    materialised once; that table (bounded by the number of distinct
+    points, not by the number of postings) feeds the sampler, every k-means
+    step and the description, so the postings are read and joined once.
+    ``sample_from="vectors"`` instead samples individual questions by a
+    hash of their id (``sample_hash``; reproducible by other engines with
+    md5), which needs the per-question vectors materialised as well.
+    ``result.inputs`` holds the weighted table for
     :func:`tessera.session.release`.
     """
+    if sample_from not in ("weighted", "vectors"):
+        raise ValueError("sample_from must be 'weighted' or 'vectors'")
     if materialize_postings:
         # parsed text: parse every line once (the question and answer
         # filters would otherwise each re-run the parse expression)
         postings = materialize(postings, "postings")
-    vectors = materialize(
-        Q.posting_vectors(Q.scored_postings(postings), languages, lang_spread), "vectors"
-    )
+    vectors = Q.posting_vectors(Q.scored_postings(postings), languages, lang_spread)
     try:
-        weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
-        init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed, sample_hash)
-        centers = P.collect_centroids(init, kernels)
+        if sample_from == "weighted":
+            # one pass over the postings; only the small weighted table is kept
+            weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
+            init = P.sample_vectors(weighted, len(languages), kernels, lang_spread, seed)
+            centers = P.collect_centroids(init, kernels)
+        else:
+            # sample by question id: the per-question vectors are kept once
+            vectors = materialize(vectors, "vectors")
+            try:
+                weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
+                init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed, sample_hash)
+                centers = P.collect_centroids(init, kernels)
+            finally:
+                release(vectors)
     finally:
-        release(vectors)
         if materialize_postings:
             release(postings)
     result = M.kmeans(weighted, centers, eta, max_iterations, weighted=True)

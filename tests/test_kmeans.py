@@ -142,3 +142,31 @@ def test_centroid_count_is_bounded():
         nearest_center([(i, i) for i in range(MAX_INLINE_CENTERS + 1)])
     with pytest.raises(ValueError):
         nearest_center([])
+
+
+def test_weighted_sampler_is_uniform_over_copies(spark):
+    """300 groups of 900 copies of y=0 and 100 of y=1; one pick per group."""
+    rows = [(g * 50000, y, n) for g in range(300) for y, n in ((0, 900), (1, 100))]
+    w = spark.createDataFrame(rows, "x long, y long, n long")
+    picks = [r.y for r in P.sample_weighted(w, "x", 1).collect()]
+    assert len(picks) == 300
+    assert 270 - 20 <= picks.count(0) <= 270 + 20  # binomial(300, 0.9): sd 5.2
+
+
+def test_weighted_sampler_takes_all_copies_when_k_is_large(spark):
+    w = spark.createDataFrame([(0, 1, 2), (0, 2, 1), (50000, 3, 1)], "x long, y long, n long")
+    got = sorted((r.x, r.y) for r in P.sample_weighted(w, "x", 5).collect())
+    assert got == [(0, 1), (0, 1), (0, 2), (50000, 3)]
+    again = sorted((r.x, r.y) for r in P.sample_weighted(w.repartition(3), "x", 2).collect())
+    assert again == sorted((r.x, r.y) for r in P.sample_weighted(w, "x", 2).collect())
+    assert len(P.sample_weighted(w, None, 3).collect()) == 3
+
+
+def test_sample_vectors_from_weighted_rows(spark):
+    raw = pts(spark, [(0, 1), (0, 1), (0, 2), (50000, 3), (50000, 4), (50000, 4)])
+    w = M.weighted_vectors(raw)
+    c = P.collect_centroids(P.sample_vectors(w, 2, 4, 50000), 4)
+    assert [x for x, _ in c] == [0, 0, 50000, 50000]
+    assert all(p in [(0, 1), (0, 2), (50000, 3), (50000, 4)] for p in c)
+    small = P.collect_centroids(P.sample_vectors(w, 2, 4, lang_spread=100), 4)
+    assert len(small) == 4

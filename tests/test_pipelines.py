@@ -45,7 +45,7 @@ def test_pipeline_clusters_matches_operator_steps(spark):
     from tessera.operators import forum as Q
 
     v = Q.posting_vectors(Q.scored_postings(postings), S.STANDIN_TAGS)
-    centers = P.collect_centroids(P.sample_vectors(v, 5, 15), 15)
+    centers = P.collect_centroids(P.sample_vectors(M.weighted_vectors(v), 5, 15), 15)
     for _ in range(result.iterations):
         nxt = [(r.x, r.y) for r in M.kmeans_step(v, centers).orderBy("cluster").collect()]
         if M.converged(M.centroid_shift(centers, nxt)):
@@ -53,6 +53,10 @@ def test_pipeline_clusters_matches_operator_steps(spark):
             break
         centers = nxt
     assert centers == result.centers
+    # sampling questions by id instead gives valid centroids as well
+    by_id, r2 = PL.pipeline_clusters(postings, S.STANDIN_TAGS, 50000, 15, sample_from="vectors")
+    assert len(by_id.collect()) > 0
+    release(r2.inputs)
 
 
 def test_pipeline_survey_from_csv(spark, tmp_dir):
