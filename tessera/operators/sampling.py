@@ -60,8 +60,23 @@ def _unit_uniform(h: Column) -> Column:
     return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / float(2**53)
 
 
+def _copy_uniform(seed: int, hashing: str) -> Column:
+    """Uniform in (0, 1) for copy ``j`` of point ``(x, y)``."""
+    if hashing == "xxhash64":
+        return _unit_uniform(F.xxhash64(F.lit(seed), F.col("x"), F.col("y"), F.col("j")))
+    if hashing == "md5":
+        text = F.concat_ws(":", F.lit(str(seed)), F.col("x"), F.col("y"), F.col("j"))
+        digits = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")  # 52 bits
+        return (digits.cast("double") + 0.5) / float(2**52)
+    raise ValueError(f"hashing must be one of {HASHES}")
+
+
 def sample_weighted(
-    weighted: DataFrame, group_col: str | None, k: int, seed: int = DEFAULT_SEED
+    weighted: DataFrame,
+    group_col: str | None,
+    k: int,
+    seed: int = DEFAULT_SEED,
+    hashing: str = "xxhash64",
 ) -> DataFrame:
     """Up to ``k`` copies per group from weighted rows ``x, y, n``, as rows
     ``x, y, sample_rank`` - uniform without replacement over the multiset.
@@ -70,13 +85,15 @@ def sample_weighted(
     and the ``k`` smallest keys of a group win.  Only a point's ``min(n, k)``
     smallest keys can matter, and those are generated directly as order
     statistics: ``1 - U(j) = prod_{i<=j} V_i ** (1 / (n - i + 1))`` with
-    ``V_i`` hashed from (seed, x, y, i).  So the sample reads only the
-    weighted table (bounded by the number of distinct points), never the
-    per-row vectors.  ``group_col=None`` samples ``k`` from everything.
+    ``V_i`` hashed from (seed, x, y, i) (``xxhash64``, or the first 52
+    bits of ``md5("seed:x:y:i")`` for other engines).  So the sample reads
+    only the weighted table (bounded by the number of distinct points),
+    never the per-row vectors.  ``group_col=None`` samples ``k`` from
+    everything.
     """
     m = F.least(F.col("n"), F.lit(k)).cast("int")
     copies = weighted.select("x", "y", "n", F.explode(F.sequence(F.lit(1), m)).alias("j"))
-    v = _unit_uniform(F.xxhash64(F.lit(seed), F.col("x"), F.col("y"), F.col("j")))
+    v = _copy_uniform(seed, hashing)
     step = F.log(v) / (F.col("n") - F.col("j") + 1).cast("double")
     # copies of one point: at most k rows per window partition
     within = Window.partitionBy("x", "y").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
@@ -108,16 +125,16 @@ def sample_vectors(
     from the whole space.  Clusters are numbered by (x, rank).  Fails
     unless exactly ``kernels`` centroids come out.  Raw vectors (with
     ``id``) are ranked by the id hash; weighted rows ``x, y, n`` are
-    sampled by :func:`sample_weighted` (``hashing`` does not apply).
+    sampled by :func:`sample_weighted`.
     """
     if n_languages <= 0 or kernels % n_languages != 0:
         raise ValueError("kernels must be a positive multiple of the number of languages")
     per_lang = kernels // n_languages
     if "n" in vectors.columns and "id" not in vectors.columns:
         if lang_spread < 500:
-            picked = sample_weighted(vectors, None, kernels, seed)
+            picked = sample_weighted(vectors, None, kernels, seed, hashing)
         else:
-            picked = sample_weighted(vectors, "x", per_lang, seed)
+            picked = sample_weighted(vectors, "x", per_lang, seed, hashing)
     elif lang_spread < 500:
         picked = sample_fixed(vectors, kernels, seed, hashing=hashing).withColumn(
             "sample_rank", F.row_number().over(Window.orderBy(sample_key("id", seed, hashing), "id"))

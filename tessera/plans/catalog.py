@@ -487,6 +487,30 @@ def q_sample_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return P.sample_per_group(_vectors(spark, sf), "x", KERNELS // len(S.STANDIN_TAGS), SEED, hashing=HASH)
 
 
+PER_LANG = KERNELS // len(S.STANDIN_TAGS)
+WEIGHTED_SAMPLE_SQL = f"""
+WITH w AS (SELECT x, y, count(*) AS n FROM ({VECTORS_SQL}) v GROUP BY x, y),
+c AS (SELECT x, y, n, unnest(range(1, least(n, {PER_LANG}) + 1)) AS j FROM w),
+u AS (
+  SELECT x, y, n, j,
+         (CAST(('0x' || substr(md5('{SEED}:' || x || ':' || y || ':' || j), 1, 13)) AS BIGINT) + 0.5)
+           / 4503599627370496.0 AS v
+  FROM c),
+k AS (
+  SELECT x, y, j,
+         -sum(ln(v) / CAST(n - j + 1 AS DOUBLE))
+           OVER (PARTITION BY x, y ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS key
+  FROM u),
+r AS (SELECT x, y, CAST(row_number() OVER (PARTITION BY x ORDER BY key, x, y, j) AS INTEGER) AS sample_rank FROM k)
+SELECT x, y, sample_rank FROM r WHERE sample_rank <= {PER_LANG}
+"""
+
+
+@register("sample_weighted", WEIGHTED_SAMPLE_SQL)
+def q_sample_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    return P.sample_weighted(M.weighted_vectors(_vectors(spark, sf)), "x", PER_LANG, SEED, hashing=HASH)
+
+
 @register("sample_vectors", INIT_SQL)
 def q_sample_vectors(spark: SparkSession, sf: str) -> DataFrame:
     init = _init_frame(spark, sf)

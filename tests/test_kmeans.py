@@ -144,11 +144,12 @@ def test_centroid_count_is_bounded():
         nearest_center([])
 
 
-def test_weighted_sampler_is_uniform_over_copies(spark):
+@pytest.mark.parametrize("hashing", ["xxhash64", "md5"])
+def test_weighted_sampler_is_uniform_over_copies(spark, hashing):
     """300 groups of 900 copies of y=0 and 100 of y=1; one pick per group."""
     rows = [(g * 50000, y, n) for g in range(300) for y, n in ((0, 900), (1, 100))]
     w = spark.createDataFrame(rows, "x long, y long, n long")
-    picks = [r.y for r in P.sample_weighted(w, "x", 1).collect()]
+    picks = [r.y for r in P.sample_weighted(w, "x", 1, hashing=hashing).collect()]
     assert len(picks) == 300
     assert 270 - 20 <= picks.count(0) <= 270 + 20  # binomial(300, 0.9): sd 5.2
 
