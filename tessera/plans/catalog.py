@@ -358,15 +358,15 @@ def _with(*ctes: tuple[str, str]) -> str:
 INIT_CTES = (("centers", INIT_SQL), ("assigned", ASSIGN_SQL))
 # exact k-means to convergence: each recursion level is one step over all
 # (vector, centroid) pairs; `done` stops the recursion
-KMEANS_SQL = f"""
+KMEANS_TEMPLATE = """
 WITH RECURSIVE
-vectors AS ({VECTORS_SQL}),
-init AS ({INIT_SQL}),
+vectors AS ({vectors}),
+init AS ({init}),
 km(iter, cluster, old_x, old_y, x, y, moved, done) AS (
   SELECT 0, cluster, x, y, x, y, CAST(0 AS DOUBLE), false FROM init
   UNION ALL
   SELECT iter, cluster, old_x, old_y, x, y, moved,
-         (sum(moved) OVER () < {ETA} OR iter >= {MAX_ITERATIONS}) AS done
+         (sum(moved) OVER () < {eta} OR iter >= {max_iterations}) AS done
   FROM (
     SELECT iter, cluster, old_x, old_y, x, y,
            CAST(x - old_x AS DOUBLE) * (x - old_x) + CAST(y - old_y AS DOUBLE) * (y - old_y) AS moved
@@ -385,6 +385,10 @@ km(iter, cluster, old_x, old_y, x, y, moved, done) AS (
       GROUP BY k_iter, k_cluster, k_x, k_y) stepped) moved_rows
 )
 """
+KMEANS_SQL = KMEANS_TEMPLATE.format(
+    vectors=VECTORS_SQL, init=INIT_SQL, eta=ETA, max_iterations=MAX_ITERATIONS
+)
+
 FINAL_CENTERS_SQL = "SELECT cluster, x, y FROM km WHERE iter = (SELECT max(iter) FROM km)"
 
 
@@ -574,9 +578,8 @@ def q_kmeans_trace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # cluster descriptions over the converged centroids
-CLUSTER_SQL = (
-    KMEANS_SQL.rstrip()
-    + f""",
+CLUSTER_TAIL = (
+    f""",
 centers AS ({FINAL_CENTERS_SQL}),
 assigned AS ({ASSIGN_SQL}),
 per_x AS (SELECT cluster, x, count(*) AS cnt FROM assigned GROUP BY cluster, x),
@@ -594,6 +597,18 @@ results AS (
   FROM labels l JOIN medians m ON l.cluster = m.cluster)
 """
 )
+CLUSTER_SQL = KMEANS_SQL.rstrip() + CLUSTER_TAIL
+WEIGHTED_INIT_SQL = f"""
+SELECT CAST(row_number() OVER (ORDER BY x, sample_rank) - 1 AS INTEGER) AS cluster, x, y
+FROM ({WEIGHTED_SAMPLE_SQL}) g
+"""
+# the cluster pipeline's default route: centroids sampled from the weighted points
+WEIGHTED_CLUSTER_SQL = (
+    KMEANS_TEMPLATE.format(
+        vectors=VECTORS_SQL, init=WEIGHTED_INIT_SQL, eta=ETA, max_iterations=MAX_ITERATIONS
+    ).rstrip()
+    + CLUSTER_TAIL
+)
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
@@ -670,11 +685,13 @@ def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
     return PL.pipeline_terms(articles, S.STANDIN_TERMS)
 
 
-@register("pipeline_clusters", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")
+@register(
+    "pipeline_clusters", WEIGHTED_CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results"
+)
 def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
     described, _ = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH, sample_from="vectors",
+        sample_hash=HASH, sample_from="weighted",
     )
     return described
 

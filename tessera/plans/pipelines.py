@@ -91,8 +91,9 @@ def pipeline_clusters(
     points, not by the number of postings) feeds the sampler, every k-means
     step and the description, so the postings are read and joined once.
     ``sample_from="vectors"`` instead samples individual questions by a
-    hash of their id (``sample_hash``; reproducible by other engines with
-    md5), which needs the per-question vectors materialised as well.
+    hash of their id, which needs the per-question vectors materialised as
+    well.  ``sample_hash="md5"`` makes either sample reproducible by other
+    engines.
     ``result.inputs`` holds the weighted table for
     :func:`tessera.session.release`.
     """
@@ -107,7 +108,7 @@ def pipeline_clusters(
         if sample_from == "weighted":
             # one pass over the postings; only the small weighted table is kept
             weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
-            init = P.sample_vectors(weighted, len(languages), kernels, lang_spread, seed)
+            init = P.sample_vectors(weighted, len(languages), kernels, lang_spread, seed, sample_hash)
             centers = P.collect_centroids(init, kernels)
         else:
             # sample by question id: the per-question vectors are kept once
