@@ -33,3 +33,15 @@ def test_no_python_no_nested_loops_anywhere(spark):
             continue  # these run k-means jobs eagerly; covered in test_kmeans
         p = plan_text(fn(spark, SF_SMALL))
         assert not has_python_node(p) and "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
+
+
+def test_size_ordered_index_scans_text_once(spark):
+    from tessera.operators import terms as T
+    from tessera.sources import tables as S
+
+    df = T.inverted_index(S.articles(spark, SF_SMALL), S.STANDIN_TERMS, by_size=True)
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()  # let AQE finalise the plan
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet") == 1
