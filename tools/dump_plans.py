@@ -19,7 +19,7 @@ from tessera.session import local_session  # noqa: E402
 
 NAMES = [
     "rank_terms_count", "rank_terms_scan", "inverted_index", "parse_postings",
-    "scored_postings", "grouped_postings", "sample_per_group", "kmeans_step",
+    "scored_postings", "grouped_postings", "sample_per_group", "sample_weighted", "kmeans_step",
     "cluster_results", "time_usage_grouped", "pipeline_survey",
 ]
 
