@@ -56,7 +56,7 @@ def run_clusters(args: argparse.Namespace) -> None:
         postings = read_postings(spark, args.path)
     described, result = PL.pipeline_clusters(
         postings, LANGUAGES, args.spread, args.kernels, args.eta, args.max_iterations,
-        materialize_postings=not args.parquet,
+        materialize_postings=not args.parquet, kmeans_state=args.state,
     )
     try:
         for it in sorted({t[0] for t in result.trace}):
@@ -111,6 +111,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--spread", type=int, default=Q.DEFAULT_LANG_SPREAD)
     c.add_argument("--eta", type=float, default=M.DEFAULT_ETA)
     c.add_argument("--max-iterations", type=int, default=M.DEFAULT_MAX_ITERATIONS)
+    c.add_argument("--state", help="folder on shared storage recording k-means progress (resume)")
     c.set_defaults(fn=run_clusters)
     s = sub.add_parser("survey", help="average daily hours by working status, sex and age band")
     s.add_argument("path")

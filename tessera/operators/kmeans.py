@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,6 +134,40 @@ class KMeansResult:
         return centroid_frame(spark, self.centers)
 
 
+def _save_iteration(spark: SparkSession, state_path: str, rows: list[tuple]) -> None:
+    """Record one finished iteration under ``state_path/iteration=N``.
+
+    Each iteration is its own committed partition, so a crash while
+    writing never damages earlier ones (uncommitted output stays in the
+    writer's temporary folder, which readers skip).
+    """
+    it = rows[0][0]
+    spark.createDataFrame(rows, KMeansResult.TRACE_SCHEMA).drop("iteration").write.mode(
+        "overwrite"
+    ).parquet(f"{state_path.rstrip('/')}/iteration={it}")
+
+
+def _load_state(spark: SparkSession, state_path: str) -> list[tuple] | None:
+    """Trace rows of every committed iteration, or None if there are none."""
+    try:
+        df = spark.read.parquet(state_path)
+    except AnalysisException:  # nothing recorded yet
+        return None
+    cols = [c.split()[0] for c in KMeansResult.TRACE_SCHEMA.split(", ")]
+    rows = [tuple(r[c] for c in cols) for r in df.orderBy("iteration", "cluster").collect()]
+    if not rows:
+        return None
+    # keep the contiguous prefix 1..N of complete iterations
+    k = max(r[1] for r in rows) + 1
+    done = []
+    for it in range(1, max(r[0] for r in rows) + 1):
+        chunk = [r for r in rows if r[0] == it]
+        if len(chunk) != k:
+            break
+        done.extend(chunk)
+    return done or None
+
+
 def _step_means(weighted: DataFrame, centers: list[Point]) -> list[Point]:
     new = list(centers)
     for r in average_vectors(weighted, centers).collect():  # <= K rows
@@ -146,6 +181,7 @@ def kmeans(
     eta: float = DEFAULT_ETA,
     max_iterations: int = DEFAULT_MAX_ITERATIONS,
     weighted: bool = True,
+    state_path: str | None = None,
 ) -> KMeansResult:
     """Iterate :func:`kmeans_step` until converged or ``max_iterations``.
 
@@ -165,16 +201,32 @@ def kmeans(
     else:  # already weighted (x, y, n) and materialised by the caller
         data = vectors
     try:
+        spark = data.sparkSession
         means = [(int(x), int(y)) for x, y in centers]
         trace: list[tuple] = []
         iteration = 1
+        state = _load_state(spark, state_path) if state_path else None
+        if state:
+            last = max(r[0] for r in state)
+            rows = [r for r in state if r[0] == last]
+            if len(rows) != len(means):
+                raise ValueError("recorded k-means state has a different number of centroids")
+            trace = state
+            new = [(r[4], r[5]) for r in rows]
+            shift = rows[0][7]
+            if converged(shift, eta) or last >= max_iterations:
+                return KMeansResult(new, last, shift, trace)
+            means, iteration = new, last + 1
         while True:
             new = _step_means(data, means)
             shift = centroid_shift(means, new)
-            trace.extend(
+            rows = [
                 (iteration, i, o[0], o[1], n[0], n[1], _sq(o, n), shift)
                 for i, (o, n) in enumerate(zip(means, new))
-            )
+            ]
+            trace.extend(rows)
+            if state_path:
+                _save_iteration(spark, state_path, rows)
             if converged(shift, eta) or iteration >= max_iterations:
                 return KMeansResult(new, iteration, shift, trace)
             means = new

@@ -82,6 +82,7 @@ def pipeline_clusters(
     materialize_postings: bool = False,
     sample_hash: str = "xxhash64",
     sample_from: str = "weighted",
+    kmeans_state: str | None = None,
 ) -> tuple[DataFrame, M.KMeansResult]:
     """Cluster answered questions by (language, best answer score).
 
@@ -94,7 +95,8 @@ def pipeline_clusters(
     hash of their id, which needs the per-question vectors materialised as
     well.  ``sample_hash="md5"`` makes either sample reproducible by other
     engines.
-    ``result.inputs`` holds the weighted table for
+    ``kmeans_state`` records every k-means iteration on shared storage so
+    a rerun resumes there.  ``result.inputs`` holds the weighted table for
     :func:`tessera.session.release`.
     """
     if sample_from not in ("weighted", "vectors"):
@@ -122,7 +124,7 @@ def pipeline_clusters(
     finally:
         if materialize_postings:
             release(postings)
-    result = M.kmeans(weighted, centers, eta, max_iterations, weighted=True)
+    result = M.kmeans(weighted, centers, eta, max_iterations, weighted=True, state_path=kmeans_state)
     result.inputs = weighted  # release it once `described` has run
     described = K.cluster_results(result.centers, weighted, languages, lang_spread, label_rule)
     return described, result

@@ -171,3 +171,19 @@ def test_sample_vectors_from_weighted_rows(spark):
     assert all(p in [(0, 1), (0, 2), (50000, 3), (50000, 4)] for p in c)
     small = P.collect_centroids(P.sample_vectors(w, 2, 4, lang_spread=100), 4)
     assert len(small) == 4
+
+
+def test_kmeans_resumes_from_recorded_state(spark, tmp_dir):
+    raw = pts(spark, [(0, 0), (0, 100), (0, 1000), (0, 37), (0, 555)])
+    centers = [(0, 0), (0, 1)]
+    fresh = M.kmeans(raw, centers, eta=0.0, max_iterations=6)
+    state = f"{tmp_dir}/kmeans-state"
+    first = M.kmeans(raw, centers, eta=0.0, max_iterations=2, state_path=state)
+    assert first.iterations == 2
+    # a new run (e.g. after the driver was lost) continues at iteration 3
+    resumed = M.kmeans(raw, centers, eta=0.0, max_iterations=6, state_path=state)
+    assert (resumed.centers, resumed.iterations) == (fresh.centers, fresh.iterations)
+    assert resumed.trace == fresh.trace
+    # a finished run is returned as recorded
+    again = M.kmeans(raw, centers, eta=0.0, max_iterations=6, state_path=state)
+    assert again.centers == fresh.centers and again.iterations == fresh.iterations
