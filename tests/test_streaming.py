@@ -29,3 +29,24 @@ def test_running_counts_follow_new_files(spark, tmp_dir):
     assert got == [("Java", 2), ("Scala", 2)]
     batch = rank_terms_count(read_articles(spark, src, strict=False).where("not malformed"), terms)
     assert sorted(tuple(r) for r in batch.collect()) == got
+
+
+def test_restarted_stream_resumes_from_its_checkpoint(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in2")
+    os.makedirs(src)
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    with open(os.path.join(src, "a.dat"), "w") as f:
+        f.write(record("1", "Java here") + "\n")
+    q = start_running_term_counts(spark, src, ["Java"], query_name="tc_resume", checkpoint_location=ckpt)
+    q.processAllAvailable()
+    q.stop()
+    with open(os.path.join(src, "b.dat"), "w") as f:
+        f.write(record("2", "more Java") + "\n")
+    q = start_running_term_counts(spark, src, ["Java"], query_name="tc_resume", checkpoint_location=ckpt)
+    try:
+        q.processAllAvailable()
+        got = [tuple(r) for r in spark.table("tc_resume").collect()]
+    finally:
+        q.stop()
+    # the first file is not counted again; the state carries its count
+    assert got == [("Java", 2)]
