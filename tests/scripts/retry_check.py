@@ -58,6 +58,10 @@ def main() -> None:
     a = [tuple(r) for r in T.rank_terms_count(arts, S.STANDIN_TERMS).collect()]
     b = [tuple(r) for r in T.rank_terms_count(flaky(arts), S.STANDIN_TERMS).collect()]
     assert a == b, "rankings differ"
+    survey = S.survey_table(spark, sf)
+    c = [tuple(r) for r in PL.pipeline_survey(survey, via_decimal=True).collect()]
+    d = [tuple(r) for r in PL.pipeline_survey(flaky(survey), via_decimal=True).collect()]
+    assert c == d, "survey results differ"
     spark.stop()
     print("RETRY-OK")
 
