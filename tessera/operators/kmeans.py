@@ -185,15 +185,36 @@ def kmeans(
 ) -> KMeansResult:
     """Iterate :func:`kmeans_step` until converged or ``max_iterations``.
 
-    The (weighted) input is materialised once - checkpointed to the
-    cluster's shared checkpoint folder when one is configured, persisted
-    otherwise - and released when done.  Input that already carries a
-    weight column ``n`` is taken as weighted and materialised by the
-    caller.  Centroids travel inside each
-    plan as literals, so lineage does not grow across iterations.
+    The (weighted) input is materialised once - written to the cluster's
+    shared checkpoint folder when one is configured, persisted otherwise -
+    and released when done.  Input that already carries a weight column
+    ``n`` is taken as weighted and materialised by the caller.  Centroids
+    travel inside each plan as literals, so lineage does not grow across
+    iterations.
+
+    ``state_path`` (a folder on shared storage) records every finished
+    iteration; a run given the same folder - e.g. after the driver was
+    lost - resumes after the last recorded iteration instead of starting
+    over.  Only the <= K rows of each iteration are written.
     """
     if max_iterations < 1:
         raise ValueError("max_iterations must be at least 1")
+    spark = vectors.sparkSession
+    means = [(int(x), int(y)) for x, y in centers]
+    trace: list[tuple] = []
+    iteration = 1
+    state = _load_state(spark, state_path) if state_path else None
+    if state:
+        last = max(r[0] for r in state)
+        rows = [r for r in state if r[0] == last]
+        if len(rows) != len(means):
+            raise ValueError("recorded k-means state has a different number of centroids")
+        trace = state
+        new = [(r[4], r[5]) for r in rows]
+        shift = rows[0][7]
+        if converged(shift, eta) or last >= max_iterations:
+            return KMeansResult(new, last, shift, trace)
+        means, iteration = new, last + 1
     owned = not (weighted and "n" in vectors.columns)
     if owned:
         data = weighted_vectors(vectors) if weighted else vectors.select("x", "y")
@@ -201,22 +222,6 @@ def kmeans(
     else:  # already weighted (x, y, n) and materialised by the caller
         data = vectors
     try:
-        spark = data.sparkSession
-        means = [(int(x), int(y)) for x, y in centers]
-        trace: list[tuple] = []
-        iteration = 1
-        state = _load_state(spark, state_path) if state_path else None
-        if state:
-            last = max(r[0] for r in state)
-            rows = [r for r in state if r[0] == last]
-            if len(rows) != len(means):
-                raise ValueError("recorded k-means state has a different number of centroids")
-            trace = state
-            new = [(r[4], r[5]) for r in rows]
-            shift = rows[0][7]
-            if converged(shift, eta) or last >= max_iterations:
-                return KMeansResult(new, last, shift, trace)
-            means, iteration = new, last + 1
         while True:
             new = _step_means(data, means)
             shift = centroid_shift(means, new)
