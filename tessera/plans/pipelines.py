@@ -21,7 +21,7 @@ from tessera.operators import kmeans as M
 from tessera.operators import sampling as P
 from tessera.operators import survey as U
 from tessera.operators import terms as T
-from tessera.session import materialize, release
+from tessera.session import committed, materialize, release
 
 STRATEGIES = ("scan", "index", "count")
 
@@ -95,41 +95,62 @@ def pipeline_clusters(
     hash of their id, which needs the per-question vectors materialised as
     well.  ``sample_hash="md5"`` makes either sample reproducible by other
     engines.
-    ``kmeans_state`` records every k-means iteration on shared storage so
-    a rerun resumes there.  ``result.inputs`` holds the weighted table for
-    :func:`tessera.session.release`.
+    ``kmeans_state`` (a folder on shared storage) keeps the weighted points
+    and every k-means iteration, so a rerun after a lost driver skips the
+    scoring join (once the weighted table's write has committed) and the
+    finished iterations.  ``result.inputs`` holds the weighted table for
+    :func:`tessera.session.release` (tables in the state folder are kept).
     """
     if sample_from not in ("weighted", "vectors"):
         raise ValueError("sample_from must be 'weighted' or 'vectors'")
-    if materialize_postings:
-        # parsed text: parse every line once (the question and answer
-        # filters would otherwise each re-run the parse expression)
-        postings = materialize(postings, "postings")
-    vectors = Q.posting_vectors(Q.scored_postings(postings), languages, lang_spread)
-    try:
-        if sample_from == "weighted":
-            # one pass over the postings; only the small weighted table is kept
-            weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
-            init = P.sample_vectors(weighted, len(languages), kernels, lang_spread, seed, sample_hash)
-            centers = P.collect_centroids(init, kernels)
-        else:
-            # sample by question id: the per-question vectors are kept once
-            vectors = materialize(vectors, "vectors")
-            try:
-                weighted = materialize(M.weighted_vectors(vectors), "weighted-vectors")
-                init = P.sample_vectors(vectors, len(languages), kernels, lang_spread, seed, sample_hash)
-                centers = P.collect_centroids(init, kernels)
-            finally:
-                release(vectors)
-    finally:
+    spark = postings.sparkSession
+    state = kmeans_state.rstrip("/") if kmeans_state else None
+    if state and sample_from == "weighted" and committed(spark, f"{state}/weighted"):
+        # rerun after a lost driver: the postings are not read again
+        weighted = spark.read.parquet(f"{state}/weighted")
+    else:
         if materialize_postings:
-            release(postings)
-    result = M.kmeans(weighted, centers, eta, max_iterations, weighted=True, state_path=kmeans_state)
+            # parsed text: parse every line once (the question and answer
+            # filters would otherwise each re-run the parse expression)
+            postings = materialize(postings, "postings")
+        try:
+            vectors = Q.posting_vectors(Q.scored_postings(postings), languages, lang_spread)
+            if sample_from == "weighted":
+                weighted = _weighted_points(vectors, state)
+            else:
+                # sample by question id: the per-question vectors are kept once
+                vectors = materialize(vectors, "vectors")
+                try:
+                    weighted = _weighted_points(vectors, state)
+                    init = P.sample_vectors(
+                        vectors, len(languages), kernels, lang_spread, seed, sample_hash
+                    )
+                    centers = P.collect_centroids(init, kernels)
+                finally:
+                    release(vectors)
+        finally:
+            if materialize_postings:
+                release(postings)
+    if sample_from == "weighted":
+        init = P.sample_vectors(weighted, len(languages), kernels, lang_spread, seed, sample_hash)
+        centers = P.collect_centroids(init, kernels)
+    trace_path = f"{state}/trace" if state else None
+    result = M.kmeans(weighted, centers, eta, max_iterations, weighted=True, state_path=trace_path)
     result.inputs = weighted  # release it once `described` has run
     described = K.cluster_results(result.centers, weighted, languages, lang_spread, label_rule)
     return described, result
 
 
+def _weighted_points(vectors: DataFrame, state: str | None) -> DataFrame:
+    """Distinct weighted points, materialised - kept in the state folder
+    when one is given (so a rerun can skip everything before k-means)."""
+    points = M.weighted_vectors(vectors)
+    if state is None:
+        return materialize(points, "weighted-vectors")
+    points.write.mode("overwrite").parquet(f"{state}/weighted")
+    return vectors.sparkSession.read.parquet(f"{state}/weighted")
+
+
 def pipeline_survey(df: DataFrame, via_decimal: bool = False) -> DataFrame:
     """Average daily hours by working status, sex and age band."""
     primary, work, other = U.classify_columns(df.columns)

@@ -95,6 +95,13 @@ def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     return out
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """True if a Spark write to ``path`` completed (its ``_SUCCESS`` marker exists)."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def release(df: DataFrame) -> None:
     """Drop a materialised intermediate (cached blocks or written table)."""
     path = _WRITTEN.pop(id(df), None)

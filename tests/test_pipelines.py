@@ -75,3 +75,18 @@ def test_pipeline_survey_from_csv(spark, tmp_dir):
     direct = U.time_usage_grouped(U.time_usage_summary(p, w, o, df))
     assert [tuple(r) for r in grouped.collect()] == [tuple(r) for r in direct.collect()]
     assert all(r.working in ("working", "not working") for r in grouped.collect())
+
+
+def test_pipeline_rerun_after_lost_driver_skips_the_join(spark, tmp_dir):
+    postings = S.postings(spark, SF_SMALL)
+    fresh, r0 = PL.pipeline_clusters(postings, S.STANDIN_TAGS, 50000, 15)
+    want = sorted(tuple(r) for r in fresh.collect())
+    release(r0.inputs)
+    state = f"{tmp_dir}/cluster-state"
+    _, r1 = PL.pipeline_clusters(postings, S.STANDIN_TAGS, 50000, 15, max_iterations=2, kmeans_state=state)
+    assert r1.iterations == 2
+    # the rerun must not touch the postings: evaluating them would fail
+    poisoned = postings.withColumn("score", F.raise_error(F.lit("postings were read again")).cast("int"))
+    again, r2 = PL.pipeline_clusters(poisoned, S.STANDIN_TAGS, 50000, 15, kmeans_state=state)
+    assert sorted(tuple(r) for r in again.collect()) == want
+    assert (r2.centers, r2.iterations) == (r0.centers, r0.iterations)
