@@ -162,20 +162,37 @@ def rank_terms_scan(
     """Every list entry with its article count, zero counts kept.
 
     Output ``term, position, n`` ordered by ``n`` desc, ``position``.  One
-    pass counts the distinct terms; the list is then left-joined to those
-    counts (at most one row per listed term, broadcast).
+    pass counts the distinct terms; the counts (at most one per listed
+    term) are folded into a single map row and the list is unfolded from
+    it - no join.  Term tables join their counts instead.
     """
-    tf = term_frame(articles.sparkSession, terms)
+    if _is_inline(terms) and len(terms) == 0:
+        empty = term_frame(articles.sparkSession, [])
+        return empty.select("term", "position", F.lit(0).cast("long").alias("n"))
     if _is_inline(terms):
-        counts = F.broadcast(_distinct_term_counts(articles, list(terms), text))
-        joined = tf.join(counts, "term", "left")
-    else:
-        counts = (
-            term_hits(articles, tf, key, text)
-            .groupBy("term", "position")
-            .agg(F.count(F.lit(1)).alias("n"))
+        terms = list(terms)
+        counts = _distinct_term_counts(articles, terms, text)
+        # one row holding a term -> count map; at most one entry per listed
+        # term, so the gathered group is bounded by the (inlined) list
+        found = counts.agg(F.map_from_entries(F.collect_list(F.struct("term", "n"))).alias("m"))
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(t).alias("term"),
+                    F.lit(p).alias("position"),
+                    F.coalesce(F.element_at(F.col("m"), F.lit(t)), F.lit(0).cast("long")).alias("n"),
+                )
+                for p, t in enumerate(terms)
+            ]
         )
-        joined = tf.join(counts, ["term", "position"], "left")
+        return found.select(F.inline(rows)).orderBy(F.desc("n"), "position")
+    tf = term_frame(articles.sparkSession, terms)
+    counts = (
+        term_hits(articles, tf, key, text)
+        .groupBy("term", "position")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    joined = tf.join(counts, ["term", "position"], "left")
     return joined.select(
         "term", "position", F.coalesce("n", F.lit(0)).alias("n")
     ).orderBy(F.desc("n"), "position")
