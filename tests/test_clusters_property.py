@@ -66,3 +66,27 @@ def test_md5_sample_is_k_smallest_keys(spark, groups, k, seed):
         ids = sorted((i for i, x in rows if x == g), key=key)[:k]
         want += [(g, i) for i in ids]
     assert got == sorted(want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    points=st.dictionaries(
+        st.tuples(st.integers(0, 2), st.integers(0, 5)), st.integers(1, 6), min_size=1, max_size=10
+    ),
+    k=st.integers(1, 5),
+    seed=st.integers(0, 99),
+)
+def test_weighted_sample_invariants(spark, points, k, seed):
+    rows = [(x * SPREAD, y, n) for (x, y), n in points.items()]
+    w = spark.createDataFrame(rows, "x long, y long, n long")
+    got = [tuple(r) for r in P.sample_weighted(w, "x", k, seed).collect()]
+    again = [tuple(r) for r in P.sample_weighted(w.repartition(3), "x", k, seed).collect()]
+    assert sorted(got) == sorted(again)
+    for x in {r[0] for r in rows}:
+        total = sum(n for rx, _, n in rows if rx == x)
+        picks = [r for r in got if r[0] == x]
+        assert len(picks) == min(k, total)
+        assert sorted(r[2] for r in picks) == list(range(1, len(picks) + 1))
+        for rx, y, n in rows:
+            if rx == x:
+                assert sum(1 for r in picks if r[1] == y) <= n
