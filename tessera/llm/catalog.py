@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import bpe_codec as B
 from tessera.llm import exact_dedup as D
 from tessera.llm import line_dedup as L
+from tessera.llm import packing as P
+from tessera.llm import token_counts as T
 from tessera.llm import url_filter as U
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +49,23 @@ def q_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return D.exact_dedup(documents(spark, sf)).withColumnRenamed("digest", "text_sha256")
 
 
+PACK_TOKENIZER = "byte_bpe_50k.json"
+
+
+@register("op3_packing")
+def q_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = P.pack(documents(spark, sf), public_tokenizers.path(PACK_TOKENIZER))
+    return pieces.select(
+        "doc_id", "start", F.col("n").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+@register("op4_token_counts")
+def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return T.token_counts(documents(spark, sf), public_tokenizers.path(PACK_TOKENIZER))
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -82,6 +103,20 @@ def q_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return U.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+CODEC_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@register("op9_bpe_codec")
+def q_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path(CODEC_RANKS)
+    return B.encode(documents(spark, sf), path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(B.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
+
+
 @register(
     "op10_line_dedup",
     r"""
