@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm import bpe_codec as B
 from tessera.llm import exact_dedup as D
+from tessera.llm import licenses as C
 from tessera.llm import line_dedup as L
 from tessera.llm import packing as P
+from tessera.llm import quality as Q
 from tessera.llm import token_counts as T
 from tessera.llm import url_filter as U
 
@@ -66,6 +68,16 @@ def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return T.token_counts(documents(spark, sf), public_tokenizers.path(PACK_TOKENIZER))
 
 
+@register("op6_license_scan")
+def q_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return C.scan_licenses(documents(spark, sf)).drop("spans")
+
+
+@register("op7_quality_rules")
+def q_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.judge(documents(spark, sf)).select("doc_id", *Q.MEASURES, "base_failed", "kept")
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
