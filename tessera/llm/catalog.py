@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe_codec as B
@@ -14,6 +14,7 @@ from tessera.llm import licenses as C
 from tessera.llm import line_dedup as L
 from tessera.llm import packing as P
 from tessera.llm import quality as Q
+from tessera.llm import secrets as S
 from tessera.llm import token_counts as T
 from tessera.llm import url_filter as U
 
@@ -37,6 +38,24 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@register("op1_secret_scan")
+def q_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    out = S.find_secrets(documents(spark, sf).select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s.kind != "random")
+    return out.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(S.spans_text(base), 256).alias("base_sha256"),
+        S.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 @register(
     "op2_exact_dedup",
     r"""

@@ -156,11 +156,11 @@ def scan_licenses(
     empty = F.array().cast("array<struct<at:int,label:string>>")
     last_words = F.array(*(F.lit(p.split(" ")[-1]) for p, _ in phrases))
 
+    def places(w: Column, phrase: str, label: str) -> Column:
+        return F.transform(_phrase_starts(w, phrase), lambda i: F.struct(i.alias("at"), F.lit(label).alias("label")))
+
     def counts(w: Column) -> Column:
-        each = [
-            F.transform(_phrase_starts(w, p), lambda i, label=label: F.struct(i.alias("at"), F.lit(label).alias("label")))
-            for p, label in phrases
-        ]
+        each = [places(w, phrase, label) for phrase, label in phrases]
         base = F.when(F.arrays_overlap(w, last_words), F.concat(*each)).otherwise(empty)
         return F.struct(F.size(w).cast("long").alias("n_words"), base.alias("base"))
 
