@@ -12,6 +12,7 @@ from tessera.llm import bpe_codec as B
 from tessera.llm import exact_dedup as D
 from tessera.llm import licenses as C
 from tessera.llm import line_dedup as L
+from tessera.llm import near_dup as N
 from tessera.llm import packing as P
 from tessera.llm import quality as Q
 from tessera.llm import secrets as S
@@ -87,6 +88,12 @@ def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return T.token_counts(documents(spark, sf), public_tokenizers.path(PACK_TOKENIZER))
 
 
+@register("op5_ngram_jaccard")
+def q_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    out = N.near_duplicates(documents(spark, sf), size=4, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 @register("op6_license_scan")
 def q_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return C.scan_licenses(documents(spark, sf)).drop("spans")

@@ -91,14 +91,11 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
-def content_key(doc_id: str, text: Column) -> Column:
-    """Key of a row that any later scan computes again: id and 128 bits of content.
+def content_keys(doc_id: str | Column, text: Column) -> tuple[Column, Column]:
+    """128 bits of a row's id and text, which any later scan computes again.
 
-    Rows that agree in it have the same id and the same text, so they get the
+    Rows that agree in them have the same id and the same text, so they get the
     same result.
     """
-    return F.struct(
-        F.col(doc_id).alias("id"),
-        F.xxhash64(text, F.lit(1)).alias("h1"),
-        F.xxhash64(text, F.lit(2), F.lit("b")).alias("h2"),
-    )
+    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.xxhash64(c, text), F.xxhash64(text, F.lit("b"), c)

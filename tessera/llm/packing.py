@@ -29,7 +29,8 @@ from tessera.llm.common import drop_stored, stored
 HASHED_DIMS = 256
 CURVE_BITS = 10
 SPREAD = 0.5  # projected means beyond this are put on the border
-MAX_PIECES = 300_000
+MAX_PIECES = 200_000
+SLICE_BYTES = 3 << 20
 
 
 # ------------------------------------------------------------- the curve ----
@@ -126,7 +127,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         signs = _projection(max(encoder.n_ids, end_id + 1))
         small = np.dtype("<u2" if len(signs) <= 1 << 16 else "<u4")
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, SLICE_BYTES):
                 ids, at = encoder.encode(part.column(1), end_id)
                 n = np.diff(at)
                 sums = np.stack([np.diff(np.append(0, np.cumsum(signs[ids, d], dtype=np.int64))[at]) for d in range(3)], 1)
