@@ -1,15 +1,14 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 A task splits a slice of texts into its distinct pieces (each piece then is
-encoded once per slice) and hands Spark one row: the pieces, and for each text
-the numbers of its pieces.  Higher-order functions fold the ranked merges over
-the bytes of each distinct piece, looking ranks up in a literal map, and put
-the ids of each text together.  Decoding looks the piece of each id up in a
-literal array and concatenates.
-
-Bytes are carried as the characters U+0000 to U+00FF, so that a byte array is a
-string of as many characters.  The literal rank map is an array of small maps,
-addressed by hash: a single literal map would be searched from end to end.
+encoded once per slice) and hands Spark one row: the byte array of each piece,
+as ids of single bytes, and for each text the numbers of its pieces.
+Higher-order functions fold the ranked merges over each distinct piece, looking
+pairs up in a literal rank map, and put the ids of each text together.
+Decoding looks the piece of each id up in a literal array and concatenates.
+
+The literal rank map is an array of small maps, addressed by hash: a single
+literal map would be searched from end to end.
 """
 
 from __future__ import annotations
@@ -18,88 +17,92 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bytebpe import load_vocabulary, split_texts, text_slices
 from tessera.llm.common import let
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 17
 NEVER = (1 << 31) - 1
 LONG_PIECE = 256  # bytes; the fold takes quadratic time, so longer pieces are merged with a heap beforehand
-SLICE_BYTES = 8 << 20
-
-
-def _chars(raw: bytes) -> str:
-    return raw.decode("latin-1")
+SLICE_BYTES = 16 << 20
+_SPREAD = 40503  # odd; first * _SPREAD + second spreads the pairs over the buckets
 
 
 @lru_cache(2)
-def _literals(path: str) -> tuple[str, str]:
-    """JSON of the rank map (array of maps) and of the pieces by id."""
+def _literals(path: str) -> tuple[str, str, str]:
+    """JSON of the rank map (pairs, and the ids they merge into, by bucket) and of the pieces by id.
+
+    Ids are ranks.  A pair of pieces merges if their joined bytes are a piece.
+    """
     ids = load_vocabulary(path).ids
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ids.items():
-        text = _chars(piece)
-        h = xxhash.xxh64_intdigest(text.encode(), 42)  # as F.xxhash64 of one string
-        buckets[h % BUCKETS][text] = rank
+        for cut in range(1, len(piece)):
+            first, second = ids.get(piece[:cut]), ids.get(piece[cut:])
+            if first is not None and second is not None:
+                buckets[(first * _SPREAD + second) % BUCKETS][first << 32 | second] = rank
     pieces = [""] * (max(ids.values()) + 1)
     for piece, rank in ids.items():
-        pieces[rank] = _chars(piece)
-    return json.dumps(buckets, separators=(",", ":")), json.dumps(pieces)
+        pieces[rank] = piece.decode("latin-1")  # bytes as the characters U+0000 to U+00FF
+    pairs, merged = [list(b) for b in buckets], [list(b.values()) for b in buckets]
+    return (*(json.dumps(x, separators=(",", ":")) for x in (pairs, merged)), json.dumps(pieces))
 
 
 def rank_map(path: str) -> Column:
-    return F.from_json(F.lit(_literals(path)[0]), "array<map<string,int>>")
+    """Literal array of maps from pair (two ids in one number) to merged id."""
+    pairs, merged, _ = _literals(path)
+    return F.zip_with(
+        F.from_json(F.lit(pairs), "array<array<bigint>>"),
+        F.from_json(F.lit(merged), "array<array<int>>"),
+        F.map_from_arrays,
+    )
 
 
-def _rank(ranks: Column, piece: Column) -> Column:
-    return F.coalesce(ranks[F.pmod(F.xxhash64(piece), F.lit(BUCKETS)).cast("int")][piece], F.lit(NEVER))
+def _merged(ranks: Column, first: Column, second: Column) -> Column:
+    """The id that two neighbours merge into, which is its rank; NEVER if none."""
+    bucket = ((first.cast("long") * _SPREAD + second) % BUCKETS).cast("int")
+    return F.coalesce(ranks[bucket][F.shiftleft(first.cast("long"), 32) + second], F.lit(NEVER))
 
 
-def fold_merges(piece: Column, ranks: Column) -> Column:
-    """Ids of one piece: the lowest-ranked adjacent pair is merged until none is left.
+def fold_merges(parts: Column, ranks: Column) -> Column:
+    """Ids of one piece, given as the ids of its bytes: the lowest-ranked pair is merged until none is left.
 
-    The fold's state is the parts and the rank of each adjacent pair; a merge
-    changes one part and the ranks beside it.
+    The fold's state is the parts ``p`` and what each adjacent pair merges into,
+    ``r``; a merge at place i puts one id for two and looks up the two pairs
+    beside it.
     """
-    parts = F.split(piece, "")
-
-    def pair(p: Column, i: Column) -> Column:
-        return _rank(ranks, F.concat(p[i], p[i + 1]))
 
     def start(p: Column) -> Column:
-        pairs = F.transform(F.slice(p, 1, F.size(p) - 1), lambda a, i: _rank(ranks, F.concat(a, p[i + 1])))
+        pairs = F.transform(F.slice(p, 2, F.size(p)), lambda x, i: _merged(ranks, p[i], x))
         return F.struct(p.alias("p"), pairs.alias("r"))
 
-    def merged(s: Column, at: Column) -> Column:
-        """Merge parts ``at`` and ``at + 1`` (from 1)."""
-        n = F.size(s.p)
-        joined = F.concat(s.p[at - 1], s.p[at])
-        after = F.concat(F.slice(s.p, 1, at - 1), F.array(joined), F.slice(s.p, at + 2, n))
-        none = F.array().cast("array<int>")
-
-        def ranked(p: Column) -> Column:
-            left = F.when(at > 1, F.array(pair(p, at - 2))).otherwise(none)
-            right = F.when(at < F.size(p), F.array(pair(p, at - 1))).otherwise(none)
-            rest = F.concat(F.slice(s.r, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(s.r, at + 2, n))
-            return F.struct(p.alias("p"), rest.alias("r"))
+    def step(s: Column, _: Column) -> Column:
+        def merge(at: Column) -> Column:
+            # r is one shorter than p, as the new parts are
+            parts = F.transform(s.r, lambda r, i: F.when(i < at, s.p[i]).when(i == at, r).otherwise(s.p[i + 1]))
+
+            def ranked(p: Column) -> Column:
+                pairs = F.transform(
+                    F.slice(p, 2, F.size(p)),
+                    lambda x, i: F.when((i == at) | (i == at - 1), _merged(ranks, p[i], x))
+                    .when(i < at, s.r[i])
+                    .otherwise(s.r[i + 1]),
+                )
+                return F.struct(p.alias("p"), pairs.alias("r"))
 
-        return let(after, ranked)
+            return let(parts, ranked)
 
-    def step(s: Column, _: Column) -> Column:
         low = F.array_min(s.r)
-        done = F.coalesce(low, F.lit(NEVER)) == NEVER
-        return F.when(done, s).otherwise(let(F.array_position(s.r, low).cast("int"), lambda at: merged(s, at)))
+        return F.when(F.coalesce(low, F.lit(NEVER)) == NEVER, s).otherwise(
+            let((F.array_position(s.r, low) - 1).cast("int"), merge)
+        )
 
-    def ids(p: Column) -> Column:
-        steps = F.slice(p, 2, F.size(p))  # as many steps as there can be merges
-        return F.aggregate(steps, start(p), step, lambda s: F.transform(s.p, lambda x: _rank(ranks, x)))
-
-    whole = _rank(ranks, piece)  # a piece that is a token is that token
-    return F.when(whole != NEVER, F.array(whole)).otherwise(let(parts, ids))
+    # as many steps as there can be merges
+    return F.aggregate(F.slice(parts, 2, F.size(parts)), start(parts), step, lambda s: s.p)
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,32 +118,39 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path)
+        ids = vocabulary.ids
+        single = np.array([ids[bytes([b])] for b in range(256)], np.int32)
+
+        def known(piece: bytes) -> list[int] | None:
+            if piece in ids:  # a piece that is a token is that token
+                return [ids[piece]]
+            return vocabulary.encode(piece) if len(piece) > LONG_PIECE else None
+
         for batch in batches:
             for part in text_slices(batch, 1, SLICE_BYTES):
                 pieces = split_texts(part.column(1), path)
-                short = [_chars(p) if len(p) <= LONG_PIECE else "" for p in pieces.distinct]
-                long = [vocabulary.encode(p) if len(p) > LONG_PIECE else None for p in pieces.distinct]
-                runs = pa.ListArray.from_arrays(
-                    pa.array(pieces.docs, pa.int32()), pa.array(pieces.index, pa.int32())
-                )
+                whole = [known(p) for p in pieces.distinct]
+                rest = [p if w is None else b"" for p, w in zip(pieces.distinct, whole)]
+                ends = np.append(0, np.cumsum([len(p) for p in rest]))
+                letters = single[np.frombuffer(b"".join(rest), np.uint8)]
+                runs = pa.ListArray.from_arrays(pa.array(pieces.docs, pa.int32()), pa.array(pieces.index, pa.int32()))
+                words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(letters))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part.column(0).to_pylist()], pa.list_(part.column(0).type)),
                         pa.ListArray.from_arrays(pa.array([0, len(runs)], pa.int32()), runs),
-                        pa.array([short], pa.list_(pa.string())),
-                        pa.array([long], pa.list_(pa.list_(pa.int32()))),
+                        pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                        pa.array([whole], pa.list_(pa.list_(pa.int32()))),
                     ],
-                    ["doc_ids", "runs", "short", "long"],
+                    ["doc_ids", "runs", "words", "whole"],
                 )
 
     slices = rows.mapInArrow(
-        split, f"doc_ids array<{kind}>, runs array<array<int>>, short array<string>, long array<array<int>>"
+        split, f"doc_ids array<{kind}>, runs array<array<int>>, words array<array<int>>, whole array<array<int>>"
     )
     coded = let(
         rank_map(path),
-        lambda ranks: F.zip_with(
-            "short", "long", lambda s, known: F.coalesce(known, F.when(s != "", fold_merges(s, ranks)))
-        ),
+        lambda ranks: F.zip_with("words", "whole", lambda w, known: F.coalesce(known, fold_merges(w, ranks))),
     )
     texts = let(
         coded,
@@ -157,6 +167,6 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
 def decode(ids: Column, path: str) -> Column:
     """Bytes of an id array: its pieces, concatenated; no ids give no bytes, null gives null."""
-    pieces = F.from_json(F.lit(_literals(path)[1]), "array<string>")
+    pieces = F.from_json(F.lit(_literals(path)[2]), "array<string>")
     joined = let(pieces, lambda p: F.array_join(F.transform(ids, lambda i: p[i]), ""))
     return F.encode(joined, "ISO-8859-1")
