@@ -77,7 +77,7 @@ class BinaryFuse:
         n = max(len(keys), 2)
         # sizes of the published construction for three places
         segment = 1 << min(18, max(2, int(math.log(n) / math.log(3.33) + 2.25)))
-        slots = int(n * max(1.125, 0.875 + 0.25 * math.log(1e6) / math.log(n))) + 2 * segment
+        slots = int(n * max(1.125, 0.875 + 0.25 * math.log(1e6) / math.log(n)))
         segments = max(1, -(-slots // segment) - 2)
         seed = 0
         while True:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WS_CLASS, let, space_words, text_or_empty
+from tessera.llm.common import WS_CLASS, let, space_words, stored, text_or_empty
 
 #: Most common function words of each language with a word histogram: fixed values.
 COMMON_WORDS = {
@@ -150,6 +150,7 @@ def language_references(docs: DataFrame, rules: QualityRules, text: str = "text"
     sums += [F.sum(F.get("h.words", F.lit(i))).alias(f"w{i}") for i in range(most)]
     per_lang = rows.groupBy("lang").agg(F.count("*").alias("n"), *sums)
     per_lang = per_lang.cube("lang").agg(*(F.sum(c).alias(c) for c in per_lang.columns if c != "lang"))
+    per_lang = stored(per_lang, "languages")  # read several times below
     # the cube's null row is the whole corpus (languages are never null here); a bin that no row has is null
     found = [r.asDict() for r in per_lang.filter("lang is null").collect()]
     n = found[0]["n"] if found else 0
