@@ -1,0 +1,100 @@
+"""Splitter and transducer against the libraries."""
+
+from __future__ import annotations
+
+import base64
+import random
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tessera.llm import bytebpe as B
+from tests.llm.helpers import JSON_BPE, RANKS
+
+TOKENIZER = Tokenizer.from_file(JSON_BPE)
+RANK_IDS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANK_IDS, special_tokens={})
+SIGNS = "ab'sstmdrevl 12 \n\t !?.é中😀ſ　 <|endoftext|>'"
+
+
+def drawn(seed, n=400, most=60):
+    rnd = random.Random(seed)
+    texts = ["".join(rnd.choice(SIGNS) for _ in range(rnd.randrange(most))) for _ in range(n)]
+    wide = ["".join(chr(rnd.randrange(1, 0x2FFF)) for _ in range(rnd.randrange(30))) for _ in range(n)]
+    return texts + wide + ["", "<|endoftext|>", "a<|endoftext|> b<|endoftext|><|endoftext|>", "'" * 50, "x" * 3000, "a's'll's", "   "]
+
+
+def by_pieces(texts, path, begins, specials=True):
+    vocabulary = B.load_vocabulary(path)
+    named = {k.encode(): v for k, v in vocabulary.specials.items()} if specials else {}
+    pieces = B.split_texts(pa.array(texts), path, tuple(vocabulary.specials) if specials else (), begins)
+    ids = [[named[p]] if p in named else vocabulary.encode(p) for p in pieces.distinct]
+    return [
+        [x for k in pieces.index[a:b] for x in ids[k]] for a, b in zip(pieces.docs[:-1], pieces.docs[1:])
+    ], pieces
+
+
+@pytest.mark.parametrize("begins", [B.begins_by_rule, B.begins_by_transducer])
+def test_ids_of_pieces_are_the_librarys(begins):
+    texts = drawn(1)
+    found, _ = by_pieces(texts, JSON_BPE, begins)
+    assert found == [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_rank_file_ids_are_the_librarys():
+    texts = drawn(2)
+    found, _ = by_pieces(texts, RANKS, B.begins_by_rule)
+    assert found == [TIKTOKEN.encode_ordinary(t) for t in texts]
+
+
+@given(st.text(max_size=300))
+@settings(max_examples=150, deadline=None)
+def test_counts_by_transducer(text):
+    machine = B.transducer(JSON_BPE)
+    pieces = B.split_texts(pa.array([text]), JSON_BPE, (), B.begins_by_transducer)
+    total = sum(machine.count(pieces.distinct[k]) for k in pieces.index)
+    ids = [x for k in pieces.index for x in machine.vocabulary.encode(pieces.distinct[k])]
+    assert total == len(ids)
+    assert b"".join(pieces.distinct[k] for k in pieces.index) == text.encode()
+
+
+def test_both_splitters_agree_over_many_chunks():
+    text = "".join(drawn(3, 300))
+    a, b = (B.split_texts(pa.array([text, text[5:]]), JSON_BPE, (), f) for f in (B.begins_by_rule, B.begins_by_transducer))
+    assert a.index.tolist() == b.index.tolist() and a.docs.tolist() == b.docs.tolist()
+
+
+def test_which_tokens_may_follow():
+    machine, rnd = B.transducer(JSON_BPE), random.Random(4)
+    ids = list(machine.vocabulary.ids.values())
+    for _ in range(3000):
+        a, b = rnd.choice(ids), rnd.choice(ids)
+        joined = machine.bytes_of[a] + machine.bytes_of[b]
+        assert machine._follows(a, b) == (machine.vocabulary.encode(joined) == [a, b])
+
+
+def test_a_full_cache_starts_anew():
+    machine = B.BpeTransducer(B.load_vocabulary(JSON_BPE))
+    machine.MAX_STATES = 50
+    for piece in (b" thequickbrown", b"foxjumps", b" overthelazydog") * 4:
+        assert machine.count(piece) == len(machine.vocabulary.encode(piece))
+
+
+def test_long_pieces_merge_like_short_ones():
+    vocabulary = B.load_vocabulary(JSON_BPE)
+    for piece in (b"ab" * 500, b"thequick" * 200, bytes(range(200)) * 3):
+        parts = TOKENIZER.model.tokenize("".join({v: k for k, v in B._byte_letters().items()}[b] for b in piece))
+        assert vocabulary.encode(piece) == [t.id for t in parts]
+
+
+def test_null_texts_and_slices():
+    pieces = B.split_texts(pa.array([None, "a b", "", None, "c"]), JSON_BPE)
+    assert pieces.docs.tolist() == [0, 0, 2, 2, 2, 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, "b" * 30, "", "c"])], ["t"])
+    parts = [p.column(0).to_pylist() for p in B.text_slices(batch, 0, 12)]
+    assert [t for p in parts for t in p] == batch.column(0).to_pylist() and len(parts) == 3

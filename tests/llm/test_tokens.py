@@ -1,0 +1,118 @@
+"""Token counts, codec and packing against the libraries."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm.bpe_codec import decode, encode
+from tessera.llm.packing import CURVE_BITS, hilbert_key, pack, tail_cuts
+from tessera.llm.token_counts import token_counts
+from tests.conftest import plan_text
+from tests.llm.helpers import JSON_BPE, RANKS, awkward, documents, empty
+from tests.llm.test_bytebpe import TIKTOKEN, TOKENIZER, drawn
+
+
+def library_ids(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
+
+
+def key(x):
+    return tuple((v is not None, v) for v in x)
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    return documents(spark, drawn(8, 150)).unionByName(awkward(spark)).cache()
+
+
+def test_counts(mixed):
+    rows = mixed.select("doc_id", "text").collect()
+    expected = [
+        (r.doc_id, len((r.text or "").encode()), len(library_ids(r.text)), len(library_ids(r.text)) > 100) for r in rows
+    ]
+    found = [tuple(r) for r in token_counts(mixed, JSON_BPE, limit=100).collect()]
+    assert sorted(found, key=key) == sorted(expected, key=key)
+
+
+def test_codec_ids_and_bytes(mixed):
+    rows = mixed.select("doc_id", "text").collect()
+    expected = [(r.doc_id, TIKTOKEN.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in rows]
+    out = encode(mixed, RANKS).select("doc_id", "ids", decode(F.col("ids"), RANKS).alias("raw"))
+    found = [(r.doc_id, r.ids, bytes(r.raw)) for r in out.collect()]
+    by_text = lambda rows: sorted((key((i, t)), ids) for i, ids, t in rows)
+    assert by_text(found) == by_text(expected)
+
+
+def test_codec_folds_in_spark(spark):
+    plan = plan_text(encode(documents(spark, ["some text"]), RANKS))
+    assert "aggregate(" in plan and plan.count("MapInArrow") == 1  # one split, everything else higher-order functions
+
+
+def pieces_of(df, length):
+    docs, sequences = {}, {}
+    for r in df.collect():
+        docs.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        sequences.setdefault(r.sequence_id, []).append(r)
+    fill = []
+    for rows in sequences.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert r.offset == at and r.n == len(r.ids) // 4 > 0
+            at += r.n
+        fill.append(at)
+    return docs, sequences, sorted(fill)
+
+
+@pytest.mark.parametrize("length", [16, 2048])
+def test_packing_holds_every_id_once(mixed, length):
+    df = pack(mixed, JSON_BPE, length=length).cache()
+    _, _, fill = pieces_of(df, length)
+    total = sum(len(library_ids(r.text)) + 1 for r in mixed.collect())
+    assert sum(fill) == total
+    short = [n for n in fill if n < length]
+    assert all(n == length or n & (n - 1) == 0 for n in fill) and len(short) == len(set(short))
+    expected = sorted(library_ids(r.text) + [1] for r in mixed.select("doc_id", "text").distinct().collect())
+    rows = [r for r in df.collect()]
+    whole = {}
+    for r in rows:
+        whole.setdefault((r.doc_id, r.doc_tokens, r.start), np.frombuffer(r.ids, "<u4").tolist())
+    joined = {}
+    for (d, n, start), ids in sorted(whole.items(), key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[0][1], x[0][2])):
+        joined.setdefault((d, n), [None] * n)[start : start + len(ids)] = ids
+    assert all(ids in expected for ids in joined.values())
+
+
+def test_tail_is_cut_into_powers_of_two():
+    assert tail_cuts(4096, 2048) == []
+    assert tail_cuts(0, 2048) == []
+    assert tail_cuts(2048 + 1300, 2048) == [2048, 3072, 3328, 3344]
+
+
+def test_hilbert_neighbours_touch():
+    side = 8
+    grid = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
+    keys = hilbert_key(grid, 3)
+    assert sorted(keys.tolist()) == list(range(side**3))
+    walk = grid[np.argsort(keys)]
+    assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+    assert hilbert_key(np.array([[0, 0, 0]]), CURVE_BITS).tolist() == [0]
+
+
+def test_like_documents_are_neighbours(spark):
+    texts = [f"alpha beta gamma delta {i % 2}" if i % 2 else f"uno dos tres cuatro {i % 2}" for i in range(40)]
+    df = pack(documents(spark, texts), JSON_BPE, length=16)
+    order = [r.doc_id % 2 for r in df.orderBy("sequence_id", "offset").collect()]
+    assert sum(a != b for a, b in zip(order, order[1:])) == 1
+
+
+def test_empty_tables(spark):
+    assert token_counts(empty(spark), JSON_BPE).collect() == []
+    assert encode(empty(spark), RANKS).collect() == []
+    assert pack(empty(spark), JSON_BPE).collect() == []
+
+
+def test_counts_need_no_shuffle(spark):
+    plan = plan_text(token_counts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), JSON_BPE))
+    assert "Exchange" not in plan and "MapInArrow" in plan
