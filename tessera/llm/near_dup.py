@@ -13,11 +13,12 @@ found exactly, without a pair of every two documents that share a passage:
   (smallest node of a token) with which it shares most tokens; those that link
   form the groups, so that thousands of near copies are one group after one
   comparison each.
-* *Matrix.*  The union of each group's tokens is joined with the tokens of the
-  nodes of other groups.  Only (node, group) pairs that share a token are
-  opened, block by block: the node's overlap with the union of a block's
-  shingles bounds its overlap with each member, and only members of blocks that
-  reach the bound are compared.
+* *Matrix.*  Over the nodes that share tokens across groups, the union of each
+  group's shingles is stored, by shingle, and joined with the rarest shingles of
+  the nodes of other groups.  Only (node, group) pairs that meet are opened,
+  block by block: the node's overlap with the union of a block's shingles bounds
+  its overlap with each member, and only members of blocks that reach the bound
+  are compared.
 
 Links then join groups into components.  Groups are opened in blocks of bounded
 size; hot tokens and groups are spread by joins that AQE can split.  Hashes of
@@ -341,35 +342,62 @@ def components(edges: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- matrix ----
 
 
+def _shingles_of(sets: DataFrame) -> DataFrame:
+    """(key, grp, n, token): every shingle of the given nodes (key, grp, n, hashes)."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                tokens = np.frombuffer(batch.column("hashes")[row].as_py(), np.int64)
+                at = pa.array(np.full(len(tokens), row))
+                rest = [batch.column(c).take(at) for c in ("key", "grp", "n")]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(tokens)], ["key", "grp", "n", "token"])
+
+    return sets.select("key", "grp", "n", "hashes").mapInArrow(each, "key long, grp long, n long, token long")
+
+
 def opened_links(tokens: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of nodes of different groups that link.
 
-    ``groups``: (key, root) of the nodes that are not their own group.  Rows of
-    the matrix (token, group) meet the tokens of nodes of other groups; of two
-    groups, the nodes of the smaller one are the queries.
+    ``groups``: (key, root) of the nodes that are not their own group.  The
+    matrix has a row (shingle, group) for each shingle that several groups
+    hold, over the nodes that share a token with another group.  A node that
+    links has at least ceil(percent * n / 100) shingles in common with a member,
+    so all but one of that many can be left out, those in most groups first:
+    a passage that thousands of groups share is not among the rest.  (node,
+    group) pairs that meet there are opened; of two groups, the nodes of the
+    smaller one are the queries.
     """
     sized = stored(
         tokens.join(groups, "key", "left").select("token", "key", F.coalesce("root", "key").alias("grp")), "grouped"
     )
     members = sized.select("key", "grp").distinct()
     sizes = members.groupBy("grp").agg(F.count("*").alias("size"))
-    matrix = sized.select("token", "grp").distinct()
     by_token = Window.partitionBy("token")
-    matrix = (
-        matrix.withColumn("low", F.min("grp").over(by_token))
-        .withColumn("high", F.max("grp").over(by_token))
-        .filter("low < high")
-        .join(sizes, "grp")
-        .select("token", F.col("grp").alias("to"), F.col("size").alias("to_size"))
+    mixed = sized.withColumn("low", F.min("grp").over(by_token)).withColumn("high", F.max("grp").over(by_token))
+    mixed = mixed.filter("low < high").select("key", "grp").distinct()
+    shingles = stored(_shingles_of(mixed.join(sets, "key")), "shingles")
+    matrix = shingles.select("token", "grp").distinct().withColumn("crowd", F.count("*").over(by_token))
+    held = shingles.join(matrix.filter("crowd > 1"), ["token", "grp"])
+    crowded_first = Window.partitionBy("key").orderBy(F.desc("crowd"), "token")
+    least = F.ceil(F.col("n") * percent / 100)
+    rare = stored(
+        held.withColumn("place", F.row_number().over(crowded_first)).filter(F.col("place") >= least).select("token", "key", "grp"),
+        "rare",
+    )
+    matrix = rare.select("token", "grp").distinct().join(sizes, "grp").select(
+        "token", F.col("grp").alias("to"), F.col("size").alias("to_size")
     )
     queries = (
-        sized.join(sizes, "grp")
+        rare.join(sizes, "grp")
         .join(matrix, "token")
         .filter((F.col("size") < F.col("to_size")) | ((F.col("size") == F.col("to_size")) & (F.col("grp") < F.col("to"))))
         .select("key", "to")
         .distinct()
     )
     queries = stored(queries, "queries")
+    drop_stored(shingles)
+    drop_stored(rare)
     if queries.isEmpty():
         drop_stored(sized)
         return queries.select(F.col("key").alias("a"), F.col("to").alias("b"))
