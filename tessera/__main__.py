@@ -64,6 +64,8 @@ def run_clusters(args: argparse.Namespace) -> None:
             print(f"Iteration: {it}\n  * current distance: {rows[0][7]}\n  * desired distance: {args.eta}")
             for _, _, ox, oy, x, y, moved, _ in rows:
                 print(f"   {str((ox, oy)):>20s} ==> {str((x, y)):>20s}    distance: {moved:8.0f}")
+        if not result.converged:
+            print(f"Stopped after {result.iterations} iterations without converging.")
         for r in _report_lines(described):
             print(r)
     finally:

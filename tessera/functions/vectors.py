@@ -8,6 +8,7 @@ driver-to-JVM calls per k-means iteration.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -17,9 +18,9 @@ from tessera.functions.text import as_col
 
 Point = tuple[int, int]
 
-# Centroids are inlined into every plan as literals; beyond this many the
-# generated expression grows too large to compile well.
-MAX_INLINE_CENTERS = 1024
+# Up to this many centroids are written out one by one, which compiles into
+# the scan; more are one literal array that is folded over for each row.
+WRITTEN_CENTERS = 256
 
 
 def point_distance(x: str | Column, y: str | Column, cx, cy) -> Column:
@@ -38,19 +39,26 @@ def _distance_sql(x: str, y: str, cx: int, cy: int) -> str:
     return f"(CAST({dx} AS DOUBLE) * {dx} + CAST({dy} AS DOUBLE) * {dy})"
 
 
+def _nearest_of_array(centers: Sequence[Point], x: Column, y: Column) -> Column:
+    """The smallest (distance, index) over a literal array of centroids, however many there are."""
+    array = F.from_json(F.lit(json.dumps([[int(cx), int(cy)] for cx, cy in centers])), "array<array<bigint>>")
+    each = F.transform(array, lambda c, i: F.struct(point_distance(x, y, c[0], c[1]).alias("d"), i.alias("i")))
+    return F.array_min(each)
+
+
 def nearest_center(centers: Sequence[Point], x: str | Column = "x", y: str | Column = "y") -> Column:
     """Index of the closest centroid; ties go to the lowest index.
 
-    The centroids are literals, so this is a ``least`` over K
-    (distance, index) structs: no join, whole-stage codegen, constant size
-    per row.
+    The centroids are literals, so this is a minimum over K (distance,
+    index) structs: no join, constant size per row.  A few are written out
+    (whole-stage codegen); many are folded over as one literal array.
     """
     if not centers:
         raise ValueError("no centroids")
-    if len(centers) > MAX_INLINE_CENTERS:
-        raise ValueError(f"at most {MAX_INLINE_CENTERS} centroids are supported, got {len(centers)}")
     if len(centers) == 1:
         return F.lit(0)
+    if len(centers) > WRITTEN_CENTERS:
+        return _nearest_of_array(centers, as_col(x), as_col(y)).getField("i")
     if isinstance(x, str) and isinstance(y, str):
         cands = ", ".join(
             f"named_struct('d', {_distance_sql(x, y, cx, cy)}, 'i', {i})"
@@ -68,6 +76,8 @@ def nearest_distance(centers: Sequence[Point], x: str | Column = "x", y: str | C
     """Squared distance to the closest centroid."""
     if not centers:
         raise ValueError("no centroids")
+    if len(centers) > WRITTEN_CENTERS:
+        return _nearest_of_array(centers, as_col(x), as_col(y)).getField("d")
     if isinstance(x, str) and isinstance(y, str):
         parts = [_distance_sql(x, y, cx, cy) for cx, cy in centers]
         return F.expr(parts[0] if len(parts) == 1 else f"least({', '.join(parts)})")

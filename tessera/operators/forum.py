@@ -51,24 +51,29 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
 
 
 def grouped_postings(postings: DataFrame) -> DataFrame:
-    """Question id -> number of (question, answer) pairs: ``id, n_pairs``.
-
-    Computed without forming the pairs: the pair count of an id is
-    (questions with that id) x (answers pointing at it), so each side is
-    counted with map-side combine and the join sees unique keys - a
-    question holding a third of all answers costs one row per task.  The
-    pairs themselves stay flat (:func:`question_answer_pairs`); they are
-    never gathered into one row per question.
+    """The (question, answer) pairs of each question id, flat, with their number ``n_pairs``.
+
+    One row per pair: the columns of :func:`question_answer_pairs` and
+    ``n_pairs``, the size of the pair's group.  A nested list per id would
+    gather a hot question into one row.  The size is (questions with the id) x
+    (answers pointing at it), each counted with map-side combine and attached
+    to the questions before the pairs are formed; their join then reads both
+    sides from exchanges of its own, so AQE can split a hot id.
     """
-    nq = questions(postings).groupBy("id").agg(F.count(F.lit(1)).alias("_nq"))
-    na = (
-        answers(postings)
-        .groupBy(F.col("parent_id").alias("_parent"))
-        .agg(F.count(F.lit(1)).alias("_na"))
-    )
-    return nq.join(na, F.col("id") == F.col("_parent")).select(
-        "id", (F.col("_nq") * F.col("_na")).alias("n_pairs")
+    q = questions(postings).select("id", "accepted_answer", "score", "tag")
+    a = answers(postings)
+    nq = q.groupBy("id").agg(F.count(F.lit(1)).alias("_nq"))
+    na = a.groupBy(F.col("parent_id").alias("id")).agg(F.count(F.lit(1)).alias("_na"))
+    sizes = nq.join(na, "id").select("id", (F.col("_nq") * F.col("_na")).alias("n_pairs"))
+    sized = q.join(sizes, "id").repartition("id", "score")  # not the join's own distribution
+    answer = a.select(
+        F.col("parent_id").alias("_parent"),
+        F.col("id").alias("answer_id"),
+        F.col("accepted_answer").alias("answer_accepted_answer"),
+        F.col("score").alias("answer_score"),
+        F.col("tag").alias("answer_tag"),
     )
+    return sized.join(answer, sized["id"] == answer["_parent"]).drop("_parent")
 
 
 def high_score(max_score: Column) -> Column:

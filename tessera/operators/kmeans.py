@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import Point, nearest_center, point_distance
-from tessera.session import materialize, release
+from tessera.session import check_state, input_fingerprint, materialize, release
 
 # Fixed default parameters: convergence threshold and iteration cap.
 DEFAULT_ETA = 20.0
@@ -119,6 +119,7 @@ class KMeansResult:
     shift: float
     trace: list[tuple] = field(default_factory=list)
     inputs: object = None
+    converged: bool = False  # False: stopped by the iteration limit
 
     TRACE_SCHEMA = (
         "iteration int, cluster int, old_x long, old_y long, x long, y long, moved double, "
@@ -195,7 +196,10 @@ def kmeans(
     ``state_path`` (a folder on shared storage) records every finished
     iteration; a run given the same folder - e.g. after the driver was
     lost - resumes after the last recorded iteration instead of starting
-    over.  Only the <= K rows of each iteration are written.
+    over.  Only the <= K rows of each iteration are written.  A folder that
+    belongs to other input, first centroids or threshold is refused; the
+    iteration limit may change.  ``converged`` of the result tells a run that
+    reached the threshold from one that the limit stopped.
     """
     if max_iterations < 1:
         raise ValueError("max_iterations must be at least 1")
@@ -203,6 +207,9 @@ def kmeans(
     means = [(int(x), int(y)) for x, y in centers]
     trace: list[tuple] = []
     iteration = 1
+    if state_path:
+        about = {"centers": means, "eta": eta, "weighted": weighted, "input": input_fingerprint(vectors)}
+        check_state(spark, f"{state_path.rstrip('/')}.about", about)
     state = _load_state(spark, state_path) if state_path else None
     if state:
         last = max(r[0] for r in state)
@@ -213,7 +220,7 @@ def kmeans(
         new = [(r[4], r[5]) for r in rows]
         shift = rows[0][7]
         if converged(shift, eta) or last >= max_iterations:
-            return KMeansResult(new, last, shift, trace)
+            return KMeansResult(new, last, shift, trace, converged=converged(shift, eta))
         means, iteration = new, last + 1
     owned = not (weighted and "n" in vectors.columns)
     if owned:
@@ -233,7 +240,7 @@ def kmeans(
             if state_path:
                 _save_iteration(spark, state_path, rows)
             if converged(shift, eta) or iteration >= max_iterations:
-                return KMeansResult(new, iteration, shift, trace)
+                return KMeansResult(new, iteration, shift, trace, converged=converged(shift, eta))
             means = new
             iteration += 1
     finally:

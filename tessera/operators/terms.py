@@ -32,8 +32,9 @@ from tessera.functions.text import (
 # Longest term list inlined into the plan as literals; longer lists, and
 # term DataFrames, use a token equi-join instead.
 INLINE_TERMS_LIMIT = 512
-# A term table within both limits is broadcast to the token join; a larger
-# one is shuffled on the term (AQE splits skewed tokens).
+# A term table within both limits is broadcast and met in the scan.  A larger
+# one is shuffled on the term; rankings count the tokens first, so a frequent
+# token is one row per task by then.
 BROADCAST_TERMS_LIMIT = 1_000_000
 BROADCAST_TERMS_BYTES = 64 * 1024 * 1024
 
@@ -49,10 +50,8 @@ def term_frame(spark: SparkSession, terms: TermsArg) -> DataFrame:
     if isinstance(terms, DataFrame):
         if "position" in terms.columns:
             return terms.select(F.col("position").cast("long"), F.col("term"))
-        # positions only need to be unique and ordered, not contiguous
-        return terms.select(
-            F.monotonically_increasing_id().alias("position"), F.col("term")
-        )
+        # without a given order, equal counts are ordered by the term itself
+        return terms.select(F.lit(0).cast("long").alias("position"), F.col("term"))
     return spark.createDataFrame(
         [(i, t) for i, t in enumerate(terms)], "position int, term string"
     )
@@ -121,18 +120,31 @@ def term_hits(
         return exploded.select(key, "term", pos.alias("position"), *keep)
 
     tf = term_frame(articles.sparkSession, terms)
-    widths = sorted(
-        r[0]
-        for r in tf.select(F.size(tokens("term")).alias("w")).distinct().collect()
-    )
+    right = _broadcast_checked(tf)
+    return _grams(articles, tf, text, carried).join(right, "term").select(key, "term", "position", *keep)
+
+
+def _grams(articles: DataFrame, tf: DataFrame, text: str, carried: Sequence[str] = ()) -> DataFrame:
+    """Each distinct run of words, as long as some term of the table, of each article."""
+    widths = sorted(r[0] for r in tf.select(F.size(tokens("term")).alias("w")).distinct().collect())
     toks = tokens(text)
-    grams = [shingles(toks, w) for w in widths]
+    grams = [shingles(toks, w) for w in widths] or [F.array().cast("array<string>")]
     all_grams = grams[0] if len(grams) == 1 else F.concat(*grams)
-    distinct_grams = articles.select(
-        *carried, F.explode(F.array_distinct(all_grams)).alias("term")
-    )
-    right = _broadcast_checked(tf)
-    return distinct_grams.join(right, "term").select(key, "term", "position", *keep)
+    return articles.select(*carried, F.explode(F.array_distinct(all_grams)).alias("term"))
+
+
+def _table_counts(articles: DataFrame, tf: DataFrame, text: str) -> DataFrame:
+    """Articles per word run that the term table lists: ``term, n``.
+
+    Counted before the table is joined: what enters that join is at most one
+    row per word run and task, so no token is too frequent for one task.  A
+    table small enough to broadcast screens the runs in the scan.
+    """
+    grams, listed = _grams(articles, tf, text), tf.select("term").distinct()
+    screened = _broadcast_checked(listed)
+    if screened is not listed:
+        grams = grams.join(screened, "term", "left_semi")
+    return grams.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def term_doc_count(articles: DataFrame, term: str, text: str = "text") -> DataFrame:
@@ -187,15 +199,10 @@ def rank_terms_scan(
         )
         return found.select(F.inline(rows)).orderBy(F.desc("n"), "position")
     tf = term_frame(articles.sparkSession, terms)
-    counts = (
-        term_hits(articles, tf, key, text)
-        .groupBy("term", "position")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    joined = tf.join(counts, ["term", "position"], "left")
+    joined = tf.join(_table_counts(articles, tf, text), "term", "left")
     return joined.select(
         "term", "position", F.coalesce("n", F.lit(0)).alias("n")
-    ).orderBy(F.desc("n"), "position")
+    ).orderBy(F.desc("n"), "position", "term")
 
 
 def inverted_index(
@@ -209,9 +216,10 @@ def inverted_index(
     """Flat inverted index: one row per (term entry, article) ``term, position, key``.
 
     Terms mentioned nowhere have no rows.  ``with_text`` carries the article
-    text along (memory heavy; off by default).  ``by_size`` adds the entry
-    size ``n`` and orders entries by size descending, as the reference's
-    index is ordered; this costs a second pass and a global sort.
+    text along (memory heavy; off by default).  ``by_size`` adds the
+    entry size ``n``, by which the reference orders its entries; the postings
+    themselves are not sorted (order the result by ``n`` and ``position`` if
+    that is wanted).
     The nested one-row-per-term form is deliberately not offered: a
     frequent term would collect most of the corpus into a single row.
     """
@@ -220,16 +228,15 @@ def inverted_index(
     if not by_size:
         return out
     # One shuffle boundary, hashed on (term, key) so a frequent term is
-    # spread over many tasks: the entry sizes, the range sort's sampling
-    # and the sort itself all read its output (one reused exchange)
-    # instead of re-scanning and re-splitting the text.
+    # spread over many tasks: the entry sizes and the postings read its output
+    # (one reused exchange) instead of re-scanning and re-splitting the text.
     staged = out.repartition("term", key)
     # count a column of every row (never null) so both branches keep the same
     # columns below the exchange and Spark reuses it
     sizes = staged.groupBy("term").agg(F.count("position").alias("n"))
     if _is_inline(terms):
         sizes = F.broadcast(sizes)  # at most one row per listed term
-    return staged.join(sizes, "term").orderBy(F.desc("n"), "position", key)
+    return staged.join(sizes, "term")
 
 
 def rank_terms_index(index: DataFrame) -> DataFrame:
@@ -237,7 +244,7 @@ def rank_terms_index(index: DataFrame) -> DataFrame:
     return (
         index.groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("_first"))
-        .orderBy(F.desc("n"), "_first")
+        .orderBy(F.desc("n"), "_first", "term")
         .select("term", "n")
     )
 
@@ -277,15 +284,14 @@ def rank_terms_count(
             .orderBy(F.desc("n"), "_first")
             .select("term", "n")
         )
-    hits = term_hits(articles, terms, key, text)
-    ranked = rank_terms_index(hits)
-    if not include_zero:
-        return ranked
     tf = term_frame(articles.sparkSession, terms)
-    listed = tf.groupBy("term").agg(F.min("position").alias("_first"))
+    listed = tf.groupBy("term").agg(
+        F.count(F.lit(1)).alias("_times"), F.min("position").alias("_first")
+    )
+    counts = _table_counts(articles, tf, text)
     return (
-        listed.join(ranked, "term", "left")
-        .select("term", F.coalesce("n", F.lit(0)).alias("n"), "_first")
-        .orderBy(F.desc("n"), "_first")
+        listed.join(counts, "term", "left" if include_zero else "inner")
+        .select("term", (F.coalesce("n", F.lit(0)) * F.col("_times")).alias("n"), "_first")
+        .orderBy(F.desc("n"), "_first", "term")
         .select("term", "n")
     )

@@ -8,9 +8,11 @@ aggregation, unrolled steps) so that it checks the Spark plan independently.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.functions.survey import (
     age_band,
@@ -29,9 +31,11 @@ from tessera.operators import sampling as P
 from tessera.operators import survey as U
 from tessera.operators import terms as T
 from tessera.plans import pipelines as PL
+from tessera.session import delete_tree, release, shared_dir
 from tessera.sources import tables as S
-from tessera.sources.articles import parse_articles
-from tessera.sources.postings import parse_postings
+from tessera.sources.articles import parse_articles, read_articles
+from tessera.sources.postings import parse_postings, read_postings
+from tessera.sources.survey import read_survey
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -446,7 +450,7 @@ def q_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return Q.question_answer_pairs(_postings(spark, sf))
 
 
-@register("grouped_postings", f"SELECT id, count(*) AS n_pairs FROM ({PAIRS_SQL}) p GROUP BY id")
+@register("grouped_postings", f"SELECT p.*, count(*) OVER (PARTITION BY id) AS n_pairs FROM ({PAIRS_SQL}) p")
 def q_grouped_postings(spark: SparkSession, sf: str) -> DataFrame:
     return Q.grouped_postings(_postings(spark, sf))
 
@@ -611,12 +615,20 @@ WEIGHTED_CLUSTER_SQL = (
 )
 
 
-def _results(spark: SparkSession, sf: str) -> DataFrame:
-    described, _ = PL.pipeline_clusters(
+def _described(spark: SparkSession, sf: str, **options: str) -> DataFrame:
+    """Cluster descriptions (one row per centroid at most), with the pipeline's stored table released."""
+    described, result = PL.pipeline_clusters(
         _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH, sample_from="vectors",
+        sample_hash=HASH, **options,
     )
-    return described
+    try:
+        return spark.createDataFrame(described.collect(), described.schema)
+    finally:
+        release(result.inputs)
+
+
+def _results(spark: SparkSession, sf: str) -> DataFrame:
+    return _described(spark, sf, sample_from="vectors")
 
 
 @register("cluster_results", CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results")
@@ -689,11 +701,7 @@ def q_pipeline_terms(spark: SparkSession, sf: str) -> DataFrame:
     "pipeline_clusters", WEIGHTED_CLUSTER_SQL + "SELECT cluster, label, percent, size, median_score FROM results"
 )
 def q_pipeline_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    described, _ = PL.pipeline_clusters(
-        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        sample_hash=HASH, sample_from="weighted",
-    )
-    return described
+    return _described(spark, sf, sample_from="weighted")
 
 
 @register("pipeline_survey", GROUPED_SQL)
@@ -756,11 +764,7 @@ medians AS (""",
     + "SELECT cluster, label, percent, size, median_score FROM results",
 )
 def q_cluster_results_mode(spark: SparkSession, sf: str) -> DataFrame:
-    described, _ = PL.pipeline_clusters(
-        _postings(spark, sf), S.STANDIN_TAGS, LANG_SPREAD, KERNELS, ETA, MAX_ITERATIONS, SEED,
-        label_rule="mode", sample_hash=HASH, sample_from="vectors",
-    )
-    return described
+    return _described(spark, sf, label_rule="mode", sample_from="vectors")
 
 
 def _wide_sql() -> str:
@@ -788,3 +792,170 @@ def _wide_sql() -> str:
 @register("pipeline_survey_wide", _wide_sql())
 def q_pipeline_survey_wide(spark: SparkSession, sf: str) -> DataFrame:
     return PL.pipeline_survey(S.wide_survey_table(spark, sf), via_decimal=True)
+
+
+# -------------------------------------------------- defaults, quirks, files ----
+
+
+MANY_CENTERS = [(i % 5 * LANG_SPREAD, i // 5 % 60) for i in range(1500)]
+
+
+@register(
+    "nearest_center_many",
+    f"""
+SELECT id, CAST(min({{'d': (x - cx) * (x - cx) + (y - cy) * (y - cy), 'i': i}}).i AS INTEGER) AS cluster
+FROM ({VECTORS_SQL}) v,
+     (SELECT i, i % 5 * {LANG_SPREAD} AS cx, i // 5 % 60 AS cy FROM range({len(MANY_CENTERS)}) r(i)) c
+GROUP BY id
+""",
+)
+def q_nearest_center_many(spark: SparkSession, sf: str) -> DataFrame:
+    return _vectors(spark, sf).select("id", nearest_center(MANY_CENTERS).cast("int").alias("cluster"))
+
+
+def _first_words(spark: SparkSession, sf: str, n: int) -> DataFrame:
+    """A term table: the first ``n`` words of each document; many are listed several times."""
+    words = F.slice(F.split("text", " ", -1), 1, n)
+    return S.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("position"), F.array_join(words, " ").alias("term")
+    ).where("term <> ''")
+
+
+def _first_words_sql(n: int) -> str:
+    words = f"array_to_string(string_split(text, ' ')[1:{n}], ' ')"
+    return f"SELECT doc_id AS position, {words} AS term FROM documents WHERE {words} <> ''"
+
+
+@register(
+    "rank_terms_scan_table",
+    f"""
+SELECT t.term, t.position, count(a.title) AS n
+FROM ({_first_words_sql(1)}) t LEFT JOIN ({ARTICLES_SQL}) a ON {MENTIONS_SQL} GROUP BY t.term, t.position
+""",
+)
+def q_rank_terms_scan_table(spark: SparkSession, sf: str) -> DataFrame:
+    return T.rank_terms_scan(S.articles(spark, sf), _first_words(spark, sf, 1))
+
+
+@register(
+    "rank_terms_count_table",
+    f"SELECT t.term, count(*) AS n FROM ({_first_words_sql(2)}) t JOIN ({ARTICLES_SQL}) a ON {MENTIONS_SQL} GROUP BY t.term",
+)
+def q_rank_terms_count_table(spark: SparkSession, sf: str) -> DataFrame:
+    return T.rank_terms_count(S.articles(spark, sf), _first_words(spark, sf, 2))
+
+
+QUIRK_TAGS = S.STANDIN_TAGS[:2] + S.STANDIN_TAGS[3:]  # one priority is an unknown tag
+
+
+@register(
+    "posting_vectors_quirks",
+    f"""
+WITH best AS (
+  SELECT l_orderkey AS id, max(CAST(l_quantity AS INTEGER) - 25) AS m FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey AS id,
+       CAST(CASE o_orderpriority {' '.join(f"WHEN {_sql_str(t)} THEN {i}" for i, t in enumerate(QUIRK_TAGS))}
+            ELSE 0 END AS BIGINT) * {LANG_SPREAD} AS x,
+       CAST(greatest(0, m) AS BIGINT) AS y
+FROM orders JOIN best ON o_orderkey = id
+""",
+)
+def q_posting_vectors_quirks(spark: SparkSession, sf: str) -> DataFrame:
+    """Negative scores, an unknown tag, every question twice, an orphan of every answer."""
+    p = _postings(spark, sf)
+    question, answer = p.where("posting_type = 1"), p.where("posting_type = 2")
+    low = answer.withColumn("score", F.col("score") - 25)
+    orphans = low.withColumn("parent_id", -F.col("parent_id") - 1)
+    quirky = question.unionByName(question.withColumn("score", F.lit(1))).unionByName(low).unionByName(orphans)
+    return Q.posting_vectors(Q.scored_postings(quirky), QUIRK_TAGS, LANG_SPREAD)
+
+
+REPEATED_TERMS = [S.STANDIN_TERMS[0], "zzz not there", *S.STANDIN_TERMS[:3], S.STANDIN_TERMS[0]]
+
+
+@register(
+    "rank_terms_scan_repeated",
+    f"""
+SELECT t.term, t.position, count(a.title) AS n
+FROM (SELECT * FROM (VALUES {_values(list(enumerate(REPEATED_TERMS)))}) AS v(position, term)) t
+LEFT JOIN ({ARTICLES_SQL}) a ON {MENTIONS_SQL} GROUP BY t.term, t.position
+""",
+)
+def q_rank_terms_scan_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    return T.rank_terms_scan(S.articles(spark, sf), REPEATED_TERMS)
+
+
+# the default sampler hashes with xxhash64, which SQL elsewhere does not have: what is
+# checked is its contract, at most k members of each group, all of them input points
+@register(
+    "sample_per_group_default",
+    f"""
+SELECT x, CAST(least(count(*), {KERNELS}) AS BIGINT) AS n, CAST(0 AS BIGINT) AS strangers
+FROM ({VECTORS_SQL}) v GROUP BY x
+""",
+)
+def q_sample_per_group_default(spark: SparkSession, sf: str) -> DataFrame:
+    v = _vectors(spark, sf)
+    sample = P.sample_per_group(v, "x", KERNELS).select("id", "x", "y")
+    known = v.select("id", "x", "y").withColumn("known", F.lit(1))
+    return sample.join(known, ["id", "x", "y"], "left").groupBy("x").agg(
+        F.count("*").alias("n"), F.count_if(F.col("known").isNull()).alias("strangers")
+    )
+
+
+def _through_files(
+    spark: SparkSession, frame: DataFrame, kind: str, use: Callable[[str], DataFrame], header: bool = False
+) -> DataFrame:
+    """The small result of ``use`` on files of ``frame`` in the shared folder, which are then deleted."""
+    path = f"{shared_dir(spark)}/{kind}-files-{uuid.uuid4().hex}"
+    if header:
+        frame.write.option("header", True).option("quote", "").csv(path)
+    else:
+        frame.write.text(path)
+    try:
+        out = use(path)
+        return spark.createDataFrame(out.collect(), out.schema)
+    finally:
+        delete_tree(spark, path)
+
+
+ONE_LINE_SQL = "SELECT CAST(doc_id AS VARCHAR) AS title, replace(text, chr(10), ' ') AS text FROM documents"
+
+
+@register("read_articles_files", RANK_SQL.replace(ARTICLES_SQL, ONE_LINE_SQL))
+def q_read_articles_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranking over article files, one line per article, one row per listed term."""
+    lines = S.article_lines(spark, sf).select(F.translate("value", "\n", " ").alias("value"))
+    return _through_files(
+        spark, lines, "article", lambda p: T.rank_terms_count(read_articles(spark, p), S.STANDIN_TERMS)
+    )
+
+
+@register(
+    "read_postings_files",
+    f"""
+SELECT posting_type, tag, count(*) AS n, CAST(sum(score) AS BIGINT) AS total, count(parent_id) AS parents
+FROM (SELECT posting_type, tag, score, parent_id FROM ({QUESTIONS_SQL}) q
+      UNION ALL SELECT posting_type, tag, score, parent_id FROM ({ANSWERS_SQL}) a) p
+GROUP BY posting_type, tag
+""",
+)
+def q_read_postings_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums over posting files, one row per type and tag."""
+
+    def use(path: str) -> DataFrame:
+        return read_postings(spark, path).groupBy("posting_type", "tag").agg(
+            F.count("*").alias("n"), F.sum("score").alias("total"), F.count("parent_id").alias("parents")
+        )
+
+    return _through_files(spark, S.posting_lines(spark, sf), "posting", use)
+
+
+@register("read_survey_files", GROUPED_SQL)
+def q_read_survey_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The grouped survey over CSV files read strictly, one row per status, sex and age."""
+
+    def use(path: str) -> DataFrame:
+        return PL.pipeline_survey(read_survey(spark, path)[1], via_decimal=True)
+
+    return _through_files(spark, _survey(spark, sf), "survey", use, header=True)

@@ -21,7 +21,7 @@ from tessera.operators import kmeans as M
 from tessera.operators import sampling as P
 from tessera.operators import survey as U
 from tessera.operators import terms as T
-from tessera.session import committed, materialize, release
+from tessera.session import check_state, committed, input_fingerprint, materialize, release
 
 STRATEGIES = ("scan", "index", "count")
 
@@ -98,13 +98,20 @@ def pipeline_clusters(
     ``kmeans_state`` (a folder on shared storage) keeps the weighted points
     and every k-means iteration, so a rerun after a lost driver skips the
     scoring join (once the weighted table's write has committed) and the
-    finished iterations.  ``result.inputs`` holds the weighted table for
+    finished iterations; a folder of other input files or parameters is
+    refused.  ``result.inputs`` holds the weighted table for
     :func:`tessera.session.release` (tables in the state folder are kept).
     """
     if sample_from not in ("weighted", "vectors"):
         raise ValueError("sample_from must be 'weighted' or 'vectors'")
     spark = postings.sparkSession
     state = kmeans_state.rstrip("/") if kmeans_state else None
+    if state:
+        about = {
+            "input": input_fingerprint(postings), "languages": list(languages), "lang_spread": lang_spread,
+            "kernels": kernels, "eta": eta, "seed": seed, "sample": [sample_hash, sample_from],
+        }
+        check_state(spark, f"{state}/about", about)
     if state and sample_from == "weighted" and committed(spark, f"{state}/weighted"):
         # rerun after a lost driver: the postings are not read again
         weighted = spark.read.parquet(f"{state}/weighted")

@@ -6,11 +6,14 @@ bench script and command-line runs on a single machine.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 
@@ -69,7 +72,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-_WRITTEN: dict[int, str] = {}
+def shared_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a local session that names none gets one of its own."""
+    base = checkpoint_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        base = spark.sparkContext.getCheckpointDir()
+    return base.rstrip("/")
+
+
+def delete_tree(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
@@ -79,8 +95,8 @@ def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     the result is written there once as a parquet table and read back:
     one job, columnar, and it survives executor loss without recomputing
     its lineage.  Without one the result is computed now and persisted to
-    memory and disk; a lost block is then recomputed from lineage.  Release it with
-    :func:`release`.
+    memory and disk; a lost block is then recomputed from lineage.  The returned
+    frame owns the table: :func:`release` it when no result reads it any more.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
@@ -91,7 +107,7 @@ def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     out = spark.read.parquet(path)
-    _WRITTEN[id(out)] = path
+    out._written_path = path  # owned by this frame object, not by its address
     return out
 
 
@@ -104,14 +120,41 @@ def committed(spark: SparkSession, path: str) -> bool:
 
 def release(df: DataFrame) -> None:
     """Drop a materialised intermediate (cached blocks or written table)."""
-    path = _WRITTEN.pop(id(df), None)
+    path = getattr(df, "_written_path", None)
     if path is None:
         df.unpersist()
         return
+    delete_tree(df.sparkSession, path)
+
+
+def input_fingerprint(df: DataFrame) -> str:
+    """Digest of what ``df`` reads: its files with length and change time, or else its rows.
+
+    Files are only listed, not read.  A frame without files (made from local
+    rows) is summed up in one pass.
+    """
+    files = sorted(df.inputFiles())
+    if not files:
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("h")).first()
+        return f"rows {row['n']} {row['h']}"
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    digest = hashlib.sha256()
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        digest.update(f"{f} {status.getLen()} {status.getModificationTime()}\n".encode())
+    return digest.hexdigest()
+
+
+def check_state(spark: SparkSession, path: str, about: dict) -> None:
+    """Record at ``path`` what a state folder belongs to, or refuse if it belongs to something else."""
+    text = json.dumps(about, sort_keys=True, default=str)
+    if committed(spark, path):
+        if spark.read.text(path).first()["value"] != text:
+            raise ValueError(f"the state recorded next to {path} belongs to other input or parameters")
+        return
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def scale_settings(

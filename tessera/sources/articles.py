@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.lines import read_lines
+from tessera.sources.lines import read_lines, require
 
 # Fixed layout values of the record format.
 LEAD_CHARS = 14
@@ -35,16 +35,14 @@ def parse_articles(lines: DataFrame, column: str = "value", strict: bool = True)
     """Raw lines -> ``title, text``.
 
     ``strict`` fails the job on a line without the delimiter (or too short
-    for the layout), like the reference.  Otherwise malformed lines get
-    null title/text and ``malformed = true`` so they can be routed aside.
+    for the layout), like the reference; the check is a filter, so it holds
+    whichever columns are read.  Otherwise malformed lines get null
+    title/text and ``malformed = true`` so they can be routed aside.
     """
     v = F.col(column)
     title, text, ok = article_columns(v)
     if strict:
-        err = F.raise_error(F.concat(F.lit("malformed article line: "), F.substring(v, 1, 80)))
-        return lines.select(
-            F.when(ok, title).otherwise(err).alias("title"), text.alias("text")
-        )
+        return lines.where(require(ok, v, "article")).select(title.alias("title"), text.alias("text"))
     return lines.select(
         F.when(ok, title).alias("title"),
         F.when(ok, text).alias("text"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -12,3 +13,13 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     partition count is hard-coded.
     """
     return spark.read.text(path)
+
+
+def require(ok: Column, line: Column, what: str) -> Column:
+    """Filter condition that is true, or fails the job where ``ok`` does not hold.
+
+    A failing expression in one output column would be pruned with it.
+    """
+    text = F.coalesce(F.substring(line, 1, 80), F.lit("null"))
+    error = F.raise_error(F.concat(F.lit(f"malformed {what} line: "), text))
+    return F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(error.cast("boolean"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.lines import read_lines
+from tessera.sources.lines import read_lines, require
 
 POSTING_SCHEMA = (
     "posting_type int, id bigint, accepted_answer bigint, parent_id bigint, "
@@ -23,20 +23,24 @@ _INT = r"[+-]?[0-9]+"
 LINE_PATTERN = rf"^{_INT},{_INT},({_INT})?,({_INT})?,{_INT}(,.*)?$"
 
 
-def posting_columns(value: Column, fields: Column, strict: bool = True) -> list[Column]:
-    """Posting columns from a raw line and its comma-split ``fields``."""
+def well_formed(value: Column, fields: Column) -> Column:
+    """The line has its fields, and each number fits its column."""
+    number = [F.nullif(F.try_element_at(fields, F.lit(i + 1)), F.lit("")) for i in range(5)]
+    fits = value.rlike(LINE_PATTERN)
+    for c, kind in zip(number, ("int", "bigint", "bigint", "bigint", "int")):
+        fits = fits & (c.isNull() | c.try_cast(kind).isNotNull())
+    return F.coalesce(fits, F.lit(False))
+
+
+def posting_columns(fields: Column, strict: bool = True) -> list[Column]:
+    """Posting columns from the comma-split ``fields`` of a line."""
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
 
     def field(i: int) -> Column:
         return F.try_element_at(fields, F.lit(i + 1))
 
-    ptype = cast(field(0), "int")
-    if strict:
-        ptype = F.when(value.rlike(LINE_PATTERN), ptype).otherwise(
-            F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(value, 1, 80)))
-        )
     return [
-        ptype.alias("posting_type"),
+        cast(field(0), "int").alias("posting_type"),
         cast(field(1), "bigint").alias("id"),
         cast(F.nullif(field(2), F.lit("")), "bigint").alias("accepted_answer"),
         cast(F.nullif(field(3), F.lit("")), "bigint").alias("parent_id"),
@@ -49,16 +53,17 @@ def parse_postings(lines: DataFrame, column: str = "value", strict: bool = True)
     """Raw lines -> postings (``POSTING_SCHEMA``).
 
     ``strict`` fails the job on a malformed line (bad integer, too few
-    fields), like the reference.  Otherwise bad integers become null and a
-    ``malformed`` flag marks the line.  The line is split once, in its own
-    projection, and every field is read from that array.
+    fields), like the reference; the check is a filter, so it holds whichever
+    columns are read.  Otherwise bad integers become null and a ``malformed``
+    flag marks the line.  The line is split once, in its own projection, and
+    every field is read from that array.
     """
     v = F.col("_line")
     split = lines.select(F.col(column).alias("_line"), F.split(F.col(column), ",", -1).alias("_f"))
-    cols = posting_columns(v, F.col("_f"), strict)
+    cols, ok = posting_columns(F.col("_f"), strict), well_formed(v, F.col("_f"))
     if strict:
-        return split.select(*cols)
-    return split.select(*cols, (~F.coalesce(v.rlike(LINE_PATTERN), F.lit(False))).alias("malformed"))
+        return split.where(require(ok, v, "posting")).select(*cols)
+    return split.select(*cols, (~ok).alias("malformed"))
 
 
 def read_postings(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:

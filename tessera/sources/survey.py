@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tessera.sources.lines import require
+
 
 def survey_schema(column_names: Sequence[str]) -> StructType:
     """First column string, all others double; none nullable."""
@@ -31,29 +33,30 @@ def read_survey(
 ) -> tuple[list[str], DataFrame]:
     """Read a CSV survey: returns (column names, table).
 
-    Names come from the header line; the header of every file is skipped
-    by the CSV reader itself, so any number of files works.  File readers
-    always report nullable columns, so ``strict`` enforces the non-null
-    contract with a check that fails the job on an empty field instead.
+    Names come from the header line of one file; a file whose header differs,
+    in names or order, fails the read.  Fields are split on every comma, quotes
+    are ordinary characters.
+
+    ``strict`` checks every field of every line, whichever columns a query
+    reads: an empty field, a bad number or a line of another length fails the
+    job.  Otherwise only the columns that are read are parsed (and pruned from
+    the scan), empty fields are null, and only a bad number among them fails.
     """
     header = spark.read.text(path).first()
     if header is None:
         raise ValueError(f"empty survey input: {path}")
     names = header[0].split(",")
     schema = survey_schema(names)
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    if strict:
-        df = df.select(
-            *[
-                F.coalesce(F.col(f"`{n}`"), F.raise_error(F.lit(f"empty field in column {n}")))
-                .cast(schema[n].dataType)
-                .alias(n)
-                for n in names
-            ]
-        )
-    return names, df
+    reader = spark.read.option("header", True).option("quote", "").option("mode", "FAILFAST")
+    if not strict:
+        return names, reader.option("enforceSchema", False).schema(schema).csv(path)
+    lines = spark.read.text(path)
+    fields = lines.where(F.col("value") != header[0]).select(F.col("value"), F.split("value", ",", -1).alias("_f"))
+    numbers = F.transform(F.slice("_f", 2, len(names)), lambda x: x.try_cast("double"))
+    ok = (F.size("_f") == len(names)) & (F.element_at("_f", 1) != "") & F.forall(numbers, lambda x: x.isNotNull())
+    checked = fields.where(require(ok, F.col("value"), "survey"))
+    columns = [
+        F.coalesce(F.get("_f", F.lit(i)).cast(schema[n].dataType), F.lit("" if i == 0 else 0.0)).alias(n)
+        for i, n in enumerate(names)
+    ]
+    return names, checked.select(*columns)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans import catalog as C
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -28,11 +29,11 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(E.oracle_sql()) <= set(E.queries())
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(C.QUERIES) - set(C.ORACLE)
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(C.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns

@@ -24,7 +24,11 @@ def test_filters(postings):
 def test_pairs_drop_unanswered_and_orphans(postings):
     pairs = sorted((r.id, r.answer_id, r.answer_score) for r in Q.question_answer_pairs(postings).collect())
     assert pairs == [(100, 101, 3), (100, 102, 7), (200, 201, -4), (300, 301, 2)]
-    assert sorted(tuple(r) for r in Q.grouped_postings(postings).collect()) == [(100, 2), (200, 1), (300, 1)]
+    grouped = Q.grouped_postings(postings)
+    assert sorted((r.id, r.answer_id, r.answer_score, r.n_pairs) for r in grouped.collect()) == [
+        (*p, {100: 2, 200: 1, 300: 1}[p[0]]) for p in pairs
+    ]
+    assert grouped.drop("n_pairs").columns == Q.question_answer_pairs(postings).columns
 
 
 def test_high_score_floored_at_zero(postings):
@@ -107,5 +111,7 @@ def test_grouped_counts_multiply_duplicates(spark):
          (2, 9, None, 7, 6, None), (2, 10, None, 7, 1, None), (1, 11, None, None, 0, None)],
         POSTING_SCHEMA,
     )
-    assert [tuple(r) for r in Q.grouped_postings(df).collect()] == [(7, 6)]
+    rows = Q.grouped_postings(df).collect()
+    assert len(rows) == 6 and all((r.id, r.n_pairs) == (7, 6) for r in rows)
+    assert len({(r.score, r.answer_id) for r in rows}) == 6
     assert Q.question_answer_pairs(df).count() == 6

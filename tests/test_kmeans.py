@@ -135,11 +135,17 @@ def test_both_sample_hashes_ignore_partitioning(spark, hashing):
         P.sample_key("id", 42, "crc")
 
 
-def test_centroid_count_is_bounded():
-    from tessera.functions.vectors import MAX_INLINE_CENTERS
-
-    with pytest.raises(ValueError, match="centroids"):
-        nearest_center([(i, i) for i in range(MAX_INLINE_CENTERS + 1)])
+def test_any_number_of_centroids(spark):
+    from tessera.functions.vectors import WRITTEN_CENTERS, nearest_distance
+    from tests.conftest import plan_text
+
+    centers = [(50000 * (i % 7), 3 * i) for i in range(5 * WRITTEN_CENTERS)] + [(0, 0)]
+    v = pts(spark, [(0, 0), (50001, 2000), (-9, 77), (10**6, 10**6), (100000, 6)])
+    rows = v.select("x", "y", nearest_center(centers).alias("c"), nearest_distance(centers).alias("d")).collect()
+    for r in rows:
+        d, i = min(((r.x - cx) ** 2 + (r.y - cy) ** 2, i) for i, (cx, cy) in enumerate(centers))
+        assert (r.c, r.d) == (i, float(d))
+    assert "Join" not in plan_text(M.average_vectors(v, centers))
     with pytest.raises(ValueError):
         nearest_center([])
 
@@ -187,3 +193,22 @@ def test_kmeans_resumes_from_recorded_state(spark, tmp_dir):
     # a finished run is returned as recorded
     again = M.kmeans(raw, centers, eta=0.0, max_iterations=6, state_path=state)
     assert again.centers == fresh.centers and again.iterations == fresh.iterations
+
+
+def test_recorded_state_of_other_input_is_refused(spark, tmp_dir):
+    raw = pts(spark, [(0, 0), (0, 100), (0, 1000)])
+    state = f"{tmp_dir}/kmeans-other"
+    M.kmeans(raw, [(0, 0), (0, 1)], max_iterations=1, state_path=state)
+    for vectors, centers, eta in (
+        (pts(spark, [(0, 0), (0, 100), (0, 1001)]), [(0, 0), (0, 1)], M.DEFAULT_ETA),
+        (raw, [(0, 0), (0, 2)], M.DEFAULT_ETA),
+        (raw, [(0, 0), (0, 1)], 1.0),
+    ):
+        with pytest.raises(ValueError, match="other input or parameters"):
+            M.kmeans(vectors, centers, eta, max_iterations=5, state_path=state)
+
+
+def test_result_says_whether_it_converged(spark):
+    raw = pts(spark, [(0, 0), (0, 100), (0, 1000), (0, 37), (0, 555)])
+    assert not M.kmeans(raw, [(0, 0), (0, 1)], eta=0.5, max_iterations=1).converged
+    assert M.kmeans(raw, [(0, 0), (0, 1)], eta=0.5).converged

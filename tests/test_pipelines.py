@@ -90,3 +90,32 @@ def test_pipeline_rerun_after_lost_driver_skips_the_join(spark, tmp_dir):
     again, r2 = PL.pipeline_clusters(poisoned, S.STANDIN_TAGS, 50000, 15, kmeans_state=state)
     assert sorted(tuple(r) for r in again.collect()) == want
     assert (r2.centers, r2.iterations) == (r0.centers, r0.iterations)
+
+
+def test_pipeline_state_of_other_input_or_parameters_is_refused(spark, tmp_dir):
+    import pytest
+
+    state = f"{tmp_dir}/cluster-other"
+    postings = S.postings(spark, SF_SMALL)
+    PL.pipeline_clusters(postings, S.STANDIN_TAGS, 50000, 15, max_iterations=1, kmeans_state=state)
+    for frame, tags, spread in (
+        (S.postings(spark, "/root/testdata/sf0.01"), S.STANDIN_TAGS, 50000),
+        (postings, S.STANDIN_TAGS[::-1], 50000),
+        (postings, S.STANDIN_TAGS, 40000),
+    ):
+        with pytest.raises(ValueError, match="other input or parameters"):
+            PL.pipeline_clusters(frame, tags, spread, 15, kmeans_state=state)
+
+
+def test_registered_cluster_queries_leave_no_table(spark):
+    import os
+
+    from tessera.plans.catalog import QUERIES
+    from tessera.session import checkpoint_dir
+
+    base = checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(base))
+    QUERIES["pipeline_clusters"](spark, SF_SMALL).collect()
+    QUERIES["cluster_results_mode"](spark, SF_SMALL).collect()
+    QUERIES["read_survey_files"](spark, SF_SMALL).collect()
+    assert set(os.listdir(base)) == before

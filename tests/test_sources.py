@@ -31,9 +31,9 @@ def test_read_lines(spark, tmp_dir):
 
 
 def test_parse_article_line(spark, tmp_dir):
-    p = write(os.path.join(tmp_dir, "w.dat"), [record("Scala", "Scala is great"), record("A", "")])
+    p = write(os.path.join(tmp_dir, "w.dat"), [record("Kiwi", "Kiwis do not fly"), record("B", "")])
     rows = read_articles(spark, p).collect()
-    assert rows == [Row(title="Scala", text="Scala is great"), Row(title="A", text="")]
+    assert rows == [Row(title="Kiwi", text="Kiwis do not fly"), Row(title="B", text="")]
 
 
 def test_first_delimiter_wins(spark):
@@ -46,6 +46,11 @@ def test_malformed_article_fails_or_is_flagged(spark):
     df = spark.createDataFrame([(record("ok", "fine"),), ("no delimiter here at all, long enough",)], "value string")
     with pytest.raises(Exception, match="malformed article line"):
         parse_articles(df).collect()
+    for column in ("title", "text"):  # each column alone, and none
+        with pytest.raises(Exception, match="malformed article line"):
+            parse_articles(df).select(column).collect()
+    with pytest.raises(Exception, match="malformed article line"):
+        parse_articles(df).count()
     rows = parse_articles(df, strict=False).collect()
     assert rows[0] == Row(title="ok", text="fine", malformed=False)
     assert rows[1] == Row(title=None, text=None, malformed=True)
@@ -84,11 +89,33 @@ def test_posting_extra_fields_ignored(spark):
     )
 
 
-@pytest.mark.parametrize("line", ["1,x,,,3,PHP", "1,5,,,", "1,5", " 1,5,,,3", "1,5,,,3.5"])
+@pytest.mark.parametrize(
+    "line", ["1,x,,,3,PHP", "1,5,,,", "1,5", " 1,5,,,3", "1,5,,,3.5", "1,99999999999999999999,,,3", "1,5,,,9999999999"]
+)
 def test_bad_posting_fails_the_job(spark, tmp_dir, line):
     p = write(os.path.join(tmp_dir, "bad.csv"), ["1,100,,,5,Java", line])
-    with pytest.raises(Exception):
-        read_postings(spark, p).collect()
+    df = read_postings(spark, p)
+    for use in (df, *(df.select(c) for c in df.columns)):  # whichever columns are read
+        with pytest.raises(Exception, match="malformed posting line"):
+            use.collect()
+    with pytest.raises(Exception, match="malformed posting line"):
+        df.count()
+
+
+def test_malformed_line_fails_every_ranking(spark, tmp_dir):
+    from tessera.operators import terms as T
+    from tessera.plans import pipelines as PL
+
+    p = write(os.path.join(tmp_dir, "w.dat"), [record("ok", "kiwi"), "kiwi kiwi but no delimiter in this line"])
+    articles = read_articles(spark, p)
+    for df in (
+        T.rank_terms_scan(articles, ["kiwi"]),
+        T.rank_terms_count(articles, ["kiwi"]),
+        T.rank_terms_index(T.inverted_index(articles, ["kiwi"])),
+        PL.pipeline_terms(articles, ["kiwi"]),
+    ):
+        with pytest.raises(Exception, match="malformed article line"):
+            df.collect()
 
 
 def test_bad_posting_lenient(spark):
@@ -99,17 +126,17 @@ def test_bad_posting_lenient(spark):
 
 
 def test_survey_schema():
-    assert survey_schema(["tucaseid", "gemetsta", "gtmetsta"]) == StructType(
+    assert survey_schema(["person", "north", "south"]) == StructType(
         [
-            StructField("tucaseid", StringType(), False),
-            StructField("gemetsta", DoubleType(), False),
-            StructField("gtmetsta", DoubleType(), False),
+            StructField("person", StringType(), False),
+            StructField("north", DoubleType(), False),
+            StructField("south", DoubleType(), False),
         ]
     )
 
 
 def test_survey_row():
-    assert survey_row("A,0.001,0.002,0.003".split(",")) == Row("A", 0.001, 0.002, 0.003)
+    assert survey_row("p7,2.5,-1,40".split(",")) == Row("p7", 2.5, -1.0, 40.0)
     with pytest.raises(ValueError):
         survey_row(["A", "x"])
 
@@ -126,21 +153,35 @@ def test_read_survey_many_files(spark, tmp_dir):
 
 
 def test_read_survey_bad_number_and_empty_field(spark, tmp_dir):
-    p = write(os.path.join(tmp_dir, "bad.csv"), ["tucaseid,telfs", "a,x"])
-    _, df = read_survey(spark, p)
-    with pytest.raises(Exception):
-        df.collect()
-    p2 = write(os.path.join(tmp_dir, "empty.csv"), ["tucaseid,telfs", "a,"])
-    _, df2 = read_survey(spark, p2)
-    with pytest.raises(Exception, match="empty field"):
-        df2.collect()
-    _, df3 = read_survey(spark, p2, strict=False)
-    assert df3.first()["telfs"] is None
+    for i, line in enumerate(["a,x,1", "a,,1", "a,1", "a,1,2,3", ",1,2", "a,1,y"]):
+        p = write(os.path.join(tmp_dir, f"bad{i}.csv"), ["tucaseid,telfs,t500101", line])
+        _, df = read_survey(spark, p)
+        for use in (df, df.select("telfs")):  # every field is checked, whichever are read
+            with pytest.raises(Exception, match="malformed survey line"):
+                use.collect()
+    p = write(os.path.join(tmp_dir, "empty.csv"), ["tucaseid,telfs", "a,"])
+    assert read_survey(spark, p, strict=False)[1].first()["telfs"] is None
+
+
+def test_survey_quotes_are_characters(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "quotes.csv"), ["tucaseid,telfs", '"a,1', 'b"b,2'])
+    for strict in (True, False):
+        assert [tuple(r) for r in read_survey(spark, p, strict)[1].collect()] == [('"a', 1.0), ('b"b', 2.0)]
+
+
+def test_survey_headers_that_differ_are_refused(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "orders")
+    os.makedirs(d)
+    write(os.path.join(d, "a.csv"), ["tucaseid,telfs,tesex", "a,1,2"])
+    write(os.path.join(d, "b.csv"), ["tucaseid,tesex,telfs", "b,1,2"])
+    for strict in (True, False):
+        with pytest.raises(Exception):
+            read_survey(spark, d, strict)[1].select("telfs", "tesex").collect()
 
 
 def test_column_pruning_reaches_the_reader(spark, tmp_dir):
     p = write(os.path.join(tmp_dir, "wide.csv"), ["id,a,b,c", "x,1,2,3"])
-    _, df = read_survey(spark, p)
+    _, df = read_survey(spark, p, strict=False)
     from tests.conftest import plan_text
 
     assert "ReadSchema: struct<a:double>" in plan_text(df.select("a"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import terms as T
 from tessera.plans.pipelines import rankings
+from tests.conftest import plan_text
 
 
 def arts(spark, rows):
@@ -17,60 +19,74 @@ def ranked(df):
 
 
 def test_doc_count_literal_fixture(spark):
-    a = arts(spark, [("title", "A Java Jakarta"), ("title", "Java 2Jakarta"), ("title", "Scala 2Jakarta")])
-    assert T.term_doc_count(a, "Java").first()["n"] == 2
-    assert T.term_doc_count(a, "Scala").first()["n"] == 1
-    assert T.term_doc_count(a, "Jakarta").first()["n"] == 1
+    a = arts(spark, [("x", "one ripe plum"), ("y", "plum, ripe-ish plum tart"), ("z", "overripe figs")])
+    assert T.term_doc_count(a, "plum").first()["n"] == 2
+    assert T.term_doc_count(a, "figs").first()["n"] == 1
+    assert T.term_doc_count(a, "ripe").first()["n"] == 1
 
 
 def test_rank_scan_two_articles(spark):
-    a = arts(spark, [("1", "Scala is great"), ("2", "Java is OK, but Scala is cooler")])
-    r = ranked(T.rank_terms_scan(a, ["Scala", "Java"]))
-    assert r == [("Scala", 2), ("Java", 1)]
+    a = arts(spark, [("1", "we sold no plums today"), ("2", "plums and figs went early")])
+    r = ranked(T.rank_terms_scan(a, ["figs", "plums"]))
+    assert r == [("plums", 2), ("figs", 1)]
 
 
-INDEX3 = [
-    ("1", "Groovy is pretty interesting, and so is Erlang"),
-    ("2", "Scala and Java run on the JVM"),
-    ("3", "Scala is not purely functional"),
+MARKET3 = [
+    ("1", "no quinces this week but many limes again"),
+    ("2", "both figs and plums came by boat"),
+    ("3", "late figs bruise easily"),
 ]
-RANK5 = INDEX3 + [
-    ("4", "The cool kids like Haskell more than Java"),
-    ("5", "Java is for enterprise developers"),
+MARKET5 = MARKET3 + [
+    ("4", "they asked for mangos before plums"),
+    ("5", "plums again at noon"),
 ]
 
 
 def test_index_has_two_entries(spark):
-    idx = T.inverted_index(arts(spark, INDEX3), ["Scala", "Java"])
+    idx = T.inverted_index(arts(spark, MARKET3), ["figs", "plums"])
     assert idx.select("term").distinct().count() == 2
-    assert sorted((r["term"], r["title"]) for r in idx.collect()) == [
-        ("Java", "2"), ("Scala", "2"), ("Scala", "3"),
-    ]
-    assert ranked(T.rank_terms_index(idx)) == [("Scala", 2), ("Java", 1)]
+    assert sorted((r["term"], r["title"]) for r in idx.collect()) == [("figs", "2"), ("figs", "3"), ("plums", "2")]
+    assert ranked(T.rank_terms_index(idx)) == [("figs", 2), ("plums", 1)]
 
 
 def test_index_by_size_and_text(spark):
-    idx = T.inverted_index(arts(spark, INDEX3), ["Java", "Scala"], with_text=True, by_size=True)
-    rows = idx.collect()
-    assert [r["term"] for r in rows] == ["Scala", "Scala", "Java"]
-    assert rows[0]["n"] == 2 and rows[0]["text"] == "Scala and Java run on the JVM"
+    idx = T.inverted_index(arts(spark, MARKET3), ["plums", "figs"], with_text=True, by_size=True)
+    assert "orderBy" not in plan_text(idx) and " Sort [n" not in plan_text(idx)  # postings are not sorted
+    rows = idx.orderBy(F.desc("n"), "position", "title").collect()
+    assert [r["term"] for r in rows] == ["figs", "figs", "plums"]
+    assert rows[0]["n"] == 2 and rows[0]["text"] == "both figs and plums came by boat"
 
 
 def test_rank_count_five_articles(spark):
-    langs = ["Scala", "Java", "Groovy", "Haskell", "Erlang"]
-    r = ranked(T.rank_terms_count(arts(spark, RANK5), langs))
-    assert r == [("Java", 3), ("Scala", 2), ("Groovy", 1), ("Haskell", 1), ("Erlang", 1)]
+    names = ["figs", "plums", "quinces", "mangos", "limes"]
+    r = ranked(T.rank_terms_count(arts(spark, MARKET5), names))
+    assert r == [("plums", 3), ("figs", 2), ("quinces", 1), ("mangos", 1), ("limes", 1)]
 
 
 def test_zero_counts_differ_by_strategy(spark):
-    a = arts(spark, RANK5)
-    terms = ["Java", "Cobol", "Scala"]
-    assert ranked(T.rank_terms_scan(a, terms)) == [("Java", 3), ("Scala", 2), ("Cobol", 0)]
-    assert ranked(T.rank_terms_count(a, terms)) == [("Java", 3), ("Scala", 2)]
-    assert ranked(T.rank_terms_index(T.inverted_index(a, terms))) == [("Java", 3), ("Scala", 2)]
-    assert ranked(T.rank_terms_count(a, terms, include_zero=True)) == [("Java", 3), ("Scala", 2), ("Cobol", 0)]
-    tdf = a.sparkSession.createDataFrame([(0, "Java"), (1, "Cobol"), (2, "Scala")], "position int, term string")
-    assert ranked(T.rank_terms_count(a, tdf, include_zero=True)) == [("Java", 3), ("Scala", 2), ("Cobol", 0)]
+    a = arts(spark, MARKET5)
+    terms = ["plums", "okra", "figs"]
+    assert ranked(T.rank_terms_scan(a, terms)) == [("plums", 3), ("figs", 2), ("okra", 0)]
+    assert ranked(T.rank_terms_count(a, terms)) == [("plums", 3), ("figs", 2)]
+    assert ranked(T.rank_terms_index(T.inverted_index(a, terms))) == [("plums", 3), ("figs", 2)]
+    assert ranked(T.rank_terms_count(a, terms, include_zero=True)) == [("plums", 3), ("figs", 2), ("okra", 0)]
+    tdf = a.sparkSession.createDataFrame(list(enumerate(terms)), "position int, term string")
+    assert ranked(T.rank_terms_count(a, tdf, include_zero=True)) == [("plums", 3), ("figs", 2), ("okra", 0)]
+
+
+def test_term_tables_count_before_they_join(spark, monkeypatch):
+    """Whatever the size of the table, one row per word run and task enters its join."""
+    a = arts(spark, MARKET5 * 20)
+    tdf = spark.createDataFrame([("plums",), ("both figs",), ("plums",), ("okra",)], "term string")
+    for limit in (T.BROADCAST_TERMS_LIMIT, 0):
+        monkeypatch.setattr(T, "BROADCAST_TERMS_LIMIT", limit)
+        count = T.rank_terms_count(a, tdf)
+        assert ranked(count) == [("plums", 120), ("both figs", 20)]
+        scan = T.rank_terms_scan(a, tdf)
+        assert sorted(ranked(scan)) == [("both figs", 20), ("okra", 0), ("plums", 60), ("plums", 60)]
+    plan = plan_text(count)
+    at = plan.index("Join")  # below the join with the table, the runs are already summed
+    assert plan.index("Generate") > plan.index("partial_count(1)", at) > at
 
 
 @pytest.mark.parametrize(
@@ -107,11 +123,11 @@ def test_title_is_not_searched(spark):
 
 
 def test_repeated_list_entries(spark):
-    a = arts(spark, RANK5)
-    terms = ["Java", "Scala", "Java"]
-    assert ranked(T.rank_terms_scan(a, terms)) == [("Java", 3), ("Java", 3), ("Scala", 2)]
-    assert ranked(T.rank_terms_count(a, terms)) == [("Java", 6), ("Scala", 2)]
-    assert ranked(T.rank_terms_index(T.inverted_index(a, terms))) == [("Java", 6), ("Scala", 2)]
+    a = arts(spark, MARKET5)
+    terms = ["plums", "figs", "plums"]
+    assert ranked(T.rank_terms_scan(a, terms)) == [("plums", 3), ("plums", 3), ("figs", 2)]
+    assert ranked(T.rank_terms_count(a, terms)) == [("plums", 6), ("figs", 2)]
+    assert ranked(T.rank_terms_index(T.inverted_index(a, terms))) == [("plums", 6), ("figs", 2)]
 
 
 def test_ties_keep_list_order(spark):
@@ -122,11 +138,10 @@ def test_ties_keep_list_order(spark):
 
 def test_long_list_uses_token_join(spark, monkeypatch):
     monkeypatch.setattr(T, "INLINE_TERMS_LIMIT", 2)
-    a = arts(spark, RANK5)
-    terms = ["Scala", "Java", "Groovy", "Haskell", "Erlang", "Cobol", "the JVM"]
+    a = arts(spark, MARKET5)
+    terms = ["figs", "plums", "quinces", "mangos", "limes", "okra", "by boat"]
     scan = ranked(T.rank_terms_scan(a, terms))
-    assert scan == [("Java", 3), ("Scala", 2), ("Groovy", 1), ("Haskell", 1), ("Erlang", 1),
-                    ("the JVM", 1), ("Cobol", 0)]
+    assert scan == [("plums", 3), ("figs", 2), ("quinces", 1), ("mangos", 1), ("limes", 1), ("by boat", 1), ("okra", 0)]
     assert ranked(T.rank_terms_count(a, terms)) == [t for t in scan if t[1] > 0]
 
 
@@ -144,8 +159,8 @@ def test_strategies_agree_on_documents(spark):
 def test_no_nested_loop_join_and_no_python(spark):
     from tests.conftest import has_python_node, plan_text
 
-    a = arts(spark, RANK5)
-    for df in rankings(a, ["Java", "Scala"]).values():
+    a = arts(spark, MARKET5)
+    for df in rankings(a, ["plums", "figs"]).values():
         p = plan_text(df)
         assert "NestedLoopJoin" not in p and not has_python_node(p) and "CartesianProduct" not in p
 
@@ -153,21 +168,21 @@ def test_no_nested_loop_join_and_no_python(spark):
 def test_term_table_broadcast_is_gated(spark, monkeypatch):
     from tests.conftest import has_python_node, plan_text
 
-    a = arts(spark, RANK5)
-    tdf = spark.createDataFrame([(0, "Java"), (1, "Scala")], "position int, term string")
+    a = arts(spark, MARKET5)
+    tdf = spark.createDataFrame([(0, "plums"), (1, "figs")], "position int, term string")
     assert "BroadcastExchange" in plan_text(T.term_hits(a, tdf)) or "Broadcast" in plan_text(T.term_hits(a, tdf))
     monkeypatch.setattr(T, "BROADCAST_TERMS_LIMIT", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         hits = T.term_hits(a, tdf)
         assert "SortMergeJoin" in plan_text(hits)
-        assert sorted((r.term, r.title) for r in hits.collect())[:2] == [("Java", "2"), ("Java", "4")]
+        assert sorted((r.term, r.title) for r in hits.collect())[:2] == [("figs", "2"), ("figs", "3")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_empty_term_list(spark):
-    a = arts(spark, RANK5)
+    a = arts(spark, MARKET5)
     assert T.term_hits(a, []).count() == 0
     assert T.rank_terms_scan(a, []).count() == 0
     assert T.rank_terms_count(a, []).count() == 0
