@@ -37,8 +37,9 @@ def cluster_results(
     documents; ties to the smaller x).  ``percent`` is the share of members
     carrying that ``x``; the median of ``y`` averages the two middle values
     of an even count and truncates to an integer.  Accepts raw vectors or
-    weighted ``(x, y, n)`` rows; two small aggregations, no per-cluster
-    sort and no cluster gathered in one place.
+    weighted ``(x, y, n)`` rows.  Members are counted per (cluster, x) and
+    (cluster, y) with map-side combine; only those counts are sorted, one row
+    per distinct score of a cluster.
     """
     w = F.col("n") if "n" in vectors.columns else F.lit(1).cast("long")
     assigned = assign(vectors, centers).select("cluster", "x", "y", w.alias("w"))
@@ -57,9 +58,18 @@ def cluster_results(
         F.col("p.cnt").alias("label_cnt"),
         "size",
     )
-    medians = assigned.groupBy("cluster").agg(
-        F.percentile(F.col("y"), F.lit(0.5), F.col("w")).alias("med")
+    # the two middle values from counts per distinct score: sorted, spillable rows
+    # instead of one value -> count map per cluster
+    per_y = assigned.groupBy("cluster", "y").agg(F.sum("w").alias("cnt"))
+    in_cluster = Window.partitionBy("cluster")
+    ranked = per_y.select(
+        "cluster",
+        "y",
+        F.sum("cnt").over(in_cluster.orderBy("y")).alias("upto"),
+        F.sum("cnt").over(in_cluster).alias("total"),
     )
+    middle = [F.min(F.when(F.col("upto") > F.floor((F.col("total") - less) / 2), F.col("y"))) for less in (1, 0)]
+    medians = ranked.groupBy("cluster").agg(((middle[0] + middle[1]) / 2).alias("med"))
     langs = F.array(*[F.lit(x) for x in languages])
     return (
         labels.join(medians, "cluster")
