@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import shared_dir
 
 #: White space of the text contracts: space and the controls 9 to 13.
 WS = "\x20\t\n\x0b\x0c\r"
@@ -18,24 +17,8 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``).
-
-    Only a local-mode session that names none gets a folder of its own; on a
-    cluster a missing setting is an error, since a machine-local folder would
-    not be visible to other executors.
-    """
-    base = checkpoint_dir(spark)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-        base = spark.sparkContext.getCheckpointDir()
-    return base.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +37,7 @@ def drop_stored(df: DataFrame) -> None:
     """Delete a table made by :func:`stored`; only for tables no result reads any more."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
-    base = scratch_dir(spark)
+    base = shared_dir(spark)
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         plain = path.toUri().getPath()
