@@ -13,12 +13,11 @@ found exactly, without a pair of every two documents that share a passage:
   (smallest node of a token) with which it shares most tokens; those that link
   form the groups, so that thousands of near copies are one group after one
   comparison each.
-* *Matrix.*  Over the nodes that share tokens across groups, the union of each
-  group's shingles is stored, by shingle, and joined with the rarest shingles of
-  the nodes of other groups.  Only (node, group) pairs that meet are opened,
-  block by block: the node's overlap with the union of a block's shingles bounds
-  its overlap with each member, and only members of blocks that reach the bound
-  are compared.
+* *Matrix.*  Nodes that share tokens across groups are partitioned into blocks of
+  like nodes, and the union of each block's shingles is stored by shingle.  Only
+  pairs of blocks that meet in a rare shingle are opened: a node's overlap with
+  the union of a block bounds its overlap with each member, and only members of
+  blocks that reach the bound are compared.
 
 Links then join groups into components.  Groups are opened in blocks of bounded
 size; hot tokens and groups are spread by joins that AQE can split.  Hashes of
@@ -356,85 +355,66 @@ def _shingles_of(sets: DataFrame) -> DataFrame:
     return sets.select("key", "grp", "n", "hashes").mapInArrow(each, "key long, grp long, n long, token long")
 
 
-def opened_links(tokens: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of nodes of different groups that link.
-
-    ``groups``: (key, root) of the nodes that are not their own group.  The
-    matrix has a row (shingle, group) for each shingle that several groups
-    hold, over the nodes that share a token with another group.  A node that
-    links has at least ceil(percent * n / 100) shingles in common with a member,
-    so all but one of that many can be left out, those in most groups first:
-    a passage that thousands of groups share is not among the rest.  (node,
-    group) pairs that meet there are opened; of two groups, the nodes of the
-    smaller one are the queries.
+def opened_links(
+    tokens: DataFrame, leaders: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """(a, b) of nodes that link and are not linked yet.
+
+    ``leaders``: (a, b) of each node and the leader it is likest; ``groups``:
+    (key, root) of the nodes linked so far.  Nodes that share a token with
+    another linked group are partitioned into blocks of up to BLOCK nodes of the
+    same leader.  The matrix has a row (shingle, block) for what the nodes of a
+    block hold.  A node that links has at least ceil(percent * n / 100) shingles
+    in common with its partner, so all but one of that many can be left out,
+    those in most groups first: a passage that thousands of groups share is not
+    among the rest.  Pairs of blocks that meet in the matrix are opened.
     """
     sized = stored(
         tokens.join(groups, "key", "left").select("token", "key", F.coalesce("root", "key").alias("grp")), "grouped"
     )
-    members = sized.select("key", "grp").distinct()
-    sizes = members.groupBy("grp").agg(F.count("*").alias("size"))
     by_token = Window.partitionBy("token")
     mixed = sized.withColumn("low", F.min("grp").over(by_token)).withColumn("high", F.max("grp").over(by_token))
     mixed = mixed.filter("low < high").select("key", "grp").distinct()
-    shingles = stored(_shingles_of(mixed.join(sets, "key")), "shingles")
+    family = mixed.join(leaders.select(F.col("a").alias("key"), F.col("b").alias("family")), "key", "left")
+    family = family.withColumn("family", F.coalesce("family", "key"))
+    number = F.row_number().over(Window.partitionBy("family").orderBy("key")) - 1
+    nodes = stored(
+        family.select("key", "grp", F.xxhash64("family", F.floor(number / BLOCK)).alias("block")).join(sets, "key"), "nodes"
+    )
+    shingles = stored(_shingles_of(nodes), "shingles")
     matrix = shingles.select("token", "grp").distinct().withColumn("crowd", F.count("*").over(by_token))
     held = shingles.join(matrix.filter("crowd > 1"), ["token", "grp"])
     crowded_first = Window.partitionBy("key").orderBy(F.desc("crowd"), "token")
     least = F.ceil(F.col("n") * percent / 100)
-    rare = stored(
-        held.withColumn("place", F.row_number().over(crowded_first)).filter(F.col("place") >= least).select("token", "key", "grp"),
-        "rare",
+    rare = held.withColumn("place", F.row_number().over(crowded_first)).filter(F.col("place") >= least)
+    rare = stored(rare.join(nodes.select("key", "block"), "key").select("token", "block").distinct(), "matrix")
+    other = rare.select("token", F.col("block").alias("to"))
+    pairs = stored(rare.join(other, "token").filter("block <= to").select("block", "to").distinct(), "block-pairs")
+    blocks = stored(
+        nodes.groupBy("block").agg(F.collect_list(F.struct("key", "grp", "hashes")).alias("held")), "blocks"
     )
-    matrix = rare.select("token", "grp").distinct().join(sizes, "grp").select(
-        "token", F.col("grp").alias("to"), F.col("size").alias("to_size")
-    )
-    queries = (
-        rare.join(sizes, "grp")
-        .join(matrix, "token")
-        .filter((F.col("size") < F.col("to_size")) | ((F.col("size") == F.col("to_size")) & (F.col("grp") < F.col("to"))))
-        .select("key", "to")
-        .distinct()
-    )
-    queries = stored(queries, "queries")
-    drop_stored(shingles)
-    drop_stored(rare)
-    if queries.isEmpty():
-        drop_stored(sized)
-        return queries.select(F.col("key").alias("a"), F.col("to").alias("b"))
-
-    def blocked(rows: DataFrame, name: str) -> DataFrame:
-        """Blocks of up to BLOCK nodes (key, n, hashes) of each group."""
-        number = F.row_number().over(Window.partitionBy("grp").orderBy("key")) - 1
-        return (
-            rows.withColumn("block", F.floor(number / BLOCK))
-            .join(sets, "key")
-            .groupBy("grp", "block")
-            .agg(F.collect_list(F.struct("key", "hashes")).alias(name))
-        )
-
-    opened = members.join(queries.select(F.col("to").alias("grp")).distinct(), "grp", "left_semi")
-    asks = blocked(queries.select("key", F.col("to").alias("grp")), "asks")
-    holds = blocked(opened, "holds")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for asked, held in zip(batch["asks"], batch["holds"]):
-                held = [(m["key"], np.frombuffer(m["hashes"], _U)) for m in held]
-                union = np.unique(np.concatenate([s for _, s in held]))
-                for q in asked:
+            for left, right in zip(batch["x"], batch["y"]):
+                right = [(m["key"], m["grp"], np.frombuffer(m["hashes"], _U)) for m in right]
+                union = np.unique(np.concatenate([s for _, _, s in right]))
+                for q in left:
                     x = np.frombuffer(q["hashes"], _U)
                     at = np.searchsorted(union, x)
                     at[at == len(union)] = 0
                     if 100 * np.count_nonzero(union[at] == x) < percent * len(x):
                         continue  # no member of the block can reach the similarity
-                    found += [(q["key"], key) for key, s in held if links(x, s, percent)]
+                    found += [(q["key"], key) for key, grp, s in right if grp != q["grp"] and links(x, s, percent)]
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    pairs = asks.drop("block").join(holds.drop("block"), "grp").select("asks", "holds")
-    out = stored(pairs.mapInPandas(compare, "a long, b long"), "opened")
-    drop_stored(sized)
-    drop_stored(queries)
+    left = blocks.select("block", F.col("held").alias("x"))
+    right = blocks.select(F.col("block").alias("to"), F.col("held").alias("y"))
+    opened = pairs.join(left, "block").join(right, "to").select("x", "y")
+    out = stored(opened.mapInPandas(compare, "a long, b long"), "opened")
+    for table in (sized, nodes, shingles, rare, pairs, blocks):
+        drop_stored(table)
     return out
 
 
@@ -464,12 +444,13 @@ def near_duplicates(
     signed = stored(signatures(rows, size, percent), "signatures")
     tokens = stored(shared_tokens(signed), "shared-tokens")
     sets = stored(node_sets(rows, signed, tokens, size), "node-sets")
-    first = stored(linked_pairs(best_leaders(tokens), sets, percent), "leader-links")
+    leaders = stored(best_leaders(tokens), "leaders")
+    first = stored(linked_pairs(leaders, sets, percent), "leader-links")
     groups = components(first)
-    rest = opened_links(tokens, groups, sets, percent)
+    rest = opened_links(tokens, leaders, groups, sets, percent)
     every = stored(first.select("a", "b").union(rest.select("a", "b")), "links")
     roots = components(every)
-    for table in (tokens, sets, first, groups, every):
+    for table in (tokens, sets, leaders, first, groups, rest, every):
         drop_stored(table)
 
     nodes = signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low")).join(roots, "key", "left")
