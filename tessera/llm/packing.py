@@ -15,6 +15,7 @@ split by the row number that breaks ties.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,8 +30,8 @@ from tessera.llm.common import drop_stored, stored
 HASHED_DIMS = 256
 CURVE_BITS = 10
 SPREAD = 0.5  # projected means beyond this are put on the border
-MAX_PIECES = 200_000
-SLICE_BYTES = 3 << 20
+MAX_PIECES = 250_000
+SLICE_BYTES = 4 << 20
 
 
 # ------------------------------------------------------------- the curve ----
@@ -98,7 +99,7 @@ class PieceEncoder:
         for lo in range(0, len(new), 10_000):
             some = new[lo : lo + 10_000]
             coded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-            self.known.update((p, np.array(c.ids, np.int32).tobytes()) for p, c in zip(some, coded))
+            self.known.update((p, array("i", c.ids).tobytes()) for p, c in zip(some, coded))
         rows = [self.known[p] for p in pieces.distinct]
         rows.append(np.array([end_id], np.int32).tobytes())
         flat = np.frombuffer(b"".join(rows), np.int32)
