@@ -358,7 +358,10 @@ def _shingles_of(sets: DataFrame) -> DataFrame:
 def opened_links(
     tokens: DataFrame, leaders: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
-    """(a, b) of nodes that link and are not linked yet.
+    """(a, b) of nodes that link and are not linked yet, as many as join their groups.
+
+    Of two opened blocks, links between groups that other links there have joined
+    are passed over: at most one link per node, not one per pair.
 
     ``leaders``: (a, b) of each node and the leader it is likest; ``groups``:
     (key, root) of the nodes linked so far.  Nodes that share a token with
@@ -400,13 +403,24 @@ def opened_links(
             for left, right in zip(batch["x"], batch["y"]):
                 right = [(m["key"], m["grp"], np.frombuffer(m["hashes"], _U)) for m in right]
                 union = np.unique(np.concatenate([s for _, _, s in right]))
+                joined: dict[int, int] = {}  # groups that links of this pair of blocks have joined
+
+                def root(grp: int) -> int:
+                    while grp in joined:
+                        grp = joined[grp]
+                    return grp
+
                 for q in left:
                     x = np.frombuffer(q["hashes"], _U)
                     at = np.searchsorted(union, x)
                     at[at == len(union)] = 0
                     if 100 * np.count_nonzero(union[at] == x) < percent * len(x):
                         continue  # no member of the block can reach the similarity
-                    found += [(q["key"], key) for key, grp, s in right if grp != q["grp"] and links(x, s, percent)]
+                    for key, grp, s in right:
+                        a, b = root(q["grp"]), root(grp)
+                        if a != b and links(x, s, percent):
+                            joined[a] = b
+                            found.append((q["key"], key))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     left = blocks.select("block", F.col("held").alias("x"))
