@@ -1,21 +1,21 @@
 """Secret scans: patterns, and a battery of randomness tests.
 
 Long tokens are taken as candidates.  For each, an encoding is inferred (hex,
-base32, base62 or base64) and three tests ask whether its symbols could be
-random draws from that alphabet: chi-squared uniformity, runs above and below
-the middle of the alphabet, and serial correlation.  A token that fails one
-(Bonferroni over the three) is not random.
-
-Ordinary words, too, can pass, the shorter the more easily.  So a second
-p-value asks how likely a word-like token of that length would change between
-lower case, upper case, digits and signs as often as this one does (Chernoff's
-bound on the binomial tail), and the Benjamini-Hochberg step, taken apart for
-each class of lengths over the candidates of the whole corpus, keeps the share
-of false discoveries below ``fdr``.
-
-Only DataFrame functions.  The first pass counts candidates per (length class,
-p-value bin), a few hundred numbers; the second reports spans.  Nothing else is
-shuffled.
+base32, base36, base62 or base64) and three tests ask whether its symbols could
+be random draws from that alphabet: chi-squared uniformity, runs above and below
+the middle of the alphabet, and serial correlation, as one p-value (Bonferroni
+over the three).  The Benjamini-Hochberg step takes these p-values, apart for
+each encoding and class of lengths over the candidates of the whole corpus:
+what it rejects is not random, and at most ``fdr`` of that is expected to be.
+
+Ordinary words, too, can pass, the shorter the more easily.  So as an extra
+condition a token must change between lower case, upper case, digits and signs
+about as often as draws from its alphabet do.  The step bounds the random tokens
+that are lost, not the ordinary ones that are reported.
+
+Only DataFrame functions.  The first pass counts candidates per (encoding,
+length class, p-value bin), a few thousand numbers; the second reports spans.
+Nothing else is shuffled.
 """
 
 from __future__ import annotations
@@ -39,15 +39,21 @@ KINDS = [k for k, *_ in PATTERNS] + ["random"]
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}"
 
 HEX, BASE32 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
 #: (encoding, pattern of the whole token, alphabet, number of symbols); the first that fits is inferred.
 ENCODINGS = [
     ("hex", "^[0-9a-f]+$", HEX, 16),
     ("HEX", "^[0-9A-F]+$", HEX.upper(), 16),
-    ("base32", "^[A-Z2-7]+$", BASE32, 32),
+    ("BASE32", "^[A-Z2-7]+$", BASE32, 32),
+    ("base32", "^[a-z2-7]+$", BASE32.lower(), 32),
+    ("BASE36", "^[A-Z0-9]+$", BASE36.upper(), 36),
+    ("base36", "^[a-z0-9]+$", BASE36, 36),
     ("base62", "^[A-Za-z0-9]+$", BASE64[:62], 62),
     ("base64", "^[A-Za-z0-9+/_-]+$", BASE64, 64),
 ]
+#: Encodings by number; groups count from 0 by encoding, then by length class.
+NUMBERED = ["base62", "base64", "hex", "HEX", "BASE32", "base32", "BASE36", "base36"]
 
 SPANS = "array<struct<at:int,order:int,kind:string,end:int>>"
 BLOCK = 256
@@ -55,8 +61,7 @@ BLOCK = 256
 #: Least lengths of the length classes.
 LENGTHS = [20, 24, 32, 48, 64, 128]
 BINS = 400  # of -ln p, each a tenth wide
-TEST_LEVEL = 0.001
-WORD_CHANGE = 0.1  # share of class changes that word-like tokens stay below
+FEW_CHANGES = 1.645  # standard deviations below the mean: one random token in twenty
 
 
 def spans_of(text: Column, pattern: str, group: int, least: int, kind: str) -> Column:
@@ -102,14 +107,23 @@ def _normal_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(F.least(1.5976 * z + 0.07056 * z * z * z, F.lit(700.0))))
 
 
+def inferred(token: Column) -> Column:
+    """Name of the first encoding that fits."""
+    encoding = F.lit(None).cast("string")
+    for name, pattern, *_ in reversed(ENCODINGS):
+        encoding = F.when(token.rlike(pattern), name).otherwise(encoding)
+    return encoding
+
+
 def randomness(token: Column) -> Column:
     """Struct (encoding, p): the p-value of the battery under random draws from the inferred alphabet."""
-    encoding, alphabet, size = F.lit(None).cast("string"), F.lit(""), F.lit(0)
-    for name, pattern, symbols, n in reversed(ENCODINGS):
-        fits = token.rlike(pattern)
-        encoding = F.when(fits, name).otherwise(encoding)
-        alphabet = F.when(fits, symbols).otherwise(alphabet)
-        size = F.when(fits, n).otherwise(size)
+
+    def spec(encoding: Column) -> Column:
+        alphabet, size = F.lit(""), F.lit(0)
+        for name, _, symbols, n in ENCODINGS:
+            alphabet = F.when(encoding == name, symbols).otherwise(alphabet)
+            size = F.when(encoding == name, n).otherwise(size)
+        return F.struct(encoding.alias("encoding"), alphabet.alias("alphabet"), size.cast("double").alias("size"))
 
     def tested(x: Column) -> Column:
         # values from 0; the two spellings of the last base64 symbols count as one
@@ -156,55 +170,76 @@ def randomness(token: Column) -> Column:
         )
         return F.least(F.lit(1.0), 3 * worst)
 
-    spec = F.struct(encoding.alias("encoding"), alphabet.alias("alphabet"), size.cast("double").alias("size"))
-    return let(spec, lambda x: F.struct(x.encoding.alias("encoding"), tested(x).alias("p")))
+    return let(let(inferred(token), spec), lambda x: F.struct(x.encoding.alias("encoding"), tested(x).alias("p")))
+
 
+def _marks(symbols: str, n: int) -> list[float]:
+    """Shares of lower case, upper case, digits and signs in an alphabet."""
+    kinds = [str.islower, str.isupper, str.isdigit]
+    counts = [sum(map(kind, symbols)) for kind in kinds]
+    return [c / n for c in [*counts, n - sum(counts)]]
 
-def word_likeness(token: Column) -> Column:
-    """-ln of the bound on the chance that a word-like token changes class as often as this one."""
+
+def changes_often(token: Column, encoding: Column) -> Column:
+    """Does the token change class about as often as draws from its alphabet, and at least once?"""
     marks = F.transform(
         F.split(token, ""),
         lambda c: F.when(c.between("a", "z"), 0).when(c.between("A", "Z"), 1).when(c.between("0", "9"), 2).otherwise(3),
     )
 
-    def bound(m: Column) -> Column:
+    def enough(m: Column) -> Column:
         n = F.size(m) - 1
         changes = F.aggregate(
             F.zip_with(F.slice(m, 2, n), F.slice(m, 1, n), lambda a, b: (a != b).cast("int")), F.lit(0), lambda a, b: a + b
         )
-        share = changes / n
-        rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - WORD_CHANGE))).otherwise(0.0)
-        return F.when(share > WORD_CHANGE, n * (share * F.log(share / WORD_CHANGE) + rest)).otherwise(0.0)
+        least = F.lit(None).cast("double")
+        for name, _, symbols, size in ENCODINGS:
+            shares = _marks(symbols, size)
+            two, three = sum(p**2 for p in shares), sum(p**3 for p in shares)
+            # changes of neighbouring places are not independent
+            var = n * two * (1 - two) + 2 * (n - 1) * (three - two**2)
+            least = F.when(encoding == name, n * (1 - two) - FEW_CHANGES * F.sqrt(var)).otherwise(least)
+        return (changes > 0) & (changes >= least)
 
-    return let(marks, bound)
+    return let(marks, enough)
 
 
-def _length_class(token: Column) -> Column:
-    out = F.lit(0)
+def _group(token: Column, encoding: Column) -> Column:
+    """Number of the encoding and length class."""
+    out, number = F.lit(0), F.lit(0)
     for i, n in enumerate(LENGTHS):
         out = F.when(F.length(token) >= n, i).otherwise(out)
-    return out
+    for i, name in enumerate(NUMBERED):
+        number = F.when(encoding == name, i).otherwise(number)
+    return number * len(LENGTHS) + out
 
 
 def discovery_limits(docs: DataFrame, text: str = "text", fdr: float = 0.01) -> dict[int, float]:
-    """Least -ln p of each length class that passes the Benjamini-Hochberg step over the whole corpus.
+    """Of each encoding and length class with a random token, the p-value of the battery that one must be above.
 
-    At most ``BINS`` counts per length class are shuffled from each task.
+    The Benjamini-Hochberg step over the candidates of the whole corpus rejects
+    those at or below it; it is 0 if none is.  At most ``BINS`` counts per group
+    are shuffled from each task.
     """
     tokens = docs.select(F.explode(F.regexp_extract_all(text_or_empty(text), F.lit(CANDIDATE), 0)).alias("token"))
+    tested = tokens.select("token", randomness(F.col("token")).alias("r"))
     bins = (
-        tokens.select(
-            _length_class(F.col("token")).alias("class"),
-            F.least(F.floor(word_likeness(F.col("token")) * 10), F.lit(BINS)).cast("int").alias("bin"),
+        tested.select(
+            _group(F.col("token"), F.col("r.encoding")).alias("group"),
+            F.least(F.floor(-F.log("r.p") * 10), F.lit(BINS)).cast("int").alias("bin"),
+            changes_often(F.col("token"), F.col("r.encoding")).cast("int").alias("mixed"),
         )
-        .groupBy("class", "bin")
-        .agg(F.count("*").alias("n"))
+        .groupBy("group", "bin")
+        .agg(F.count("*").alias("n"), F.sum("mixed").alias("mixed"))
     )
-    over = Window.partitionBy("class")
+    over = Window.partitionBy("group")
     ranked = bins.withColumn("m", F.sum("n").over(over)).withColumn("k", F.sum("n").over(over.orderBy(F.desc("bin"))))
-    # p of a bin is at most exp(-bin / 10); the k tokens from it on are kept if that is below k / m of the rate
-    passed = ranked.filter((F.col("bin") > 0) & (F.exp(-F.col("bin") / 10) <= F.col("k") / F.col("m") * fdr))
-    return {r["class"]: r["low"] / 10 for r in passed.groupBy("class").agg(F.min("bin").alias("low")).collect()}
+    # p of a bin is at most exp(-bin / 10); the k tokens from it on are rejected if that is below k / m of the rate
+    rejects = (F.col("bin") > 0) & (F.exp(-F.col("bin") / 10) <= F.col("k") / F.col("m") * fdr)
+    lows = ranked.withColumn("low", F.min(F.when(rejects, F.col("bin"))).over(over))
+    kept = lows.filter((F.col("mixed") > 0) & (F.col("low").isNull() | (F.col("bin") < F.col("low"))))
+    rows = kept.groupBy("group").agg(F.min("low").alias("low")).collect()
+    return {r["group"]: 0.0 if r["low"] is None else math.exp(-r["low"] / 10) for r in rows}
 
 
 def find_secrets(
@@ -216,9 +251,9 @@ def find_secrets(
     """Add ``spans``: array of (at, order, kind, end) by start, then kind, in code points, end exclusive.
 
     Pattern spans (assign, access, hex) are all leftmost non-overlapping
-    matches; ``random`` spans are candidates that pass the battery and the
-    discovery limits (by default those of ``docs`` itself) and touch no pattern
-    span.
+    matches; ``random`` spans are candidates whose battery is above the
+    discovery limits (by default those of ``docs`` itself), that change class
+    often and touch no pattern span.
 
     Null and empty texts have no spans.  Repeated rows are judged alike and all
     stay; an input column named spans is replaced.  An empty table stays empty.
@@ -233,10 +268,16 @@ def find_secrets(
         clear = ~F.exists(found, lambda b: (b.at < s.end) & (s.at < b.end))
 
         def passes(token: Column) -> Column:
-            limit = F.lit(math.inf)
-            for c, low in limits.items():
-                limit = F.when(_length_class(token) == c, low).otherwise(limit)
-            return (word_likeness(token) >= limit) & (randomness(token).p >= TEST_LEVEL)
+            def above(x: Column) -> Column:
+                limit = F.lit(math.inf)
+                for g, low in limits.items():
+                    limit = F.when(x.group == g, low).otherwise(limit)
+                return (limit < 1) & changes_often(token, x.encoding) & (randomness(token).p > limit)
+
+            def grouped(encoding: Column) -> Column:
+                return F.struct(encoding.alias("encoding"), _group(token, encoding).alias("group"))
+
+            return let(let(inferred(token), grouped), above)
 
         return clear & let(F.substring(t, s.at + 1, s.end - s.at), passes)
 

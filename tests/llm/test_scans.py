@@ -91,6 +91,25 @@ def test_false_discovery_limit_counts_all_candidates(spark):
     assert S.discovery_limits(H.empty(spark)) == {}
 
 
+def test_secrets_of_every_encoding_are_found(spark):
+    rnd = random.Random(6)
+    alphabets = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "BASE32": S.BASE32, "base32": S.BASE32.lower(),
+                 "BASE36": S.BASE36.upper(), "base36": S.BASE36, "base62": string.ascii_letters + string.digits,
+                 "base64": string.ascii_letters + string.digits + "+/"}
+    cases = [(e, n) for e in alphabets for n in (20, 32, 40, 64)]
+    texts, of = [], []
+    for e, n in cases:
+        texts += [f"see {''.join(rnd.choices(alphabets[e], k=n))} here" for _ in range(60)]
+        of += [(e, n)] * 60
+    words = ["someVeryLongCamelCaseIdentifierName", "internationalizationcommittee", "december2019newsletters",
+             "images/2019/05/photo-12345", "AVERYLONGCONSTANTNAME2"]
+    docs = H.documents(spark, texts + [f"see {w} here" for w in words * 20])
+    rows = S.find_secrets(docs).select("doc_id", "spans").orderBy("doc_id").collect()
+    found = Counter(c for r, c in zip(rows, of) if any((s.at, s.end) == (4, 4 + c[1]) for s in r.spans))
+    assert not any(r.spans for r in rows[len(of):])
+    assert min(found[c] for c in cases) >= 51, found
+
+
 def test_redaction(spark):
     texts = ["é password=abcdef1 and AKIA" + "Z" * 16 + " end", "token=" + "a1" * 20, None, "plain"]
     docs = S.find_secrets(H.documents(spark, texts), limits={})
