@@ -6,10 +6,12 @@ all documents of a language.  A document fails if it is long enough for its
 histogram to be telling and the Jensen-Shannon distance to its reference is
 over a limit; plain length and repetition rules come before.
 
-Only DataFrame functions.  Two passes over the text, no shuffle of it: the
-first sums histograms per language, the second compares.  Languages with less
-than one document in a hundred use the reference of the whole corpus, so there
-are at most a hundred references whatever the language column holds.
+Only DataFrame functions.  Two passes over the text: the first sums histograms
+per language, the second compares.  Every language has its own reference,
+whatever its share, if that holds enough characters; without one (or without a
+language) nothing is compared.  References are broadcast, so the text is not
+shuffled; beyond MOST_BROADCAST of them, the documents of the rarer languages
+are joined by language.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ COMMON_WORDS = {
 }
 #: Character classes after a-z: what does not belong to them.
 CLASSES = ["[^A-Z]+", "[^0-9]+", "[^\\x09-\\x0D\\x20]+", "[^.,;:!?'\"()-]+", "[^#*$%&|<>@^~`_=+/\\\\{}\\[\\]]+"]
-MIN_SHARE = 0.01
+#: Least characters of a language's documents for a reference.
+MIN_REFERENCE = 2000
+MOST_BROADCAST = 1000
 
 
 @dataclass(frozen=True)
@@ -139,8 +143,9 @@ def distance(counts: Column, reference: Column) -> Column:
 def language_references(docs: DataFrame, rules: QualityRules, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, classes, words): summed histograms per language, and of the whole corpus under null.
 
-    At most 1 / MIN_SHARE languages have a row of their own.  Only sums of as
-    many numbers as there are bins are shuffled.
+    Languages with less than MIN_REFERENCE characters, and documents without a
+    language, have no row of their own.  Only sums of as many numbers as there
+    are bins are shuffled.
     """
     t, code = text_or_empty(text), F.coalesce(F.col(lang), F.lit(""))
     rows = docs.select(code.alias("lang"), let(_cut(t), lambda x: histograms(t, code, x.words, x.rest, rules)).alias("h"))
@@ -152,9 +157,9 @@ def language_references(docs: DataFrame, rules: QualityRules, text: str = "text"
     per_lang = per_lang.cube("lang").agg(*(F.sum(c).alias(c) for c in per_lang.columns if c != "lang"))
     per_lang = stored(per_lang, "languages")  # read several times below
     # the cube's null row is the whole corpus (languages are never null here); a bin that no row has is null
-    found = [r.asDict() for r in per_lang.filter("lang is null").collect()]
-    n = found[0]["n"] if found else 0
-    return per_lang.filter(F.col("lang").isNull() | (F.col("n") >= F.lit(MIN_SHARE) * n)).select(
+    characters = sum((F.col(f"c{i}") for i in range(1, bins)), F.col("c0"))
+    own = (F.col("lang") != "") & (characters >= MIN_REFERENCE)
+    return per_lang.filter(F.col("lang").isNull() | own).select(
         "lang",
         F.array_compact(F.array(*(f"c{i}" for i in range(bins)))).alias("classes"),
         F.when(F.col("lang").isNotNull(), F.array_compact(F.array(*(f"w{i}" for i in range(most)))))
@@ -215,6 +220,22 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 RESULTS = [*MEASURES, "base_failed", "class_distance", "word_distance", "kept"]
 
 
+def _with_references(docs: DataFrame, refs: DataFrame, code: Column) -> DataFrame:
+    """``docs`` with the reference (__lang, __ref) of their language, null if there is none."""
+    few = refs.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    if few:
+        return docs.join(F.broadcast(refs), code == F.col("__lang"), "left")
+    size = F.aggregate("__ref.classes", F.lit(0).cast("long"), lambda a, b: a + b)
+    common = refs.orderBy(size.desc(), "__lang").limit(MOST_BROADCAST)
+    names = F.broadcast(common.select("__lang"))
+    rest = refs.join(names, "__lang", "left_anti")
+    # a rarer language has less than one character in MOST_BROADCAST
+    near = docs.join(F.broadcast(common), code == F.col("__lang"))
+    rare = docs.filter(code != "").join(names, code == F.col("__lang"), "left_anti").join(rest, code == F.col("__lang"), "left")
+    without = docs.filter(code == "").select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in refs.schema))
+    return near.unionByName(rare).unionByName(without)
+
+
 def judge(
     docs: DataFrame,
     rules: QualityRules | None = None,
@@ -225,33 +246,23 @@ def judge(
     """Add the measures, base_failed, both distances and kept to every row.
 
     ``references`` defaults to those of ``docs`` itself.  Null and empty texts
-    have no words and fail the base rules; a null or rare language is compared
-    with the whole corpus, by classes alone.  A distance that cannot be taken
-    (too short a text, or no reference) is null and rejects nothing.  Repeated
+    have no words and fail the base rules; a null or empty language has no
+    reference, nor has one with too few characters.  A distance that cannot be
+    taken (too short a text, or no reference) is null and rejects nothing.  Repeated
     rows are judged alike and all stay; input columns that carry a name of the
     result are replaced.  An empty table stays empty.
     """
     rules = rules or QualityRules()
     if references is None:
         references = language_references(docs, rules, text, lang)
-    refs = references.select(
-        F.coalesce("lang", F.lit("\0all")).alias("__lang"), F.struct("classes", "words").alias("__ref")
+    refs = references.filter(F.col("lang").isNotNull() & (F.col("lang") != "")).select(
+        F.col("lang").alias("__lang"), F.struct("classes", "words").alias("__ref")
     )
     kept_columns = [c for c in docs.columns if c not in RESULTS]
-    known = F.broadcast(refs)  # at most 1 / MIN_SHARE + 1 rows
-    corpus = refs.filter(F.col("__lang") == "\0all").select(F.col("__ref").alias("__all"))
-    whole = corpus.first()  # one row of a few numbers
-    fallback = (
-        F.struct(
-            F.lit(list(whole["__all"]["classes"])).cast("array<long>").alias("classes"),
-            F.array().cast("array<long>").alias("words"),
-        )
-        if whole
-        else F.struct(F.array().cast("array<long>").alias("classes"), F.array().cast("array<long>").alias("words"))
-    )
     t, code = text_or_empty(text), F.coalesce(F.col(lang), F.lit(""))
-    joined = docs.select(*kept_columns).join(known, code == F.col("__lang"), "left")
-    ref = F.coalesce("__ref", fallback)
+    joined = _with_references(docs.select(*kept_columns), refs, code)
+    none = F.array().cast("array<long>")
+    ref = F.coalesce("__ref", F.struct(none.alias("classes"), none.alias("words")))
 
     def judged(c: Column) -> Column:
         return let(

@@ -220,6 +220,23 @@ def test_rare_languages_use_the_whole_corpus(spark):
     assert sum(refs["en"].words) == 290 * 5
 
 
+@pytest.mark.parametrize("others", [880, 1200])  # 1.1 % and 0.8 % of the rows
+def test_rare_languages_have_their_own_reference(spark, others, monkeypatch):
+    rnd = random.Random(7)
+    russian = [" ".join("".join(rnd.choices("оеаинтсрвлкм", k=6)) for _ in range(150)) + "." for _ in range(9)]
+    odd = [" ".join("%$#" + str(i) for i in range(300)), prose(rnd, "es", 300)]
+    german = [prose(rnd, "de", 300) for _ in range(6)]
+    mixed = [*german, odd[0], odd[1], *russian, russian[0], *[prose(rnd, "en", 200)] * others]
+    langs = ["de"] * 8 + ["ru"] * 9 + [None] + ["en"] * others
+    docs = H.documents(spark, mixed, langs)
+    for most in (1000, 1):  # by broadcast, and by language
+        monkeypatch.setattr(Q, "MOST_BROADCAST", most)
+        rows = Q.judge(docs, Q.QualityRules(max_repeat_percent=100)).orderBy("doc_id").collect()
+        assert len(rows) == len(langs)
+        assert all(r.kept for r in rows[:6] + rows[8:18]) and not any(r.kept for r in rows[6:8])
+        assert rows[7].word_distance > 0.3 and rows[8].class_distance < 0.1 and rows[17].class_distance is None
+
+
 def test_distance():
     # by hand: disjoint histograms are 1 apart, equal ones 0
     import math
