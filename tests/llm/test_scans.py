@@ -157,6 +157,30 @@ def test_license_spans_survive_small_edits(spark):
     assert 0.6 <= rows[1].score < 1 and rows[2].score == 0 and len(rows[4].spans) == 2
 
 
+def test_notices_beside_the_given_lines(spark):
+    cases = [
+        ("Licensed under CC BY 4.0", "cc-by-4.0"),
+        ("Licensed under CC BY-SA 4.0", "cc-by-sa-4.0"),
+        ("Licensed under CC BY-NC 4.0", "cc-by-nc-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by-4.0"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl-2.0"),
+        ("Licensed under the Apache License, Version 1.1", "apache-1.1"),
+        ("This work is licensed under the GNU General Public License, version 2", "gpl-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3", "lgpl-3.0"),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+         "Public License as published by the Free Software Foundation; either version 2.1 of the License", "lgpl-2.1"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+         "Public License as published by the Free Software Foundation, either version 3 of the License", "agpl-3.0"),
+        ("Licensed under the ISC License", "isc"),
+        (C._BSD_2 + C._BSD_3 + C._BSD_END, "bsd-3-clause"),
+        (C._BSD_2 + C._BSD_END, "bsd-2-clause"),
+    ]
+    rows = C.scan_licenses(H.documents(spark, [f"one two {t} three" for t, _ in cases])).orderBy("doc_id").collect()
+    assert [sorted({s.label for s in r.spans}) for r in rows] == [[label] for _, label in cases]
+
+
 def test_license_scan_is_native_and_shuffles_hits_only(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = plan_text(C.scan_licenses(docs))
