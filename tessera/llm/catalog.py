@@ -94,6 +94,12 @@ def q_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@register("ngram_jaccard_links")
+def q_ngram_jaccard_links(spark: SparkSession, sf: str) -> DataFrame:
+    out = N.near_duplicates(documents(spark, sf), size=4, percent=85, count_links=True)
+    return out.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 @register("op6_license_scan")
 def q_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return C.scan_licenses(documents(spark, sf)).drop("spans")

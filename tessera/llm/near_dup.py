@@ -27,6 +27,7 @@ documents) would count as equal.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -356,13 +357,21 @@ def _shingles_of(sets: DataFrame) -> DataFrame:
 
 
 def opened_links(
-    tokens: DataFrame, leaders: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
+    tokens: DataFrame,
+    leaders: DataFrame,
+    groups: DataFrame | None,
+    sets: DataFrame,
+    percent: int,
 ) -> DataFrame:
-    """(a, b) of nodes that link and are not linked yet, as many as join their groups.
+    """(a, b, n) of nodes that link and are not linked yet, as many as join their groups; n is 0.
 
     Of two opened blocks, links between groups that other links there have joined
     are passed over: at most one link per node, not one per pair.
 
+    Without ``groups`` each node is its own and no pair is passed over: besides
+    the links that join, rows (a, a, n) count the links of node a in two opened
+    blocks, so that their sum is the exact number of nodes it links with.
+
     ``leaders``: (a, b) of each node and the leader it is likest; ``groups``:
     (key, root) of the nodes linked so far.  Nodes that share a token with
     another linked group are partitioned into blocks of up to BLOCK nodes of the
@@ -372,6 +381,9 @@ def opened_links(
     those in most groups first: a passage that thousands of groups share is not
     among the rest.  Pairs of blocks that meet in the matrix are opened.
     """
+    count = groups is None
+    if count:
+        groups = sets.select("key", F.col("key").alias("root"))
     sized = stored(
         tokens.join(groups, "key", "left").select("token", "key", F.coalesce("root", "key").alias("grp")), "grouped"
     )
@@ -400,7 +412,8 @@ def opened_links(
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for left, right in zip(batch["x"], batch["y"]):
+            for left, right, same in zip(batch["x"], batch["y"], batch["same"]):
+                counts: Counter[int] = Counter()
                 right = [(m["key"], m["grp"], np.frombuffer(m["hashes"], _U)) for m in right]
                 union = np.unique(np.concatenate([s for _, _, s in right]))
                 joined: dict[int, int] = {}  # groups that links of this pair of blocks have joined
@@ -418,15 +431,21 @@ def opened_links(
                         continue  # no member of the block can reach the similarity
                     for key, grp, s in right:
                         a, b = root(q["grp"]), root(grp)
-                        if a != b and links(x, s, percent):
+                        if (a == b and not count) or key == q["key"] or not links(x, s, percent):
+                            continue
+                        if count:
+                            # two nodes of one block meet twice
+                            counts.update([q["key"]] if same else [q["key"], key])
+                        if a != b:
                             joined[a] = b
-                            found.append((q["key"], key))
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                            found.append((q["key"], key, 0))
+                found += [(key, key, n) for key, n in counts.items()]
+            yield pd.DataFrame(found, columns=["a", "b", "n"], dtype="int64")
 
     left = blocks.select("block", F.col("held").alias("x"))
     right = blocks.select(F.col("block").alias("to"), F.col("held").alias("y"))
-    opened = pairs.join(left, "block").join(right, "to").select("x", "y")
-    out = stored(opened.mapInPandas(compare, "a long, b long"), "opened")
+    opened = pairs.join(left, "block").join(right, "to").select("x", "y", (F.col("block") == F.col("to")).alias("same"))
+    out = stored(opened.mapInPandas(compare, "a long, b long, n long"), "opened")
     for table in (sized, nodes, shingles, rare, pairs, blocks):
         drop_stored(table)
     return out
@@ -436,10 +455,19 @@ def opened_links(
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    count_links: bool = False,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, component, h1, h2) of every row of ``docs``.
 
+    With ``count_links`` also n_links, the exact number of other distinct sets
+    that the row's set links with; every pair of the opened blocks is then
+    compared.  Without it, only links that join components are.
+
     A document's set holds its distinct shingles of ``size`` words (A-Z in lower
     case); fewer words are one shingle.  Documents link when 100 * shared >=
     ``percent`` * united.  ``component_id`` is the smallest id reachable by
@@ -459,21 +487,32 @@ def near_duplicates(
     tokens = stored(shared_tokens(signed), "shared-tokens")
     sets = stored(node_sets(rows, signed, tokens, size), "node-sets")
     leaders = stored(best_leaders(tokens), "leaders")
-    first = stored(linked_pairs(leaders, sets, percent), "leader-links")
-    groups = components(first)
-    rest = opened_links(tokens, leaders, groups, sets, percent)
-    every = stored(first.select("a", "b").union(rest.select("a", "b")), "links")
-    roots = components(every)
-    for table in (tokens, sets, leaders, first, groups, rest, every):
+    done = [tokens, sets, leaders]
+    if count_links:
+        every = opened_links(tokens, leaders, None, sets, percent)
+        numbers = stored(every.filter("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n_links")), "link-counts")
+    else:
+        first = stored(linked_pairs(leaders, sets, percent), "leader-links")
+        groups = components(first)
+        rest = opened_links(tokens, leaders, groups, sets, percent)
+        every = stored(first.select("a", "b").union(rest.select("a", "b")), "links")
+        done += [first, groups, rest]
+    roots = components(every.filter("a != b"))
+    for table in (*done, every):
         drop_stored(table)
 
     nodes = signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("low")).join(roots, "key", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "key"))
     lowest = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = nodes.join(lowest, "root").select("key", "component_id", F.col("root").alias("component"))
+    if count_links:
+        ids = ids.join(numbers, "key", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
     found = signed.filter("n > 0").join(ids, "key")
     alone = signed.filter("n = 0").withColumns({"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")})
+    if count_links:
+        alone = alone.withColumn("n_links", F.lit(0).cast("long"))
     result = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "component", "h1", "h2"]
+    result += ["n_links"] if count_links else []
     return found.select(*result).unionByName(alone.select(*result))
 
 

@@ -168,6 +168,27 @@ def test_components_are_exact(spark, size, percent):
         assert order(map(tuple, found)) == order(expected)
 
 
+@pytest.mark.parametrize("size,percent", [(4, 85)])
+def test_links_between_distinct_sets_are_counted(spark, size, percent):
+    rnd = random.Random(3)
+    base = [f"v{rnd.randrange(500)}" for _ in range(150)]
+    family = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(0, 150)]  # more than two blocks
+    more = H.documents(spark, family).withColumn("doc_id", F.col("doc_id") + 10_000)
+    docs = planted(spark, size).unionByName(more).unionByName(H.awkward(spark))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = sorted({H.shingles(t, size) for _, t in rows} - {frozenset()}, key=len)
+    n_links = Counter()
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            shared = len(a & b)
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                n_links.update([a, b])
+    assert sum(n_links.values()) >= 150 * 149
+    expected = [(i, n_links[H.shingles(t, size)], c) for (i, t), c in zip(rows, H.components(rows, size, percent))]
+    found = near_duplicates(docs, size, percent, count_links=True).select("doc_id", "n_links", "component_id").collect()
+    assert order(map(tuple, found)) == order(expected)
+
+
 def test_one_of_each_stays(spark):
     docs = planted(spark, 9).unionByName(H.awkward(spark).withColumn("doc_id", F.col("doc_id") + 10_000))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
