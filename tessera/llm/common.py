@@ -82,3 +82,36 @@ def content_keys(doc_id: str | Column, text: Column) -> tuple[Column, Column]:
     """
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.xxhash64(c, text), F.xxhash64(text, F.lit("b"), c)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: A table of one row per key is broadcast up to so many bytes, and joined in so many salted parts beyond.
+BROADCAST_BYTES = 16 << 20
+SALTS = 16
+
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, salt: Column) -> DataFrame:
+    """``rows`` with the other columns of ``per_key`` (a stored table, one row per ``key``; nulls match).
+
+    ``per_key`` is measured first and broadcast if it is small.  Otherwise the
+    rows of a key are dealt to ``SALTS`` parts by ``salt`` (any long), each of which
+    meets a copy of the key's row, so that no key is one task.
+    """
+    held = F.octet_length(F.col(key).cast("string"))
+    n, width = per_key.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    other = unused(rows, "other_" + key)
+    table = per_key.withColumnRenamed(key, other)
+    if 64 * n + width <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), F.col(key).eqNullSafe(F.col(other)), "left").drop(other)
+    mine, theirs = unused(rows, "salt"), unused(rows, "other_salt")
+    table = table.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn(mine, F.pmod(salt, F.lit(SALTS)).cast("int"))
+    same = F.col(key).eqNullSafe(F.col(other)) & (F.col(mine) == F.col(theirs))
+    return dealt.join(table, same, "left").drop(other, mine, theirs)
