@@ -36,6 +36,7 @@ from tessera.operators.survey import (
     time_usage_grouped_sql,
     time_usage_grouped_typed,
     time_usage_summary,
+    time_usage_summary_arrays,
     time_usage_summary_typed,
 )
 from tessera.operators.terms import (
@@ -46,12 +47,12 @@ from tessera.operators.terms import (
     term_doc_count,
     term_hits,
 )
-from tessera.plans.pipelines import pipeline_clusters, pipeline_survey, pipeline_terms
+from tessera.plans.pipelines import pipeline_clusters, pipeline_survey, pipeline_survey_arrays, pipeline_terms
 from tessera.session import materialize, release
 from tessera.sources.articles import parse_articles, read_articles
 from tessera.sources.lines import read_lines
 from tessera.sources.postings import parse_postings, read_postings
-from tessera.sources.survey import read_survey, survey_row, survey_schema
+from tessera.sources.survey import read_survey, read_survey_arrays, survey_arrays, survey_row, survey_schema
 
 __version__ = "0.1.0"
 
@@ -61,11 +62,12 @@ __all__ = [
     "column_sum", "converged", "first_tag_index", "group_hours", "grouped_postings",
     "inverted_index", "kmeans", "kmeans_step", "matched_terms", "materialize", "mentions_term",
     "nearest_center", "nearest_distance", "parse_articles", "parse_postings", "pipeline_clusters",
-    "pipeline_survey", "pipeline_terms", "point_distance", "posting_vectors",
+    "pipeline_survey", "pipeline_survey_arrays", "pipeline_terms", "point_distance", "posting_vectors",
     "question_answer_pairs", "questions", "rank_terms_count", "rank_terms_index",
-    "rank_terms_scan", "read_articles", "read_lines", "read_postings", "read_survey", "release",
+    "rank_terms_scan", "read_articles", "read_lines", "read_postings", "read_survey",
+    "read_survey_arrays", "release",
     "sample_fixed", "sample_per_group", "sample_vectors", "scored_postings", "sex_label",
-    "survey_row", "survey_schema", "term_doc_count", "term_hits", "time_usage_grouped",
+    "survey_arrays", "survey_row", "survey_schema", "term_doc_count", "term_hits", "time_usage_grouped",
     "time_usage_grouped_sql", "time_usage_grouped_typed", "time_usage_summary",
-    "time_usage_summary_typed", "weighted_vectors", "working_status",
+    "time_usage_summary_arrays", "time_usage_summary_typed", "weighted_vectors", "working_status",
 ]

@@ -79,6 +79,21 @@ def time_usage_summary(
     return labour_force(df).select(*cols)
 
 
+def time_usage_summary_arrays(names: Sequence[str], df: DataFrame) -> DataFrame:
+    """:func:`time_usage_summary` over an array table (``telfs``, ``tesex``, ``teage``, ``values`` named by ``names``).
+
+    The sums are the same trees of ``+``, over the array's elements.  The
+    status is computed inside a lambda, which Spark does not fuse: a projection
+    fused with its neighbours is one method for all elements, too long to be
+    compiled to machine code, and on its own it is cut into many.
+    """
+    place = {n: F.get("values", F.lit(i)) for i, n in enumerate(names)}
+    primary, work, other = ([place[n] for n in group] for group in classify_columns(names))
+    _, *columns = summary_columns(primary, work, other)
+    status = F.get(F.transform(F.array("telfs"), lambda t: working_status(t)), F.lit(0))
+    return labour_force(df).select(status.alias("working"), *columns)
+
+
 def _round1(c: Column, via_decimal: bool) -> Column:
     if via_decimal:
         # round the decimal expansion, not the binary double: stable across

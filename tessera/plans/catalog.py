@@ -35,7 +35,7 @@ from tessera.session import delete_tree, release, shared_dir
 from tessera.sources import tables as S
 from tessera.sources.articles import parse_articles, read_articles
 from tessera.sources.postings import parse_postings, read_postings
-from tessera.sources.survey import read_survey
+from tessera.sources.survey import read_survey, read_survey_arrays, survey_arrays
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -794,6 +794,11 @@ def q_pipeline_survey_wide(spark: SparkSession, sf: str) -> DataFrame:
     return PL.pipeline_survey(S.wide_survey_table(spark, sf), via_decimal=True)
 
 
+@register("pipeline_survey_arrays", _wide_sql())
+def q_pipeline_survey_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    return PL.pipeline_survey_arrays(*survey_arrays(S.wide_survey_table(spark, sf)), via_decimal=True)
+
+
 # -------------------------------------------------- defaults, quirks, files ----
 
 
@@ -959,3 +964,13 @@ def q_read_survey_files(spark: SparkSession, sf: str) -> DataFrame:
         return PL.pipeline_survey(read_survey(spark, path)[1], via_decimal=True)
 
     return _through_files(spark, _survey(spark, sf), "survey", use, header=True)
+
+
+@register("read_survey_arrays_files", GROUPED_SQL)
+def q_read_survey_arrays_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from files read as an array table."""
+
+    def use(path: str) -> DataFrame:
+        return PL.pipeline_survey_arrays(*read_survey_arrays(spark, path), via_decimal=True)
+
+    return _through_files(spark, _survey(spark, sf), "survey", use, header=True)

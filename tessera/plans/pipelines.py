@@ -163,3 +163,8 @@ def pipeline_survey(df: DataFrame, via_decimal: bool = False) -> DataFrame:
     primary, work, other = U.classify_columns(df.columns)
     summary = U.time_usage_summary(primary, work, other, df)
     return U.time_usage_grouped(summary, via_decimal)
+
+
+def pipeline_survey_arrays(names: Sequence[str], df: DataFrame, via_decimal: bool = False) -> DataFrame:
+    """:func:`pipeline_survey` over an array table, for surveys of hundreds of columns."""
+    return U.time_usage_grouped(U.time_usage_summary_arrays(names, df), via_decimal)

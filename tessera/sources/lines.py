@@ -23,3 +23,15 @@ def require(ok: Column, line: Column, what: str) -> Column:
     text = F.coalesce(F.substring(line, 1, 80), F.lit("null"))
     error = F.raise_error(F.concat(F.lit(f"malformed {what} line: "), text))
     return F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(error.cast("boolean"))
+
+
+def computed_once(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with further columns, each computed once per row however often it is read.
+
+    Catalyst copies an expression into every filter and column that reads it.
+    It does not copy across a generator, so each value is the only element of an
+    array that is unfolded; the rows stay in one generated method.
+    """
+    for name, value in values.items():
+        df = df.select("*", F.explode(F.array(value)).alias(name))
+    return df

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.lines import read_lines, require
+from tessera.sources.lines import computed_once, read_lines, require
 
 POSTING_SCHEMA = (
     "posting_type int, id bigint, accepted_answer bigint, parent_id bigint, "
@@ -55,11 +55,11 @@ def parse_postings(lines: DataFrame, column: str = "value", strict: bool = True)
     ``strict`` fails the job on a malformed line (bad integer, too few
     fields), like the reference; the check is a filter, so it holds whichever
     columns are read.  Otherwise bad integers become null and a ``malformed``
-    flag marks the line.  The line is split once, in its own projection, and
-    every field is read from that array.
+    flag marks the line.  The line is split once; the check and every column
+    read that array.
     """
     v = F.col("_line")
-    split = lines.select(F.col(column).alias("_line"), F.split(F.col(column), ",", -1).alias("_f"))
+    split = computed_once(lines.select(F.col(column).alias("_raw")), _line=F.col("_raw"), _f=F.split("_line", ",", -1))
     cols, ok = posting_columns(F.col("_f"), strict), well_formed(v, F.col("_f"))
     if strict:
         return split.where(require(ok, v, "posting")).select(*cols)

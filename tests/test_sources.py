@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from tessera.sources.articles import parse_articles, read_articles
 from tessera.sources.lines import read_lines
 from tessera.sources.postings import parse_postings, read_postings
-from tessera.sources.survey import read_survey, survey_row, survey_schema
+from tessera.sources.survey import read_survey, read_survey_arrays, survey_arrays, survey_row, survey_schema
 from tessera.sources.tables import ARTICLE_LEAD, ARTICLE_TRAIL
 
 
@@ -185,3 +185,84 @@ def test_column_pruning_reaches_the_reader(spark, tmp_dir):
     from tests.conftest import plan_text
 
     assert "ReadSchema: struct<a:double>" in plan_text(df.select("a"))
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_a_line_is_split_once(spark, tmp_dir, strict):
+    postings = read_postings(spark, write(os.path.join(tmp_dir, "p.csv"), POSTING_LINES), strict)
+    for use in (postings, postings.where("score > 3 and id > 5"), postings.select("id", "score", "parent_id")):
+        assert optimized(use).count("split(") == 1
+    articles = read_articles(spark, write(os.path.join(tmp_dir, "w.dat"), [record("a", "b")]), strict)
+    assert optimized(articles).count("instr(") == 1
+
+
+def test_a_survey_line_is_split_once(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "s.csv"), ["tucaseid,telfs,tesex,teage,t010101", "a,1,2,3,4"])
+    for df in (read_survey(spark, p)[1], read_survey_arrays(spark, p)[1]):
+        assert optimized(df).count("split(") == 1 and optimized(df).count("transform(slice(") == 1
+
+
+def test_a_computed_line_is_computed_once(spark):
+    df = spark.range(5).selectExpr("concat_ws(',', '1', id, '', '', '3') AS value")
+    assert optimized(parse_postings(df)).count("concat_ws(") <= 2  # twice where the plan shows it twice
+    assert sorted(r.id for r in parse_postings(df).collect()) == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_only_the_first_line_of_a_file_is_its_header(spark, tmp_dir, strict):
+    """Names that are numbers: a data line may then equal the header."""
+    d = os.path.join(tmp_dir, "files")
+    os.makedirs(d)
+    write(os.path.join(d, "a.csv"), ["p,1,2", "p,1,2", "q,3,4"])
+    write(os.path.join(d, "b.csv"), ["p,1,2", "r,5,6", "p,1,2", "p,1,2"])
+    _, df = read_survey(spark, d, strict)
+    assert sorted(tuple(r) for r in df.collect()) == sorted([("p", 1.0, 2.0)] * 3 + [("q", 3.0, 4.0), ("r", 5.0, 6.0)])
+
+
+def test_a_header_of_numbers_that_differs_is_refused(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "files")
+    os.makedirs(d)
+    write(os.path.join(d, "a.csv"), ["p,1,2", "q,3,4"])
+    write(os.path.join(d, "b.csv"), ["p,1,3", "r,5,6"])
+    for read in (read_survey, lambda s, p: read_survey_arrays(s, p, keys=("1",) if _has_header(s, p, "p,1,2") else ("3",))):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(spark, d)[1].collect()
+
+
+def _has_header(spark, path, header):
+    return spark.read.text(path).first()[0] == header
+
+
+def test_a_split_file_has_one_header(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "long.csv"), ["p,1,2"] + ["p,1,2", "q,3,4"] * 3000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_survey(spark, p)[1]
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 6000
+        assert df.where("`1` = 1").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_array_table(spark, tmp_dir):
+    header = ["tucaseid", "t010101", "telfs", "t050101", "tesex", "teage", "t170101"]
+    lines = ["a,10,1,20,1,30,5", "b,1.5,5,2.5,2,20,6", "c,-1,2,0,2,60,1e2"]
+    p = write(os.path.join(tmp_dir, "s.csv"), [",".join(header), *lines])
+    names, df = read_survey_arrays(spark, p)
+    assert names == ["t010101", "t050101", "t170101"]
+    assert df.columns == ["tucaseid", "telfs", "tesex", "teage", "values"]
+    assert {r.tucaseid: list(r["values"]) for r in df.collect()} == {"a": [10, 20, 5], "b": [1.5, 2.5, 6], "c": [-1, 0, 100]}
+    again = survey_arrays(read_survey(spark, p)[1])
+    assert again[0] == names and sorted(map(tuple, again[1].collect())) == sorted(map(tuple, df.collect()))
+    with pytest.raises(ValueError, match="no column"):
+        read_survey_arrays(spark, p, keys=("telfs", "nothere"))
+    for i, line in enumerate(["a,x,1,1,1,1,1", "a,1,1", ",1,1,1,1,1,1", "a,1,1,1,1,1,"]):
+        bad = write(os.path.join(tmp_dir, f"bad{i}.csv"), [",".join(header), line])
+        for use in (read_survey_arrays(spark, bad)[1], read_survey_arrays(spark, bad)[1].select("tesex")):
+            with pytest.raises(Exception, match="malformed survey line"):
+                use.collect()
