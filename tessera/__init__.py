@@ -16,6 +16,7 @@ from tessera.operators.forum import (
     answers,
     first_tag_index,
     grouped_postings,
+    nested_postings,
     posting_vectors,
     question_answer_pairs,
     questions,
@@ -29,7 +30,16 @@ from tessera.operators.kmeans import (
     kmeans_step,
     weighted_vectors,
 )
-from tessera.operators.sampling import sample_fixed, sample_per_group, sample_vectors
+from tessera.operators.posting_store import PostingStore, open_index, write_index
+from tessera.operators.sampling import (
+    SketchStore,
+    group_sketch,
+    merge_sketches,
+    sample_fixed,
+    sample_per_group,
+    sample_vectors,
+    sketch_sample,
+)
 from tessera.operators.survey import (
     classify_columns,
     time_usage_grouped,
@@ -57,17 +67,17 @@ from tessera.sources.survey import read_survey, read_survey_arrays, survey_array
 __version__ = "0.1.0"
 
 __all__ = [
-    "age_band", "answer_high_score", "answers", "average_vectors", "balanced_sum",
+    "PostingStore", "SketchStore", "age_band", "answer_high_score", "answers", "average_vectors", "balanced_sum",
     "centroid_shift", "classify_columns", "cluster_report", "cluster_results", "column_max",
-    "column_sum", "converged", "first_tag_index", "group_hours", "grouped_postings",
-    "inverted_index", "kmeans", "kmeans_step", "matched_terms", "materialize", "mentions_term",
-    "nearest_center", "nearest_distance", "parse_articles", "parse_postings", "pipeline_clusters",
+    "column_sum", "converged", "first_tag_index", "group_hours", "group_sketch",
+    "grouped_postings", "inverted_index", "kmeans", "kmeans_step", "matched_terms", "materialize", "mentions_term",
+    "merge_sketches", "nearest_center", "nearest_distance", "nested_postings", "open_index", "parse_articles", "parse_postings", "pipeline_clusters",
     "pipeline_survey", "pipeline_survey_arrays", "pipeline_terms", "point_distance", "posting_vectors",
     "question_answer_pairs", "questions", "rank_terms_count", "rank_terms_index",
     "rank_terms_scan", "read_articles", "read_lines", "read_postings", "read_survey",
     "read_survey_arrays", "release",
-    "sample_fixed", "sample_per_group", "sample_vectors", "scored_postings", "sex_label",
+    "sample_fixed", "sample_per_group", "sample_vectors", "scored_postings", "sex_label", "sketch_sample",
     "survey_arrays", "survey_row", "survey_schema", "term_doc_count", "term_hits", "time_usage_grouped",
     "time_usage_grouped_sql", "time_usage_grouped_typed", "time_usage_summary",
-    "time_usage_summary_arrays", "time_usage_summary_typed", "weighted_vectors", "working_status",
+    "time_usage_summary_arrays", "time_usage_summary_typed", "weighted_vectors", "working_status", "write_index",
 ]

@@ -11,7 +11,7 @@ mentioned exactly when its ``m`` words occur as ``m`` consecutive tokens.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +50,18 @@ def shingles(toks: Column, width: int) -> Column:
     return F.when(n > 0, runs).otherwise(F.array().cast("array<string>"))
 
 
+def with_tokens(text: str | Column, widths: Iterable[int], body: Callable[[Column], Column]) -> Column:
+    """``body`` of a text's tokens, split once.
+
+    Runs of several words read the tokens inside a lambda, where a plain
+    expression would be computed again for every run; a lambda's argument is not.
+    """
+    toks = tokens(text)
+    if all(w == 1 for w in widths):
+        return body(toks)
+    return F.get(F.transform(F.array(toks), body), F.lit(0))
+
+
 def matched_terms(text: str | Column, terms: Iterable[str]) -> Column:
     """Distinct terms of ``terms`` mentioned by ``text`` (array<string>).
 
@@ -59,14 +71,17 @@ def matched_terms(text: str | Column, terms: Iterable[str]) -> Column:
     by_width: dict[int, list[str]] = {}
     for t in dict.fromkeys(terms):
         by_width.setdefault(term_width(t), []).append(t)
-    toks = tokens(text)
-    parts = [
-        F.array_intersect(shingles(toks, w), F.array(*[F.lit(t) for t in ts]))
-        for w, ts in sorted(by_width.items())
-    ]
-    if not parts:
+    if not by_width:
         return F.array().cast("array<string>")
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    def found(toks: Column) -> Column:
+        parts = [
+            F.array_intersect(shingles(toks, w), F.array(*[F.lit(t) for t in ts]))
+            for w, ts in sorted(by_width.items())
+        ]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    return with_tokens(text, by_width, found)
 
 
 def literal_map(pairs: Sequence[tuple[object, object]]) -> Column:

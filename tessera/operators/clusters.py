@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.forum import DEFAULT_LANG_SPREAD
 
 from tessera.functions.vectors import Point
 from tessera.operators.kmeans import assign
+from tessera.operators.ordering import part_totals, ranged
+from tessera.session import release
 
 # Fixed report layout values: three header lines, then one line per cluster
 # (median score, label, percent, size).
@@ -22,6 +24,55 @@ REPORT_HEADER = [
 REPORT_LINE = "%7d  %-17s (%-5.1f%%)      %7d"
 
 
+# Up to so many distinct scores a cluster's counts are sorted in one task.
+SORTED_SCORES = 1_000_000
+
+
+def len_at_most(df: DataFrame, n: int) -> bool:
+    return df.limit(n + 1).count() <= n
+
+
+def _middle(total: Column, less: int) -> Column:
+    """Number of members before one of the two middle ones."""
+    return F.floor((total - less) / 2)
+
+
+def _medians(counted: DataFrame) -> DataFrame:
+    """``cluster, med`` from rows ``cluster, y, upto, total`` around the middle of each cluster."""
+    values = [F.min(F.when(F.col("upto") > _middle(F.col("total"), less), F.col("y"))) for less in (1, 0)]
+    return counted.groupBy("cluster").agg(((values[0] + values[1]) / 2).alias("med"))
+
+
+def _medians_sorted(per_y: DataFrame) -> DataFrame:
+    """Sorted, spillable counts per distinct score instead of one value -> count map per cluster."""
+    in_cluster = Window.partitionBy("cluster")
+    upto = F.sum("cnt").over(in_cluster.orderBy("y"))
+    return _medians(per_y.select("cluster", "y", upto.alias("upto"), F.sum("cnt").over(in_cluster).alias("total")))
+
+
+def medians_by_range(per_y: DataFrame) -> DataFrame:
+    """The same for clusters of any number of distinct scores: ``cluster, med``.
+
+    The counts are range-sorted by (cluster, score).  The totals of the ranges
+    tell which hold the two middle members of each cluster; only those ranges,
+    at most two per cluster, are summed along.  One row per cluster is collected.
+    """
+    parts = ranged(per_y, ["cluster"], ["y"], "scores")
+    totals = part_totals(parts, ["cluster"], F.col("cnt"))
+    holds = F.lit(False)
+    for less in (1, 0):
+        at = _middle(F.col("_total"), less)
+        holds = holds | ((at >= F.col("_before")) & (at < F.col("_before") + F.col("_held")))
+    middle = totals.where(holds).select("cluster", "_part", "_before", F.col("_total").alias("total"))
+    rows = parts.join(F.broadcast(middle), ["cluster", "_part"])  # at most two rows per cluster
+    along = Window.partitionBy("cluster", "_part").orderBy("y")
+    counted = rows.select("cluster", "y", (F.col("_before") + F.sum("cnt").over(along)).alias("upto"), "total")
+    medians = _medians(counted)
+    found = per_y.sparkSession.createDataFrame(medians.collect(), medians.schema)
+    release(parts)
+    return found
+
+
 def cluster_results(
     centers: list[Point],
     vectors: DataFrame,
@@ -39,7 +90,8 @@ def cluster_results(
     of an even count and truncates to an integer.  Accepts raw vectors or
     weighted ``(x, y, n)`` rows.  Members are counted per (cluster, x) and
     (cluster, y) with map-side combine; only those counts are sorted, one row
-    per distinct score of a cluster.
+    per distinct score of a cluster, and above ``SORTED_SCORES`` of them only the
+    ranges around each median.
     """
     w = F.col("n") if "n" in vectors.columns else F.lit(1).cast("long")
     assigned = assign(vectors, centers).select("cluster", "x", "y", w.alias("w"))
@@ -58,18 +110,11 @@ def cluster_results(
         F.col("p.cnt").alias("label_cnt"),
         "size",
     )
-    # the two middle values from counts per distinct score: sorted, spillable rows
-    # instead of one value -> count map per cluster
     per_y = assigned.groupBy("cluster", "y").agg(F.sum("w").alias("cnt"))
-    in_cluster = Window.partitionBy("cluster")
-    ranked = per_y.select(
-        "cluster",
-        "y",
-        F.sum("cnt").over(in_cluster.orderBy("y")).alias("upto"),
-        F.sum("cnt").over(in_cluster).alias("total"),
-    )
-    middle = [F.min(F.when(F.col("upto") > F.floor((F.col("total") - less) / 2), F.col("y"))) for less in (1, 0)]
-    medians = ranked.groupBy("cluster").agg(((middle[0] + middle[1]) / 2).alias("med"))
+    if len_at_most(vectors if "n" in vectors.columns else per_y, SORTED_SCORES):
+        medians = _medians_sorted(per_y)
+    else:
+        medians = medians_by_range(per_y)
     langs = F.array(*[F.lit(x) for x in languages])
     return (
         labels.join(medians, "cluster")

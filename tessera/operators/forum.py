@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import as_col
+from tessera.operators.ordering import ranged, running_totals
+from tessera.session import owning
 
 POSTING_FIELDS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tag")
 
@@ -76,6 +78,51 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
     return sized.join(answer, sized["id"] == answer["_parent"]).drop("_parent")
 
 
+DEFAULT_SEGMENT = 1000
+
+
+def nested_postings(postings: DataFrame, segment_size: int = DEFAULT_SEGMENT) -> DataFrame:
+    """The (question, answer) pairs of each question id as lists of bounded length: ``id, segment, n, pairs``.
+
+    ``pairs`` holds up to ``segment_size`` structs ``(question, answer)`` in the order
+    of the question's and then the answer's fields, nulls first; segments are
+    numbered from 0 along that order, and all but an id's last are full.  Equal
+    pairs are kept as often as they occur.
+
+    Copies of questions and of answers are counted first, with map-side combine;
+    the join makes one row per pair of distinct ones, with its number of copies.
+    The pairs are range-sorted by id and fields, so a question with a third of
+    all answers lies in many ranges, and each range's running count gives its
+    pairs their segment.  The result reads a stored table: release it after use.
+    """
+    fields = ["accepted_answer", "score", "tag"]
+    answer_fields = ["answer_id", "answer_accepted_answer", "answer_score", "answer_tag"]
+    q = questions(postings).groupBy("id", *fields).agg(F.count("*").alias("_nq"))
+    a = answers(postings).select(
+        F.col("parent_id").alias("_parent"),
+        F.col("id").alias("answer_id"),
+        *(F.col(c).alias(f"answer_{c}") for c in fields),
+    )
+    a = a.groupBy("_parent", *answer_fields).agg(F.count("*").alias("_na"))
+    pairs = q.join(a, q["id"] == a["_parent"]).select(
+        "id", *fields, *answer_fields, (F.col("_nq") * F.col("_na")).alias("copies")
+    )
+    parts = ranged(pairs, ["id"], [*fields, *answer_fields], "pairs")
+    placed = running_totals(parts, ["id"], [*fields, *answer_fields], F.col("copies"), "place")
+    size = F.lit(int(segment_size)).cast("long")
+    first, last = (F.expr(f"{at} div {int(segment_size)}") for at in ("place", "(place + copies - 1)"))
+    spread = placed.withColumn("segment", F.explode(F.sequence(first, last)))
+    here = F.least(F.col("place") + F.col("copies"), (F.col("segment") + 1) * size) - F.greatest(F.col("place"), F.col("segment") * size)
+    question = F.struct("id", *fields)
+    answer = F.struct(F.col("answer_id").alias("id"), *(F.col(f"answer_{c}").alias(c) for c in fields))
+    held = F.sort_array(
+        F.collect_list(F.struct("place", question.alias("question"), answer.alias("answer"), here.cast("int").alias("times")))
+    )
+    each = F.transform(held, lambda p: F.array_repeat(F.struct(p.question.alias("question"), p.answer.alias("answer")), p.times))
+    grouped = spread.groupBy("id", "segment").agg(F.flatten(each).alias("pairs"))
+    return owning(grouped.select("id", "segment", F.size("pairs").cast("long").alias("n"), "pairs"), parts)
+
+
 def high_score(max_score: Column) -> Column:
     """Best answer score floored at 0 (an all-negative thread scores 0)."""
     return F.greatest(F.lit(0), max_score)

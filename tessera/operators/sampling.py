@@ -10,10 +10,13 @@ queries use it for their SQL checks).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.forum import DEFAULT_LANG_SPREAD
+from tessera.session import check_state, committed
 
 DEFAULT_SEED = 42
 HASHES = ("xxhash64", "md5")
@@ -55,6 +58,98 @@ def sample_per_group(
     return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
 
+def group_sketch(
+    df: DataFrame,
+    group_col: str,
+    k: int,
+    seed: int = DEFAULT_SEED,
+    id_col: str = "id",
+    hashing: str = "xxhash64",
+) -> DataFrame:
+    """The ``k`` rows of every group that :func:`sample_per_group` draws, with their ``sample_key``.
+
+    Sketches made with the same parameters can be merged (:func:`merge_sketches`)
+    and cut to any smaller number of rows, without the rows they were made from.
+    """
+    keyed = df.withColumn("sample_key", sample_key(id_col, seed, hashing))
+    return _lowest(keyed, group_col, k, id_col).drop("sample_rank")
+
+
+def _lowest(keyed: DataFrame, group_col: str, k: int, id_col: str) -> DataFrame:
+    w = Window.partitionBy(group_col).orderBy("sample_key", id_col)
+    return keyed.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
+
+
+def merge_sketches(a: DataFrame, b: DataFrame, group_col: str, k: int, id_col: str = "id") -> DataFrame:
+    """The sketch of all rows behind two sketches: the ``k`` lowest keys of each group."""
+    return _lowest(a.unionByName(b), group_col, k, id_col).drop("sample_rank")
+
+
+def sketch_sample(sketch: DataFrame, group_col: str, k: int, id_col: str = "id") -> DataFrame:
+    """Up to ``k`` rows of every group with ``sample_rank``, as :func:`sample_per_group` of all rows behind the sketch."""
+    return _lowest(sketch, group_col, k, id_col).drop("sample_key")
+
+
+class SketchStore:
+    """A sketch kept in a folder and extended batch by batch.
+
+    Each batch is reduced to its own sketch, merged with the stored one and
+    written as the next version; earlier batches are not read again.  A batch
+    has a name: adding it again changes nothing, so a failed run can be repeated.
+    Versions are whole once their batch list, written last, is there.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        group_col: str,
+        k: int,
+        seed: int = DEFAULT_SEED,
+        id_col: str = "id",
+        hashing: str = "xxhash64",
+    ):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.group_col, self.k, self.seed, self.id_col, self.hashing = group_col, k, seed, id_col, hashing
+        about = {"group": group_col, "k": k, "seed": seed, "id": id_col, "hash": hashing}
+        check_state(spark, f"{self.path}/about", about)
+
+    def _version(self) -> int:
+        n = 0
+        while committed(self.spark, f"{self.path}/batches-{n + 1}"):
+            n += 1
+        return n
+
+    def batches(self) -> list[str]:
+        """Names of the batches the sketch holds, in order."""
+        n = self._version()
+        return json.loads(self.spark.read.text(f"{self.path}/batches-{n}").first()[0]) if n else []
+
+    def sketch(self) -> DataFrame:
+        n = self._version()
+        if not n:
+            raise ValueError(f"no batch was added to {self.path}")
+        return self.spark.read.parquet(f"{self.path}/sketch-{n}")
+
+    def add(self, batch: DataFrame, name: str) -> None:
+        """Merge a batch into the stored sketch, unless one of that name is in it."""
+        n, names = self._version(), self.batches()
+        if name in names:
+            return
+        new = group_sketch(batch, self.group_col, self.k, self.seed, self.id_col, self.hashing)
+        if n:
+            new = merge_sketches(self.sketch(), new, self.group_col, self.k, self.id_col)
+        new.write.mode("overwrite").parquet(f"{self.path}/sketch-{n + 1}")
+        listed = self.spark.createDataFrame([(json.dumps([*names, name]),)], "value string")
+        listed.coalesce(1).write.mode("overwrite").text(f"{self.path}/batches-{n + 1}")
+
+    def sample(self, k: int | None = None) -> DataFrame:
+        """Up to ``k`` (at most the sketch's) rows of every group of all batches."""
+        if k is not None and k > self.k:
+            raise ValueError(f"the sketch keeps {self.k} rows of a group")
+        return sketch_sample(self.sketch(), self.group_col, k or self.k, self.id_col)
+
+
 def _unit_uniform(h: Column) -> Column:
     """A 64-bit hash mapped to a uniform double strictly inside (0, 1)."""
     return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / float(2**53)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import (
@@ -27,6 +27,7 @@ from tessera.functions.text import (
     mentions_term,
     shingles,
     tokens,
+    with_tokens,
 )
 
 # Longest term list inlined into the plan as literals; longer lists, and
@@ -37,6 +38,8 @@ INLINE_TERMS_LIMIT = 512
 # token is one row per task by then.
 BROADCAST_TERMS_LIMIT = 1_000_000
 BROADCAST_TERMS_BYTES = 64 * 1024 * 1024
+# Most bits of the filter that screens the runs for a larger table (16 MB).
+SCREEN_BITS = 1 << 27
 
 TermsArg = Sequence[str] | DataFrame
 
@@ -71,15 +74,16 @@ def _multiplicity(terms: Sequence[str]) -> dict[str, int]:
     return mult
 
 
-def _broadcast_checked(tf: DataFrame) -> DataFrame:
+def _broadcast_checked(tf: DataFrame, most_rows: int | None = None) -> DataFrame:
     """Broadcast a term table only after measuring it (rows and text bytes)."""
+    most_rows = BROADCAST_TERMS_LIMIT if most_rows is None else most_rows
     stats = tf.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes"),
     ).first()
     rows, nbytes = stats["rows"], stats["bytes"]
     # ~ 32 bytes of row and hash-table overhead per entry on top of the text
-    if rows <= BROADCAST_TERMS_LIMIT and nbytes + 32 * rows <= BROADCAST_TERMS_BYTES:
+    if rows <= most_rows and nbytes + 32 * rows <= BROADCAST_TERMS_BYTES:
         return F.broadcast(tf)
     return tf
 
@@ -90,10 +94,13 @@ def term_hits(
     key: str = "title",
     text: str = "text",
     keep: Sequence[str] = (),
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """One row per (article, list entry) mention: ``key, term, position``.
 
-    ``keep`` names further article columns to carry along.
+    ``keep`` names further article columns to carry along.  A term table of more
+    than ``broadcast_rows`` (``BROADCAST_TERMS_LIMIT``) is shuffled; a filter of its
+    terms then screens the articles' word runs in the scan.
     """
     carried = [key, *keep]
     if _is_inline(terms):
@@ -120,30 +127,93 @@ def term_hits(
         return exploded.select(key, "term", pos.alias("position"), *keep)
 
     tf = term_frame(articles.sparkSession, terms)
-    right = _broadcast_checked(tf)
-    return _grams(articles, tf, text, carried).join(right, "term").select(key, "term", "position", *keep)
+    grams, right = _grams(articles, tf, text, carried), _broadcast_checked(tf, broadcast_rows)
+    if right is tf:  # shuffled on the term: screen the runs in the scan first
+        grams = grams.where(maybe_listed(F.col("term"), bloom_filter(tf, tf.count())))
+    return grams.join(right, "term").select(key, "term", "position", *keep)
+
+
+def word_runs(tf: DataFrame, text: str) -> Column:
+    """Distinct runs of words of a text, as long as some term of the table (array)."""
+    widths = sorted(r[0] for r in tf.select(F.size(tokens("term")).alias("w")).distinct().collect())
+    if not widths:
+        return F.array().cast("array<string>")
+
+    def runs(toks: Column) -> Column:
+        grams = [shingles(toks, w) for w in widths]
+        return F.array_distinct(grams[0] if len(grams) == 1 else F.concat(*grams))
+
+    return with_tokens(text, widths, runs)
+
+
+def _bit_places(term: Column, bits: int) -> list[Column]:
+    """The bits of a filter of ``bits`` (a power of two) that a term sets: two from each of two hashes."""
+    hashes = [F.xxhash64(term), F.xxhash64(term, F.lit(1))]
+    return [F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(bits - 1)) for h in hashes for shift in (0, 32)]
+
+
+def bloom_filter(
+    listed: DataFrame, rows: int, bits_per_term: int = 12, most_bits: int = SCREEN_BITS
+) -> tuple[Column, int]:
+    """A filter of the terms as one array of 64-bit words, and its bits, to be read by :func:`maybe_listed`.
+
+    Built by aggregation: each term sets its bits, words are or-ed with map-side
+    combine, and the words are put in order.  The array has at most ``most_bits``
+    however many terms there are (a fuller filter lets more through).  It reaches
+    the plan as a scalar subquery, computed once.
+    """
+    bits = 1 << min(max(rows * bits_per_term, 64).bit_length(), most_bits.bit_length() - 1)
+    bit = listed.select(F.explode(F.array(*_bit_places(F.col("term"), bits))).alias("bit"))
+    one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
+    zero = listed.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("set"))
+    words = bit.select(F.shiftright("bit", 6).alias("word"), one.alias("set")).unionByName(zero)
+    words = words.groupBy("word").agg(F.bit_or("set").alias("set"))
+    array = F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda w: w.set)
+    return words.agg(array.alias("filter")).scalar(), bits
+
+
+def maybe_listed(term: Column, screen: tuple[Column, int]) -> Column:
+    """False only for terms that are not in the filter's list."""
+    words, bits = screen
+    found = F.lit(True)
+    for place in _bit_places(term, bits):
+        word = F.get(words, F.shiftright(place, 6).cast("int"))
+        found = found & (F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return found
+
+
+def listed_only(grams: DataFrame, listed: DataFrame) -> DataFrame:
+    """The rows of ``grams`` whose term the table lists (each term once).
+
+    A table measured as small is broadcast.  Above that a filter of the terms is
+    applied in the scan, so that only listed runs and a few false positives are
+    shuffled to the table, which decides.
+    """
+    small = _broadcast_checked(listed)
+    if small is listed:
+        grams = grams.where(maybe_listed(F.col("term"), bloom_filter(listed, listed.count())))
+    return grams.join(small, "term", "left_semi")
 
 
 def _grams(articles: DataFrame, tf: DataFrame, text: str, carried: Sequence[str] = ()) -> DataFrame:
     """Each distinct run of words, as long as some term of the table, of each article."""
-    widths = sorted(r[0] for r in tf.select(F.size(tokens("term")).alias("w")).distinct().collect())
-    toks = tokens(text)
-    grams = [shingles(toks, w) for w in widths] or [F.array().cast("array<string>")]
-    all_grams = grams[0] if len(grams) == 1 else F.concat(*grams)
-    return articles.select(*carried, F.explode(F.array_distinct(all_grams)).alias("term"))
+    return articles.select(*carried, F.explode(word_runs(tf, text)).alias("term"))
 
 
 def _table_counts(articles: DataFrame, tf: DataFrame, text: str) -> DataFrame:
     """Articles per word run that the term table lists: ``term, n``.
 
     Counted before the table is joined: what enters that join is at most one
-    row per word run and task, so no token is too frequent for one task.  A
-    table small enough to broadcast screens the runs in the scan.
+    row per listed word run and task, so no token is too frequent for one task.
+    A table small enough to broadcast screens the runs in the scan; for a larger
+    one its filter does.
     """
     grams, listed = _grams(articles, tf, text), tf.select("term").distinct()
     screened = _broadcast_checked(listed)
     if screened is not listed:
         grams = grams.join(screened, "term", "left_semi")
+    else:
+        grams = grams.where(maybe_listed(F.col("term"), bloom_filter(listed, listed.count())))
     return grams.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -27,6 +27,7 @@ from tessera.operators import clusters as K
 from tessera.operators import columns as C
 from tessera.operators import forum as Q
 from tessera.operators import kmeans as M
+from tessera.operators import posting_store as I
 from tessera.operators import sampling as P
 from tessera.operators import survey as U
 from tessera.operators import terms as T
@@ -974,3 +975,119 @@ def q_read_survey_arrays_files(spark: SparkSession, sf: str) -> DataFrame:
         return PL.pipeline_survey_arrays(*read_survey_arrays(spark, path), via_decimal=True)
 
     return _through_files(spark, _survey(spark, sf), "survey", use, header=True)
+
+
+# --------------------------------------------------- stores, nested, ranges ----
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder on shared storage; what a result still reads stays there for the caller to delete."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+INDEX_BLOCK = 100
+
+
+def _index(spark: SparkSession, sf: str) -> I.PostingStore:
+    path = _new_folder(spark, "index")
+    return I.write_index(S.articles(spark, sf), path, S.STANDIN_TERMS, block_size=INDEX_BLOCK, buckets=8)
+
+
+NUMBERED_SQL = f"SELECT title, row_number() OVER (ORDER BY title) - 1 AS article_id FROM ({ARTICLES_SQL}) a"
+
+
+@register(
+    "inverted_index_nested",
+    f"""
+WITH p AS (
+  SELECT term, article_id,
+         (row_number() OVER (PARTITION BY term ORDER BY article_id) - 1) // {INDEX_BLOCK} AS block
+  FROM ({HITS_SQL}) h JOIN ({NUMBERED_SQL}) n USING (title))
+SELECT term, block, count(*) AS n, min(article_id) AS first_id, max(article_id) AS last_id,
+       string_agg(CAST(article_id AS VARCHAR), ',' ORDER BY article_id) AS ids
+FROM p GROUP BY term, block
+""",
+)
+def q_inverted_index_nested(spark: SparkSession, sf: str) -> DataFrame:
+    nested = _index(spark, sf).nested()
+    return nested.withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
+
+
+@register("rank_terms_store", RANK_SQL)
+def q_rank_terms_store(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).rank()
+
+
+LOOKED_UP = S.STANDIN_TERMS[3:6]
+
+
+@register(
+    "index_lookup",
+    f"""
+SELECT term, article_id, title FROM ({HITS_SQL}) h JOIN ({NUMBERED_SQL}) n USING (title)
+WHERE term IN ({", ".join(map(_sql_str, LOOKED_UP))})
+""",
+)
+def q_index_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).lookup(LOOKED_UP)
+
+
+@register(
+    "index_mention_all",
+    f"""
+SELECT article_id, title FROM ({HITS_SQL}) h JOIN ({NUMBERED_SQL}) n USING (title)
+WHERE term IN ({", ".join(map(_sql_str, LOOKED_UP))}) GROUP BY article_id, title HAVING count(*) = {len(LOOKED_UP)}
+""",
+)
+def q_index_mention_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).mention_all(LOOKED_UP)
+
+
+@register(
+    "term_hits_screened",
+    f"SELECT a.title, t.term, t.position FROM ({_first_words_sql(2)}) t JOIN ({ARTICLES_SQL}) a ON {MENTIONS_SQL}",
+)
+def q_term_hits_screened(spark: SparkSession, sf: str) -> DataFrame:
+    """A term table that is not broadcast: its filter screens the word runs."""
+    return T.term_hits(S.articles(spark, sf), _first_words(spark, sf, 2), broadcast_rows=0)
+
+
+SEGMENT = 3
+
+
+@register(
+    "grouped_postings_nested",
+    f"""
+WITH s AS (
+  SELECT id, answer_id, (row_number() OVER (PARTITION BY id ORDER BY answer_id) - 1) // {SEGMENT} AS segment
+  FROM ({PAIRS_SQL}) p)
+SELECT id, segment, count(*) AS n, string_agg(CAST(answer_id AS VARCHAR), ',' ORDER BY answer_id) AS answers
+FROM s GROUP BY id, segment
+""",
+)
+def q_grouped_postings_nested(spark: SparkSession, sf: str) -> DataFrame:
+    answers = F.transform("pairs", lambda p: p.answer.id.cast("string"))
+    nested = Q.nested_postings(_postings(spark, sf), SEGMENT)
+    return nested.select("id", "segment", "n", F.array_join(answers, ",").alias("answers"))
+
+
+@register(
+    "median_by_range",
+    f"SELECT CAST(x AS BIGINT) AS cluster, median(y) AS med FROM ({VECTORS_SQL}) v GROUP BY x",
+)
+def q_median_by_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Median score per language, from range-sorted counts; one row per language is collected."""
+    per_y = _vectors(spark, sf).groupBy(F.col("x").alias("cluster"), "y").agg(F.count("*").alias("cnt"))
+    return K.medians_by_range(per_y)
+
+
+@register("sample_per_group_merged", PER_GROUP_SQL)
+def q_sample_per_group_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The sample of all vectors from sketches of two batches, one of them stored first."""
+    k = KERNELS // len(S.STANDIN_TAGS)
+    store = P.SketchStore(spark, _new_folder(spark, "sketch"), "x", k, SEED, hashing=HASH)
+    vectors = _vectors(spark, sf)
+    answered_well = F.col("y") > 40
+    store.add(vectors.where(answered_well), "above 40")
+    store.add(vectors.where(~answered_well), "up to 40")
+    return store.sample()

@@ -111,6 +111,12 @@ def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     return out
 
 
+def owning(df: DataFrame, table: DataFrame) -> DataFrame:
+    """``df``, which reads a materialised ``table``; releasing it releases the table."""
+    df._owned_table = table
+    return df
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True if a Spark write to ``path`` completed (its ``_SUCCESS`` marker exists)."""
     jvm = spark.sparkContext._jvm
@@ -119,7 +125,8 @@ def committed(spark: SparkSession, path: str) -> bool:
 
 
 def release(df: DataFrame) -> None:
-    """Drop a materialised intermediate (cached blocks or written table)."""
+    """Drop a materialised intermediate (cached blocks or written table), or the one that ``df`` owns."""
+    df = getattr(df, "_owned_table", df)
     path = getattr(df, "_written_path", None)
     if path is None:
         df.unpersist()
