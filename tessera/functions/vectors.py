@@ -83,3 +83,20 @@ def nearest_distance(centers: Sequence[Point], x: str | Column = "x", y: str | C
         return F.expr(parts[0] if len(parts) == 1 else f"least({', '.join(parts)})")
     dists = [point_distance(x, y, cx, cy) for cx, cy in centers]
     return dists[0] if len(dists) == 1 else F.least(*dists)
+
+
+def distances(centers: Sequence[Point]) -> Column:
+    """Array of the squared distances of ``x, y`` to each centroid, for a projection of its own.
+
+    One element reads ``x`` through a lambda, which keeps Spark from fusing the
+    projection with its neighbours into one method; that would be too long to be
+    compiled to machine code from some twenty centroids on.
+    """
+    unfused = F.get(F.transform(F.array("x"), lambda x: x), F.lit(0))
+    first = point_distance(unfused, "y", *centers[0])
+    return F.array(first, *(F.expr(_distance_sql("x", "y", cx, cy)) for cx, cy in centers[1:]))
+
+
+def place_of_least(values: Column) -> Column:
+    """Index of the smallest element of an array; ties go to the lowest."""
+    return (F.array_position(values, F.array_min(values)) - 1).cast("int")

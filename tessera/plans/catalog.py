@@ -1091,3 +1091,27 @@ def q_sample_per_group_merged(spark: SparkSession, sf: str) -> DataFrame:
     store.add(vectors.where(answered_well), "above 40")
     store.add(vectors.where(~answered_well), "up to 40")
     return store.sample()
+
+
+CELL_CENTERS = MANY_CENTERS[:700]
+
+
+@register(
+    "nearest_center_cells",
+    f"""
+SELECT id, CAST(min({{'d': (x - cx) * (x - cx) + (y - cy) * (y - cy), 'i': i}}).i AS INTEGER) AS cluster
+FROM ({VECTORS_SQL}) v,
+     (SELECT i, i % 5 * {LANG_SPREAD} AS cx, i // 5 % 60 AS cy FROM range({len(CELL_CENTERS)}) r(i)) c
+GROUP BY id
+""",
+)
+def q_nearest_center_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest of many centroids, looked up by cell."""
+    return M.assign(_vectors(spark, sf), CELL_CENTERS).select("id", "cluster")
+
+
+@register("kmeans_bounds", KMEANS_SQL + FINAL_CENTERS_SQL)
+def q_kmeans_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """k-means that compares only the vectors that may have changed cluster; the same centroids."""
+    result = M.kmeans(_vectors(spark, sf), _init_centers(spark, sf), ETA, MAX_ITERATIONS, bounds=True)
+    return result.centers_frame(spark)
