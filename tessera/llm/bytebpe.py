@@ -361,7 +361,7 @@ class Vocabulary:
         return [self.ids[p] for p in parts if p is not None]
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable stand-in letter of each byte in .json vocabularies."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
@@ -383,7 +383,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         raise ValueError("only plain byte-level BPE files are understood")
     if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
         raise ValueError("added tokens that strip or match words are not understood")
-    letters = _byte_letters()
+    letters = byte_letters()
     raw = lambda s: bytes(letters[c] for c in s)
     specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ids = {raw(k): v for k, v in model["vocab"].items() if k not in specials}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.bytebpe import split_texts, text_slices
+from tessera.llm.bytebpe import byte_letters, split_texts, text_slices
 from tessera.llm.common import drop_stored, stored
 
 HASHED_DIMS = 256
@@ -80,37 +80,44 @@ def _projection(n_ids: int) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of distinct pieces by the library, with those met before in a bounded cache."""
+    """Ids of distinct pieces by the library's model, with those met before in a bounded cache.
+
+    The model takes a piece as the stand-in letters of its bytes, in the
+    task's own thread: the library's batches would start a thread per core.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.n_ids = self.tokenizer.get_vocab_size()
-        self.path, self.known = path, {}
+        tokenizer = Tokenizer.from_file(path)
+        added = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.model, self.specials, self.n_ids = tokenizer.model, tuple(added), tokenizer.get_vocab_size()
+        self.added = {content.encode(): array("i", [i]).tobytes() for content, i in added.items()}
+        self.letters = str.maketrans({chr(b): letter for letter, b in byte_letters().items()})
+        self.path, self.known = path, dict(self.added)
+
+    def _ids(self, piece: bytes) -> bytes:
+        tokens = self.model.tokenize(piece.decode("latin-1").translate(self.letters))
+        return array("i", [t.id for t in tokens]).tobytes()
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of each text, each with ``end_id`` after it."""
         pieces = split_texts(texts, self.path, self.specials)
         if len(self.known) > MAX_PIECES:
-            self.known = {}
-        new = [p for p in pieces.distinct if p not in self.known]
-        for lo in range(0, len(new), 10_000):
-            some = new[lo : lo + 10_000]
-            coded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-            self.known.update((p, array("i", c.ids).tobytes()) for p, c in zip(some, coded))
-        rows = [self.known[p] for p in pieces.distinct]
-        rows.append(np.array([end_id], np.int32).tobytes())
-        flat = np.frombuffer(b"".join(rows), np.int32)
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
-        index = np.insert(pieces.index.astype(np.int64), pieces.docs[1:], len(rows) - 1)
-        lengths = sizes[index]
-        ends = np.cumsum(lengths)
-        first = (np.cumsum(sizes) - sizes)[index]
-        ids = flat[np.repeat(first - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+            self.known = dict(self.added)
+        known, rows = self.known, []
+        for p in pieces.distinct:
+            row = known.get(p)
+            if row is None:
+                row = known[p] = self._ids(p)
+            rows.append(row)
+        rows.append(array("i", [end_id]).tobytes())
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4))
+        each = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+        index = np.insert(pieces.index.astype(np.int32), pieces.docs[1:], len(rows) - 1)
+        runs = each.take(pa.array(index))
         docs = pieces.docs + np.arange(len(pieces.docs))
-        return ids, np.append(0, ends)[docs]
+        return runs.flatten().to_numpy(), runs.offsets.to_numpy()[docs]
 
 
 @lru_cache(2)

@@ -88,7 +88,7 @@ def test_a_full_cache_starts_anew():
 def test_long_pieces_merge_like_short_ones():
     vocabulary = B.load_vocabulary(JSON_BPE)
     for piece in (b"ab" * 500, b"thequick" * 200, bytes(range(200)) * 3):
-        parts = TOKENIZER.model.tokenize("".join({v: k for k, v in B._byte_letters().items()}[b] for b in piece))
+        parts = TOKENIZER.model.tokenize("".join({v: k for k, v in B.byte_letters().items()}[b] for b in piece))
         assert vocabulary.encode(piece) == [t.id for t in parts]
 
 
