@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A task splits a slice of texts into its distinct pieces (each piece then is
-encoded once per slice) and hands Spark one row: the byte array of each piece,
-as ids of single bytes, and for each text the numbers of its pieces.
-Higher-order functions fold the ranked merges over each distinct piece, looking
-pairs up in a literal rank map, and put the ids of each text together.
-Decoding looks the piece of each id up in a literal array and concatenates.
+Two passes.  The first counts the distinct words (pieces) of the slices; the most
+common ones, a bounded number, are folded once.  The second
+splits a slice of texts into its distinct pieces, knows the ids of the common
+ones and hands Spark one row: the byte array of each other piece, as ids of
+single bytes, and for each text the numbers of its pieces.  In both, higher-order
+functions fold the ranked merges over a word, looking pairs up in a literal rank
+map; then they put the ids of each text together.  Decoding looks the piece of each id up in a literal array and concatenates.
 
 The literal rank map is an array of small maps, addressed by hash: a single
 literal map would be searched from end to end.
@@ -28,7 +29,10 @@ from tessera.llm.common import let
 BUCKETS = 1 << 17
 NEVER = (1 << 31) - 1
 LONG_PIECE = 256  # bytes; the fold takes quadratic time, so longer pieces are merged with a heap beforehand
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+COUNTED_BYTES = 16 << 20  # slices of the first pass
+WORDS_PER_ROW = 4_000
+COMMON_WORDS = 200_000  # at most so many words are folded beforehand and sent to the tasks
 _SPREAD = 40503  # odd; first * _SPREAD + second spreads the pairs over the buckets
 
 
@@ -105,36 +109,73 @@ def fold_merges(parts: Column, ranks: Column) -> Column:
     return F.aggregate(F.slice(parts, 2, F.size(parts)), start(parts), step, lambda s: s.p)
 
 
+@lru_cache(2)
+def _single(path: str) -> np.ndarray:
+    """Ids of the 256 bytes."""
+    ids = load_vocabulary(path).ids
+    return np.array([ids[bytes([b])] for b in range(256)], np.int32)
+
+
+def _byte_ids(words: list[bytes], path: str) -> pa.ListArray:
+    """Each word as the ids of its bytes."""
+    ends = np.append(0, np.cumsum([len(w) for w in words])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(_single(path)[np.frombuffer(b"".join(words), np.uint8)]))
+
+
+def common_words(texts: DataFrame, path: str, most: int = COMMON_WORDS) -> dict[bytes, list[int]]:
+    """Ids of the words that most slices share, at most ``most`` and none of a single slice; each folded once.
+
+    Tokens, which need no fold, and pieces of over ``LONG_PIECE`` bytes are left out.
+    """
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = load_vocabulary(path).ids
+        for batch in batches:
+            for part in text_slices(batch, 0, COUNTED_BYTES):
+                words = [p for p in split_texts(part.column(0), path).distinct if p not in ids and len(p) <= LONG_PIECE]
+                yield pa.RecordBatch.from_arrays([_byte_ids(words, path)], ["parts"])
+
+    found = texts.mapInArrow(distinct, "parts array<int>")
+    shared = found.groupBy("parts").count().where(F.col("count") > 1).orderBy(F.desc("count"), "parts").limit(most)
+    # rows of a bounded number of words, dealt by hash: the rank map is made once per row
+    row = F.pmod(F.xxhash64("parts"), F.lit(max(most // WORDS_PER_ROW, 1)))
+    words = shared.groupBy(row).agg(F.collect_list("parts").alias("words"))
+    pair = lambda w, ranks: F.struct(w.alias("parts"), fold_merges(w, ranks).alias("ids"))
+    coded = let(rank_map(path), lambda ranks: F.transform("words", lambda w: pair(w, ranks)))
+    folded = words.select(F.inline(coded))
+    bytes_of = {int(i): b for b, i in enumerate(_single(path))}
+    return {bytes(bytes_of[i] for i in row.parts): row.ids for row in folded.collect()}
+
+
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row, as the library of the .tiktoken file gives them.
 
     ``path`` names the rank file, at the same place on every executor.  Special
     strings are ordinary text.  Null text counts as empty and has no ids;
     repeated rows and null ids stay; other columns are not carried.  An empty
-    table gives an empty result.
+    table gives an empty result.  The words of the table are counted when this
+    is called.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    spark = docs.sparkSession
+    common = spark.sparkContext.broadcast(common_words(rows.select("text"), path))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load_vocabulary(path)
+        vocabulary, shared = load_vocabulary(path), common.value
         ids = vocabulary.ids
-        single = np.array([ids[bytes([b])] for b in range(256)], np.int32)
 
         def known(piece: bytes) -> list[int] | None:
             if piece in ids:  # a piece that is a token is that token
                 return [ids[piece]]
-            return vocabulary.encode(piece) if len(piece) > LONG_PIECE else None
+            return vocabulary.encode(piece) if len(piece) > LONG_PIECE else shared.get(piece)
 
         for batch in batches:
             for part in text_slices(batch, 1, SLICE_BYTES):
                 pieces = split_texts(part.column(1), path)
                 whole = [known(p) for p in pieces.distinct]
-                rest = [p if w is None else b"" for p, w in zip(pieces.distinct, whole)]
-                ends = np.append(0, np.cumsum([len(p) for p in rest]))
-                letters = single[np.frombuffer(b"".join(rest), np.uint8)]
+                words = _byte_ids([p if w is None else b"" for p, w in zip(pieces.distinct, whole)], path)
                 runs = pa.ListArray.from_arrays(pa.array(pieces.docs, pa.int32()), pa.array(pieces.index, pa.int32()))
-                words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(letters))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part.column(0).to_pylist()], pa.list_(part.column(0).type)),
