@@ -30,9 +30,9 @@ BUCKETS = 1 << 17
 NEVER = (1 << 31) - 1
 LONG_PIECE = 256  # bytes; the fold takes quadratic time, so longer pieces are merged with a heap beforehand
 SLICE_BYTES = 4 << 20
-COUNTED_BYTES = 16 << 20  # slices of the first pass
+COUNTED_BYTES = 4 << 20  # slices of the first pass
 WORDS_PER_ROW = 4_000
-COMMON_WORDS = 200_000  # at most so many words are folded beforehand and sent to the tasks
+COMMON_WORDS = 400_000  # at most so many words are folded beforehand and sent to the tasks
 _SPREAD = 40503  # odd; first * _SPREAD + second spreads the pairs over the buckets
 
 
@@ -122,8 +122,8 @@ def _byte_ids(words: list[bytes], path: str) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(_single(path)[np.frombuffer(b"".join(words), np.uint8)]))
 
 
-def common_words(texts: DataFrame, path: str, most: int = COMMON_WORDS) -> dict[bytes, list[int]]:
-    """Ids of the words that most slices share, at most ``most`` and none of a single slice; each folded once.
+def common_words(texts: DataFrame, path: str, most: int = COMMON_WORDS) -> pa.Table:
+    """(word, ids) of the words that most slices share, at most ``most`` and none of a single slice; each folded once.
 
     Tokens, which need no fold, and pieces of over ``LONG_PIECE`` bytes are left out.
     """
@@ -133,18 +133,36 @@ def common_words(texts: DataFrame, path: str, most: int = COMMON_WORDS) -> dict[
         for batch in batches:
             for part in text_slices(batch, 0, COUNTED_BYTES):
                 words = [p for p in split_texts(part.column(0), path).distinct if p not in ids and len(p) <= LONG_PIECE]
-                yield pa.RecordBatch.from_arrays([_byte_ids(words, path)], ["parts"])
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary())], ["word"])
 
-    found = texts.mapInArrow(distinct, "parts array<int>")
-    shared = found.groupBy("parts").count().where(F.col("count") > 1).orderBy(F.desc("count"), "parts").limit(most)
-    # rows of a bounded number of words, dealt by hash: the rank map is made once per row
-    row = F.pmod(F.xxhash64("parts"), F.lit(max(most // WORDS_PER_ROW, 1)))
-    words = shared.groupBy(row).agg(F.collect_list("parts").alias("words"))
-    pair = lambda w, ranks: F.struct(w.alias("parts"), fold_merges(w, ranks).alias("ids"))
-    coded = let(rank_map(path), lambda ranks: F.transform("words", lambda w: pair(w, ranks)))
-    folded = words.select(F.inline(coded))
-    bytes_of = {int(i): b for b, i in enumerate(_single(path))}
-    return {bytes(bytes_of[i] for i in row.parts): row.ids for row in folded.collect()}
+    def in_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, WORDS_PER_ROW):
+                words = batch.column(0).slice(at, WORDS_PER_ROW).to_pylist()
+                parts, whole = _byte_ids(words, path), pa.array([0, len(words)], pa.int32())
+                columns = [pa.ListArray.from_arrays(whole, c) for c in (pa.array(words, pa.binary()), parts)]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "parts"])
+
+    found = texts.mapInArrow(distinct, "word binary")
+    shared = found.groupBy("word").count().where(F.col("count") > 1).orderBy(F.desc("count"), "word").limit(most)
+    # rows of a bounded number of words, spread over the tasks: the rank map is made once per row
+    rows = shared.select("word").mapInArrow(in_rows, "word array<binary>, parts array<array<int>>")
+    rows = rows.repartition(max(most // WORDS_PER_ROW // 4, 1))
+    ids = let(rank_map(path), lambda ranks: F.transform("parts", lambda p: fold_merges(p, ranks)))
+    return rows.select(F.inline(F.arrays_zip(F.col("word"), ids.alias("ids")))).toArrow()
+
+
+class _Known:
+    """Ids of the common words, kept flat."""
+
+    def __init__(self, table: pa.Table):
+        ids = table.column(1).combine_chunks()
+        self.place = {word: i for i, word in enumerate(table.column(0).to_pylist())}
+        self.ids, self.ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+
+    def get(self, word: bytes) -> list[int] | None:
+        i = self.place.get(word)
+        return None if i is None else self.ids[self.ends[i] : self.ends[i + 1]].tolist()
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,7 +180,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     common = spark.sparkContext.broadcast(common_words(rows.select("text"), path))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, shared = load_vocabulary(path), common.value
+        vocabulary, shared = load_vocabulary(path), _Known(common.value)
         ids = vocabulary.ids
 
         def known(piece: bytes) -> list[int] | None:
