@@ -116,7 +116,7 @@ def test_stages_take_awkward_tables(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     sql = con.sql(ORACLE[name])
     out = QUERIES[name](spark, SF_SMALL)
