@@ -186,7 +186,7 @@ def test_op5_op6_op7(spark, documents):
 
 def test_every_dealt_query_is_registered():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_entry_works_without_the_subpackage():
