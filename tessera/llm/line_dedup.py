@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WS, drop_stored, stored
+from tessera.llm.common import WS, drop_stored, stored, unused
 
 FANOUT = 2
 _KEY = ["k1", "k2"]
@@ -156,10 +156,11 @@ def dedup_lines(
     gone = keys.join(runs.repeated(min_docs), _KEY).filter(
         F.col("last_id").isNotNull() & ~F.col("last_id").eqNullSafe(F.col("doc_id"))
     )
+    own_id, dropped, own_text, g1_name, g2_name = (unused(docs, n) for n in ("own_id", "dropped", "own_text", "g1", "g2"))
     per_doc = stored(
-        gone.select(F.col("doc_id").alias("__id"), F.struct(*_KEY).alias("k"))
-        .groupBy("__id")
-        .agg(F.collect_set("k").alias("__gone")),
+        gone.select(F.col("doc_id").alias(own_id), F.struct(*_KEY).alias("k"))
+        .groupBy(own_id)
+        .agg(F.collect_set("k").alias(dropped)),
         "line-drops",
     )
     for run in runs.runs():
@@ -168,13 +169,15 @@ def dedup_lines(
 
     rest = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
-    joined = docs.select(*rest, text).join(per_doc, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")), "left")
-    joined = joined.select(*rest, F.col(text).alias("__text"), F.expr("__gone.k1").alias("__g1"), F.expr("__gone.k2").alias("__g2"))
+    joined = docs.select(*rest, text).join(per_doc, F.col(doc_id).cast("long").eqNullSafe(F.col(own_id)), "left")
+    joined = joined.select(
+        *rest, F.col(text).alias(own_text), F.col(dropped).k1.alias(g1_name), F.col(dropped).k2.alias(g2_name)
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
-            for t, g1, g2 in zip(*(batch.column(n) for n in ("__text", "__g1", "__g2"))):
+            for t, g1, g2 in zip(*(batch.column(n) for n in (own_text, g1_name, g2_name))):
                 t = t.as_py() or ""
                 if not g1.is_valid:
                     texts.append(t)
@@ -189,7 +192,7 @@ def dedup_lines(
                 texts.append(b"\n".join(kept).decode())
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(kept))
-            cols = [batch.column(n) for n in batch.schema.names if n not in ("__text", "__g1", "__g2")]
+            cols = [batch.column(n) for n in batch.schema.names if n not in (own_text, g1_name, g2_name)]
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                 [*rest, text, "n_lines", "n_dropped"],

@@ -110,6 +110,18 @@ def test_line_dedup(spark, batches):
         assert order(map(tuple, rows)) == expected_lines([(r.doc_id, r.text) for r in docs.collect()], 8, 3)
 
 
+def test_line_dedup_takes_any_column_names(spark):
+    docs = H.documents(spark, ["the very same line that is shared", "another one"] * 4)
+    names = ["own_id", "dropped", "own_text", "g1", "g2", "__id", "__gone", "__text", "__g1"]
+    clashing = docs.withColumns({n: F.lit(n) for n in names})
+    cols = ["doc_id", "text", "n_lines", "n_dropped"]
+    found = dedup_lines(clashing, 8, 3)
+    expected = order(map(tuple, dedup_lines(docs, 8, 3).select(cols).collect()))
+    rows = found.collect()
+    assert order(tuple(r[c] for c in cols) for r in rows) == expected
+    assert all(r[n] == n for r in rows for n in names)
+
+
 def test_runs_are_compacted_and_screen_later_batches(spark):
     docs = H.documents(spark, [f"a line that is long enough {i % 5}" for i in range(20)])
     keys = line_keys(docs, 10)
