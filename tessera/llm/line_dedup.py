@@ -1,29 +1,40 @@
 """Line dedup: levelled sorted runs of line hashes.
 
-A *run* is a table sorted by line hash with one row per line key: in how many
-documents of its batches the key was found, and the largest document id there.
-Each batch of documents adds one run at level 0; when a level holds ``FANOUT``
-runs they are merged into one run of the next level, so that a key is
-rewritten only a logarithmic number of times.  Batches come in descending
-order of document ids.  ``novel`` merge-anti-joins a batch with all runs: its
-keys were not seen under a larger id, so this batch holds the line that stays,
-and only they write a keeper into the new run.
-
-Keys are 128-bit hashes of the normalised line, so runs of equal ranges are
-balanced whatever the lines are.  A batch is counted per key before any
-shuffle; a line that stands in a third of all documents is one row per task.
+A *run* holds one row per line key of its batches: the key and in how many
+documents it was found.  Runs are bucketed by key and sorted within the buckets,
+with as many buckets as the session has shuffle partitions.  Each batch of
+documents adds one run at level 0; when a level holds ``FANOUT`` runs they are
+merged into one run of the next level, so that a key is rewritten only a
+logarithmic number of times.  ``novel`` merge-anti-joins a batch with all runs:
+its keys were not seen before, so this batch holds the line that stays, and its
+largest document id with that key is written as the key's keeper.  Batches come
+in descending order of document ids, so that the keeper is the largest of all.
+Neither a merge nor an anti-join moves a run: bucket meets bucket.
+
+The runs of a folder are listed in a manifest, a small numbered table that is
+written after the tables it names; ``LineRuns.open`` goes on from the last one.
+
+Keys are 128-bit hashes of the normalised line, so buckets are balanced whatever
+the lines are.  A batch is counted per key before any shuffle; a line that
+stands in a third of all documents is one row per task.  What to drop is looked
+up by a broadcast of the repeated keys if these are measured as small, else with
+the rows of a key dealt over salted parts.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WS, drop_stored, stored, unused
+from tessera.llm.common import WS, content_keys, drop_stored, join_per_key, new_path, stored, unused
+from tessera.session import delete_tree
 
 FANOUT = 2
 _KEY = ["k1", "k2"]
@@ -38,81 +49,129 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 def line_keys(docs: DataFrame, min_chars: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, k1, k2): each distinct long enough line key of each document."""
+    """(doc_id, c1, c2, k1, k2): each distinct long enough line key of each document, with the document's content key."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows, out = [], []
+            for i, t in enumerate(batch.column(3)):
                 found = {line_key(x, min_chars) for x in (t.as_py() or "").encode().split(b"\n")}
                 found.discard(None)
-                ids += [i] * len(found)
+                rows += [i] * len(found)
                 out += found
             both = pa.array(out, pa.binary(16)).buffers()[1] if out else pa.py_buffer(b"")
             halves = pa.Array.from_buffers(pa.int64(), 2 * len(out), [None, both]).to_numpy()
+            of = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(halves[::2]), pa.array(halves[1::2])], ["doc_id", *_KEY]
+                [*(batch.column(c).take(of) for c in range(3)), pa.array(halves[::2]), pa.array(halves[1::2])],
+                ["doc_id", "c1", "c2", *_KEY],
             )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        keys, "doc_id long, k1 long, k2 long"
-    )
+    c1, c2 = content_keys(doc_id, F.col(text))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), c1.alias("c1"), c2.alias("c2"), F.col(text).alias("text"))
+    return rows.mapInArrow(keys, "doc_id long, c1 long, c2 long, k1 long, k2 long")
 
 
 class LineRuns:
-    """Levels of sorted runs in the shared folder."""
+    """Levels of sorted runs, and the keepers of the batches, in a folder that all executors share."""
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, path: str | None = None):
         self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = []
+        self.path = path or new_path(spark, "line-runs")
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[str]] = []
+        self.kept: list[str] = []
+        self.version = 0
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> LineRuns:
+        """The runs of a folder as of its last complete manifest."""
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest-*/_SUCCESS")
+        found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
+        versions = [int(f.getPath().getParent().getName().split("-")[1]) for f in found]
+        if not versions:
+            raise ValueError(f"no line runs in {path}")
+        about = json.loads(spark.read.text(f"{path}/manifest-{max(versions)}").first()[0])
+        runs = cls(spark, about["fanout"], path)
+        runs.buckets, runs.levels, runs.kept, runs.version = about["buckets"], about["levels"], about["kept"], max(versions)
+        return runs
+
+    def _commit(self) -> None:
+        """Write the next manifest; only what it names counts."""
+        self.version += 1
+        about = {"fanout": self.fanout, "buckets": self.buckets, "levels": self.levels, "kept": self.kept}
+        line = self.spark.range(1).select(F.lit(json.dumps(about)).alias("value"))
+        line.write.text(f"{self.path}/manifest-{self.version}")
+
+    def _run(self, name: str) -> DataFrame:
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(_KEY)
+            self.spark.sql(
+                f"CREATE TABLE {name} (k1 BIGINT, k2 BIGINT, n BIGINT) USING parquet CLUSTERED BY ({columns}) "
+                f"SORTED BY ({columns}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'"
+            )
+        return self.spark.table(name)
 
     def runs(self) -> list[DataFrame]:
-        return [r for level in self.levels for r in level]
+        return [self._run(name) for level in self.levels for name in level]
 
-    def _write(self, counted: DataFrame, level: int) -> None:
+    def _write(self, counted: DataFrame, level: int) -> str:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(stored(counted.sort(*_KEY), f"lines-l{level}"))
+        name = f"line_run_{uuid.uuid4().hex}"
+        sorted_run = counted.write.bucketBy(self.buckets, *_KEY).sortBy(*_KEY)
+        sorted_run.format("parquet").option("path", f"{self.path}/{name}").saveAsTable(name)
+        self.levels[level].append(name)
+        return name
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_tree(self.spark, f"{self.path}/{name}")
 
     def novel(self, keys: DataFrame) -> DataFrame:
         """Rows of ``keys`` whose key is in no run: merge-anti-joins, one run after the other."""
         for run in self.runs():
-            keys = keys.join(run.select(*_KEY), _KEY, "left_anti")
+            keys = keys.join(run.select(*_KEY).hint("merge"), _KEY, "left_anti")
         return keys
 
     def add(self, keys: DataFrame) -> None:
-        """Add the run of a batch (rows doc_id, k1, k2; one per document and key)."""
-        counted = keys.groupBy(*_KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("last_id"))
-        if self.runs():
-            counted = stored(counted, "line-batch")
-            novel = stored(self.novel(counted), "line-novel")
-            seen = counted.join(novel.select(*_KEY), _KEY, "left_anti").withColumn("last_id", F.lit(None).cast("long"))
-            self._write(novel.unionByName(seen), 0)
-            drop_stored(counted)
-            drop_stored(novel)
-        else:
-            self._write(counted, 0)
-        level = 0
+        """Add the run of a batch (rows doc_id, k1, k2; one per document and key) and the keepers of its novel keys."""
+        counted = keys.groupBy(*_KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_id"))
+        keepers = f"keepers-{uuid.uuid4().hex}"
+        self.novel(counted).select(*_KEY, "keep_id").write.parquet(f"{self.path}/{keepers}")
+        self._write(counted.drop("keep_id"), 0)
+        self.kept.append(keepers)
+        level, merged = 0, []
         while len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merged(full), level + 1)
-            for run in full:
-                drop_stored(run)
+            self._write(self._merged([self._run(name) for name in full]), level + 1)
+            merged += full
             level += 1
+        self._commit()
+        for name in merged:
+            self._drop(name)
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        both = runs[0]
-        for run in runs[1:]:
-            both = both.unionByName(run)
-        return both.groupBy(*_KEY).agg(F.sum("n").alias("n"), F.max("last_id").alias("last_id"))
+        def both(a: DataFrame, b: DataFrame) -> DataFrame:
+            joined = a.join(b.withColumnRenamed("n", "more").hint("merge"), _KEY, "full")
+            return joined.select(*_KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n"))
+
+        return reduce(both, runs)
 
     def repeated(self, min_docs: int) -> DataFrame:
-        """(k1, k2, last_id) of the keys found in at least ``min_docs`` documents."""
-        runs = self.runs()
-        if not runs:
-            return self.spark.createDataFrame([], "k1 long, k2 long, last_id long")
-        merged = self._merged(runs) if len(runs) > 1 else runs[0]
-        return merged.filter(F.col("n") >= min_docs).drop("n")
+        """(k1, k2, keep_id) of the keys found in at least ``min_docs`` documents."""
+        if not self.kept:
+            return self.spark.createDataFrame([], "k1 long, k2 long, keep_id long")
+        often = self._merged(self.runs()).filter(F.col("n") >= min_docs).drop("n")
+        keepers = self.spark.read.schema("k1 long, k2 long, keep_id long").parquet(*(f"{self.path}/{k}" for k in self.kept))
+        return often.join(keepers, _KEY)
+
+    def drop(self) -> None:
+        """Delete the folder."""
+        for level in self.levels:
+            for name in level:
+                self._drop(name)
+        delete_tree(self.spark, self.path)
 
 
 def _ranges(low: int | None, high: int | None, n: int) -> list[tuple[int, int]]:
@@ -138,38 +197,40 @@ def dedup_lines(
     ``min_chars`` code points and stands in at least ``min_docs`` documents,
     except in the document(s) of the largest id that hold it.
 
-    Null text is one empty line and becomes empty text.  Rows are documents:
-    a repeated row counts again, and rows that share an id are judged alike.  A
+    Ids are integers.  Null text is one empty line and becomes empty text.  Rows
+    are documents: a repeated row counts again, and rows that share an id are
+    judged alike.  A
     null id counts as the smallest: its lines go if the key also stands under
     another id, and stay if only null ids hold it.  Input columns named
     n_lines or n_dropped are replaced.  An empty table stays empty.
     """
     spark = docs.sparkSession
-    keys = line_keys(docs, min_chars, doc_id, text)
-    keys = stored(keys, "line-keys")
-    low, high = keys.agg(F.min("doc_id"), F.max("doc_id")).first()
+    keys = stored(line_keys(docs, min_chars, doc_id, text), "line-keys")
+    low, high, without_id = keys.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(F.isnull("doc_id"))).first()
     runs = LineRuns(spark)
     # equal ranges of ids, the largest first; null ids, which count as the smallest, come last
     for bounds in _ranges(low, high, batches):
         runs.add(keys.filter(F.col("doc_id").between(*bounds)))
-    runs.add(keys.filter(F.col("doc_id").isNull()))
-    gone = keys.join(runs.repeated(min_docs), _KEY).filter(
-        F.col("last_id").isNotNull() & ~F.col("last_id").eqNullSafe(F.col("doc_id"))
-    )
-    own_id, dropped, own_text, g1_name, g2_name = (unused(docs, n) for n in ("own_id", "dropped", "own_text", "g1", "g2"))
+    if without_id:
+        runs.add(keys.filter(F.col("doc_id").isNull()))
+    repeated = stored(runs.repeated(min_docs).select(F.struct(*_KEY).alias("k"), "keep_id", F.lit(True).alias("often")), "line-often")
+    found = join_per_key(keys.withColumn("k", F.struct(*_KEY)), repeated, "k", F.xxhash64("c1", "c2"))
+    gone = found.filter(F.col("often") & ~F.col("keep_id").eqNullSafe(F.col("doc_id")))
+    dropped, own_text, g1_name, g2_name = (unused(docs, n) for n in ("dropped", "own_text", "g1", "g2"))
+    c1_name, c2_name = (unused(docs, n) for n in ("own_c1", "own_c2"))
+    # documents of equal id and text are one group: they lose the same lines
     per_doc = stored(
-        gone.select(F.col("doc_id").alias(own_id), F.struct(*_KEY).alias("k"))
-        .groupBy(own_id)
-        .agg(F.collect_set("k").alias(dropped)),
+        gone.groupBy(F.col("c1").alias(c1_name), F.col("c2").alias(c2_name)).agg(F.collect_set("k").alias(dropped)),
         "line-drops",
     )
-    for run in runs.runs():
-        drop_stored(run)
-    drop_stored(keys)
+    for table in (keys, repeated):
+        drop_stored(table)
+    runs.drop()
 
     rest = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
-    joined = docs.select(*rest, text).join(per_doc, F.col(doc_id).cast("long").eqNullSafe(F.col(own_id)), "left")
+    c1, c2 = content_keys(doc_id, F.col(text))
+    joined = docs.select(*rest, text).join(per_doc, (c1 == F.col(c1_name)) & (c2 == F.col(c2_name)), "left")
     joined = joined.select(
         *rest, F.col(text).alias(own_text), F.col(dropped).k1.alias(g1_name), F.col(dropped).k2.alias(g2_name)
     )
