@@ -1,7 +1,7 @@
 """Line dedup: levelled sorted runs of line hashes.
 
 A *run* holds one row per line key of its batches: the key and in how many
-documents it was found.  Runs are bucketed by key and sorted within the buckets,
+documents it was found, with the largest document id if it is a single batch.  Runs are bucketed by key and sorted within the buckets,
 with as many buckets as the session has shuffle partitions.  Each batch of
 documents adds one run at level 0; when a level holds ``FANOUT`` runs they are
 merged into one run of the next level, so that a key is rewritten only a
@@ -72,6 +72,12 @@ def line_keys(docs: DataFrame, min_chars: int, doc_id: str = "doc_id", text: str
     return rows.mapInArrow(keys, "doc_id long, c1 long, c2 long, k1 long, k2 long")
 
 
+def _unseen(keys: DataFrame, runs: list[DataFrame]) -> DataFrame:
+    for run in runs:
+        keys = keys.join(run.select(*_KEY).hint("merge"), _KEY, "left_anti")
+    return keys
+
+
 class LineRuns:
     """Levels of sorted runs, and the keepers of the batches, in a folder that all executors share."""
 
@@ -107,7 +113,7 @@ class LineRuns:
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(_KEY)
             self.spark.sql(
-                f"CREATE TABLE {name} (k1 BIGINT, k2 BIGINT, n BIGINT) USING parquet CLUSTERED BY ({columns}) "
+                f"CREATE TABLE {name} (k1 BIGINT, k2 BIGINT, n BIGINT, top BIGINT) USING parquet CLUSTERED BY ({columns}) "
                 f"SORTED BY ({columns}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'"
             )
         return self.spark.table(name)
@@ -130,16 +136,16 @@ class LineRuns:
 
     def novel(self, keys: DataFrame) -> DataFrame:
         """Rows of ``keys`` whose key is in no run: merge-anti-joins, one run after the other."""
-        for run in self.runs():
-            keys = keys.join(run.select(*_KEY).hint("merge"), _KEY, "left_anti")
-        return keys
+        return _unseen(keys, self.runs())
 
     def add(self, keys: DataFrame) -> None:
         """Add the run of a batch (rows doc_id, k1, k2; one per document and key) and the keepers of its novel keys."""
-        counted = keys.groupBy(*_KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_id"))
+        older = self.runs()
+        own = self._run(self._write(keys.groupBy(*_KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("top")), 0))
+        # read back, so that the anti-joins take counted keys: Spark would push them below the count
         keepers = f"keepers-{uuid.uuid4().hex}"
-        self.novel(counted).select(*_KEY, "keep_id").write.parquet(f"{self.path}/{keepers}")
-        self._write(counted.drop("keep_id"), 0)
+        novel = _unseen(own, older).select(*_KEY, F.col("top").alias("keep_id"))
+        novel.write.parquet(f"{self.path}/{keepers}")
         self.kept.append(keepers)
         level, merged = 0, []
         while len(self.levels[level]) >= self.fanout:
@@ -153,16 +159,16 @@ class LineRuns:
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
         def both(a: DataFrame, b: DataFrame) -> DataFrame:
-            joined = a.join(b.withColumnRenamed("n", "more").hint("merge"), _KEY, "full")
+            joined = a.join(b.select(*_KEY, F.col("n").alias("more")).hint("merge"), _KEY, "full")
             return joined.select(*_KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n"))
 
-        return reduce(both, runs)
+        return reduce(both, runs).select(*_KEY, "n").withColumn("top", F.lit(None).cast("long"))
 
     def repeated(self, min_docs: int) -> DataFrame:
         """(k1, k2, keep_id) of the keys found in at least ``min_docs`` documents."""
         if not self.kept:
             return self.spark.createDataFrame([], "k1 long, k2 long, keep_id long")
-        often = self._merged(self.runs()).filter(F.col("n") >= min_docs).drop("n")
+        often = self._merged(self.runs()).filter(F.col("n") >= min_docs).select(*_KEY)
         keepers = self.spark.read.schema("k1 long, k2 long, keep_id long").parquet(*(f"{self.path}/{k}" for k in self.kept))
         return often.join(keepers, _KEY)
 

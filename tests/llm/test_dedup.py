@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm.exact_dedup import BinaryFuse, exact_dedup
-from tessera.llm.line_dedup import LineRuns, _ranges, dedup_lines, line_keys
+from tessera.llm.line_dedup import LineRuns, _ranges, _unseen, dedup_lines, line_keys
 from tessera.llm.near_dup import Bands, components, keep_one_of_each, near_duplicates, set_tokens
 from tests.llm import helpers as H
 
@@ -133,6 +133,54 @@ def test_runs_are_compacted_and_screen_later_batches(spark):
     other = line_keys(H.documents(spark, ["never seen before in any run"]), 10)
     assert runs.novel(other).count() == 1
     assert runs.repeated(4).count() == 5 and runs.repeated(5).count() == 0
+    runs.drop()
+
+
+def test_runs_reopen_and_go_on(spark):
+    docs = H.documents(spark, [f"a line that is long enough {i % 5}" for i in range(20)])
+    keys = line_keys(docs, 10)
+    runs = LineRuns(spark)
+    runs.add(keys.filter("doc_id >= 13"))  # all five lines
+    for level in runs.levels:
+        for name in level:
+            spark.sql(f"DROP TABLE {name}")  # another session's catalogue does not know them
+    again = LineRuns.open(spark, runs.path)
+    again.add(keys.filter("doc_id < 13"))
+    found = {(r.k1, r.k2): r.keep_id for r in again.repeated(4).collect()}
+    # the keepers are those of the first batch: the second found all its keys in the runs
+    assert sorted(found.values()) == [15, 16, 17, 18, 19]
+    assert again.repeated(5).count() == 0
+    again.drop()
+    with pytest.raises(ValueError, match="no line runs"):
+        LineRuns.open(spark, runs.path)
+
+
+def test_keepers_come_from_the_anti_join(spark, monkeypatch):
+    docs = H.documents(spark, ["the very same line that is shared", "another one"] * 8)
+    right = dedup_lines(docs, 8, 3).agg(F.sum("n_dropped")).first()[0]
+    monkeypatch.setattr("tessera.llm.line_dedup._unseen", lambda keys, runs: keys)
+    assert dedup_lines(docs, 8, 3).agg(F.sum("n_dropped")).first()[0] != right == 14
+
+
+def test_a_merge_anti_join_moves_no_run(spark):
+    keys = line_keys(H.documents(spark, [f"a line that is long enough {i}" for i in range(20)]), 10)
+    runs = LineRuns(spark)
+    runs.add(keys.filter("doc_id < 10"))
+    runs.add(keys)  # merged with the first
+    runs.add(keys.filter("doc_id > 5"))
+    merged, newest = (runs._run(level[0]) for level in reversed(runs.levels))
+    for joined in (_unseen(newest, [merged]), runs._merged([merged, newest])):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    runs.drop()
+
+
+def test_lines_of_null_and_repeated_ids(spark):
+    line = "a line that everyone has in common"
+    rows = [(None, line), (None, line + "\nand one more that is alone"), (4, line), (4, line), (9, line), (9, "x\n" + line)]
+    found = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 8, 3)
+    cols = ["doc_id", "text", "n_lines", "n_dropped"]
+    assert order(map(tuple, found.select(cols).collect())) == expected_lines(rows, 8, 3)
 
 
 def test_ranges_cover_all_ids():
