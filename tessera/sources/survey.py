@@ -116,7 +116,15 @@ def read_survey_arrays(
 
 
 def survey_arrays(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> tuple[list[str], DataFrame]:
-    """A survey table of many columns as an array table: (names of the values, table)."""
+    """A survey table of many columns as an array table: (names of the values, table).
+
+    One element is read through a lambda, which keeps Spark from fusing the
+    projection with the scan and the filters: fused, the array is one method for
+    all elements, too long to be compiled to machine code.
+    """
     first, *numbers = df.columns
     names = [n for n in numbers if n not in keys]
-    return names, df.select(first, *keys, F.array(*(F.col(f"`{n}`") for n in names)).alias("values"))
+    columns = [F.col(f"`{n}`") for n in names]
+    if columns:
+        columns[0] = F.get(F.transform(F.array(columns[0]), lambda x: x), F.lit(0))
+    return names, df.select(first, *keys, F.array(*columns).alias("values"))
