@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import as_col
 from tessera.operators.ordering import ranged, running_totals
-from tessera.session import owning
+from tessera.session import at_least_partitions, owning
 
 POSTING_FIELDS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tag")
 
@@ -79,6 +79,8 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
 
 
 DEFAULT_SEGMENT = 1000
+# Most postings per task, on average, that the nested lists sort.
+TASK_POSTINGS = 500_000
 
 
 def nested_postings(postings: DataFrame, segment_size: int = DEFAULT_SEGMENT) -> DataFrame:
@@ -93,7 +95,9 @@ def nested_postings(postings: DataFrame, segment_size: int = DEFAULT_SEGMENT) ->
     the join makes one row per pair of distinct ones, with its number of copies.
     The pairs are range-sorted by id and fields, so a question with a third of
     all answers lies in many ranges, and each range's running count gives its
-    pairs their segment.  The result reads a stored table: release it after use.
+    pairs their segment.  The postings are counted first: however few shuffle
+    partitions the session asks for, a task sorts about ``TASK_POSTINGS``.  The
+    result reads a stored table: release it after use.
     """
     fields = ["accepted_answer", "score", "tag"]
     answer_fields = ["answer_id", "answer_accepted_answer", "answer_score", "answer_tag"]
@@ -107,8 +111,11 @@ def nested_postings(postings: DataFrame, segment_size: int = DEFAULT_SEGMENT) ->
     pairs = q.join(a, q["id"] == a["_parent"]).select(
         "id", *fields, *answer_fields, (F.col("_nq") * F.col("_na")).alias("copies")
     )
-    parts = ranged(pairs, ["id"], [*fields, *answer_fields], "pairs")
-    placed = running_totals(parts, ["id"], [*fields, *answer_fields], F.col("copies"), "place")
+    spark = postings.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings.count() // TASK_POSTINGS))
+    with at_least_partitions(spark, tasks):
+        parts = ranged(pairs, ["id"], [*fields, *answer_fields], "pairs")
+    placed = running_totals(parts, ["id"], [*fields, *answer_fields], F.col("copies"), "place", tasks)
     size = F.lit(int(segment_size)).cast("long")
     first, last = (F.expr(f"{at} div {int(segment_size)}") for at in ("place", "(place + copies - 1)"))
     spread = placed.withColumn("segment", F.explode(F.sequence(first, last)))
@@ -119,7 +126,7 @@ def nested_postings(postings: DataFrame, segment_size: int = DEFAULT_SEGMENT) ->
         F.collect_list(F.struct("place", question.alias("question"), answer.alias("answer"), here.cast("int").alias("times")))
     )
     each = F.transform(held, lambda p: F.array_repeat(F.struct(p.question.alias("question"), p.answer.alias("answer")), p.times))
-    grouped = spread.groupBy("id", "segment").agg(F.flatten(each).alias("pairs"))
+    grouped = spread.repartition(tasks, "id", "segment").groupBy("id", "segment").agg(F.flatten(each).alias("pairs"))
     return owning(grouped.select("id", "segment", F.size("pairs").cast("long").alias("n"), "pairs"), parts)
 
 

@@ -31,14 +31,17 @@ def part_totals(parts: DataFrame, group: Sequence[str], weight: Column) -> DataF
 
 
 def running_totals(
-    parts: DataFrame, group: Sequence[str], order: Sequence[str], weight: Column, name: str = "before"
+    parts: DataFrame, group: Sequence[str], order: Sequence[str], weight: Column, name: str = "before", tasks: int | None = None
 ) -> DataFrame:
     """Rows of a :func:`ranged` table with the weight of the rows before them in their group.
 
     The sum over earlier ranges and a window within (group, range): no task
-    holds more of a group than a range.
+    holds more of a group than a range.  ``tasks`` is how many the rows are dealt to,
+    by group and range, if not as many as the session says.
     """
     totals = part_totals(parts, group, weight).drop("_held", "_total")
     here = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if tasks is not None:
+        parts = parts.repartition(tasks, *group, "_part")
     joined = parts.join(totals, [*group, "_part"])
     return joined.withColumn(name, F.col("_before") + F.sum(weight).over(here) - weight).drop("_part", "_before")

@@ -11,6 +11,8 @@ import json
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,6 +119,18 @@ def owning(df: DataFrame, table: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def at_least_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Jobs run inside shuffle to ``n`` partitions at least; more that the session asks for stay."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True if a Spark write to ``path`` completed (its ``_SUCCESS`` marker exists)."""
     jvm = spark.sparkContext._jvm
