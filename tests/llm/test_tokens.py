@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.llm import bpe_codec
 from tessera.llm.bpe_codec import decode, encode
 from tessera.llm.packing import CURVE_BITS, hilbert_key, pack, tail_cuts
 from tessera.llm.token_counts import token_counts
@@ -50,6 +51,39 @@ def test_codec_folds_in_spark(spark):
     assert "aggregate(" in plan and plan.count("MapInArrow") == 1  # one split, everything else higher-order functions
 
 
+def test_rank_map_is_all_literal_and_exact(spark):
+    plan = plan_text(encode(documents(spark, ["some text"]), RANKS))
+    assert "map_from_arrays" not in plan and "zip_with" not in plan  # nothing of the rank map is built per row
+    merges = {first << 18 | (first * first + 7 * k) % 500: first + k for first in range(300) for k in range(5)}
+    shift, cells = bpe_codec._placed(merges)
+    found = {pair: cells[(pair + shift[pair % len(shift)]) % len(cells)] for pair in merges}
+    assert {pair: cell ^ (pair << bpe_codec._ID_BITS) for pair, cell in found.items()} == merges
+    for other in (1, 299 << 18 | 499, 5 << 18, (1 << 36) - 1):
+        cell = cells[(other + shift[other % len(shift)]) % len(cells)]
+        assert other in merges or cell ^ (other << bpe_codec._ID_BITS) > bpe_codec.NEVER
+
+
+def test_common_words_are_those_of_most_slices(spark, monkeypatch):
+    monkeypatch.setattr(bpe_codec, "COUNTED_BYTES", 1)  # each text is a slice
+    texts = ["qzxvj wqkzx"] * 3 + ["zzqxk wqkzx"] * 2 + ["lonexqz"]
+    df = documents(spark, texts).select("text")
+    expected = {w: TIKTOKEN.encode_ordinary(w.decode()) for w in (b"qzxvj", b" wqkzx", b"zzqxk")}
+    found = lambda most: {r["word"]: r["ids"] for r in bpe_codec.common_words(df, RANKS, most).to_pylist()}
+    assert found(3) == expected
+    assert found(2) == {w: expected[w] for w in (b"qzxvj", b" wqkzx")}
+    monkeypatch.setattr(bpe_codec, "COUNTS", 2)  # the histogram cannot tell them apart
+    assert len(found(1)) == 1 and found(1).items() <= expected.items()
+
+
+def test_known_and_unknown_words_of_a_text(spark, monkeypatch):
+    monkeypatch.setattr(bpe_codec, "COUNTED_BYTES", 1)
+    monkeypatch.setattr(bpe_codec, "SLICE_BYTES", 40)
+    monkeypatch.setattr(bpe_codec, "LONG_PIECE", 30)
+    texts = ["qzxvj lonexqz", "", "lonexqz", None, "xqzlonely qqzzxx", "qzxvj" + "zx" * 40, "qzxvj the qzxvj", " ", "qqzzkkxx"]
+    expected = [(i, TIKTOKEN.encode_ordinary(t or "")) for i, t in enumerate(texts)]
+    assert sorted((r.doc_id, r.ids) for r in encode(documents(spark, texts), RANKS).collect()) == expected
+
+
 def pieces_of(df, length):
     docs, sequences = {}, {}
     for r in df.collect():
